@@ -1,0 +1,197 @@
+import datetime as dt
+import random
+from collections import Counter
+from decimal import Decimal
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from fixture_a import FIRST_COMMIT, FINAL_SCHEMA, SECOND_COMMIT, customers_df, txn_df
+from keelson.operators.enrich import merge_source
+from keelson.operators.merge import ACTION, MergeSpec, action_counts, merge_plan
+
+SPEC = MergeSpec(
+    "transaction_id",
+    ("status", "customer_name", "amount"),
+    ("customer_name", "country", "amount", "status", "last_updated"),
+    rows_per_task=2,  # tiny buckets so the salting path runs in tests
+)
+AS_OF_1 = dt.datetime(2024, 2, 1)
+AS_OF_2 = dt.datetime(2024, 3, 1)
+
+
+def _summary(df):
+    rows = df.groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amt")).collect()
+    return {r["status"]: (r["n"], r["amt"]) for r in rows}
+
+
+def test_first_and_second_merge_reference_fixture(spark):
+    staging = txn_df(spark, FIRST_COMMIT + SECOND_COMMIT)
+    cust = customers_df(spark)
+    empty = spark.createDataFrame([], FINAL_SCHEMA)
+    first = merge_plan(empty, merge_source(staging, cust, AS_OF_1), SPEC).cache()
+    assert first.count() == 8
+    assert {r[ACTION]: r["rows"] for r in action_counts(first).collect()} == {"INSERT": 8}
+    assert first.where("transaction_id = 'TXN-003'").count() == 2
+    s = _summary(first)
+    assert s["completed"] == (6, Decimal("1345.740000000"))
+    assert s["refunded"] == (1, Decimal("89.990000000"))
+    assert s["pending"] == (1, Decimal("45.750000000"))
+
+    target = spark.createDataFrame(first.drop(ACTION).collect(), FINAL_SCHEMA)
+    second = merge_plan(target, merge_source(staging, cust, AS_OF_2), SPEC).cache()
+    counts = {r[ACTION]: r["rows"] for r in action_counts(second).collect()}
+    assert counts == {"UPDATE": 2, "NOOP": 6}
+    t3 = sorted((r["status"], r["last_updated"]) for r in second.where("transaction_id = 'TXN-003'").collect())
+    assert t3 == [("completed", AS_OF_2), ("refunded", AS_OF_2)]
+    assert second.where("transaction_id <> 'TXN-003'").where(F.col("last_updated") == AS_OF_2).count() == 0
+
+
+def test_null_key_insert_fails(spark):
+    staging = txn_df(spark, FIRST_COMMIT + [(None, "CUST-A", Decimal("1.00"), "2024-01-01", "completed")])
+    empty = spark.createDataFrame([], FINAL_SCHEMA)
+    with pytest.raises(Exception, match="NOT NULL"):
+        merge_plan(empty, merge_source(staging, customers_df(spark), AS_OF_1), SPEC).collect()
+
+
+def test_two_qualifying_source_rows_raise(spark):
+    target = spark.createDataFrame(
+        [("TXN-001", "CUST-A", "Alice Johnson", "Colombia", Decimal("150"), dt.date(2024, 1, 15), "pending", AS_OF_1)],
+        FINAL_SCHEMA,
+    )
+    staging = txn_df(
+        spark,
+        [
+            ("TXN-001", "CUST-A", Decimal("150.00"), "2024-01-15", "completed"),
+            ("TXN-001", "CUST-A", Decimal("150.00"), "2024-01-15", "refunded"),
+        ],
+    )
+    with pytest.raises(Exception, match="at most one"):
+        merge_plan(target, merge_source(staging, customers_df(spark), AS_OF_2), SPEC).collect()
+
+
+def test_identical_duplicate_source_rows_raise_only_when_changed(spark):
+    base = ("TXN-001", "CUST-A", "Alice Johnson", "Colombia", Decimal("150"), dt.date(2024, 1, 15), "completed", AS_OF_1)
+    target = spark.createDataFrame([base], FINAL_SCHEMA)
+    same = ("TXN-001", "CUST-A", Decimal("150.00"), "2024-01-15", "completed")
+    src = merge_source(txn_df(spark, [same, same]), customers_df(spark), AS_OF_2)
+    assert [r[ACTION] for r in merge_plan(target, src, SPEC).collect()] == ["NOOP"]
+    changed = ("TXN-001", "CUST-A", Decimal("150.00"), "2024-01-15", "pending")
+    src2 = merge_source(txn_df(spark, [changed, changed]), customers_df(spark), AS_OF_2)
+    with pytest.raises(Exception, match="at most one"):
+        merge_plan(target, src2, SPEC).collect()
+
+
+def test_malformed_date_fails(spark):
+    staging = txn_df(spark, [("TXN-009", "CUST-A", Decimal("1.00"), "2024-13-45", "completed")])
+    empty = spark.createDataFrame([], FINAL_SCHEMA)
+    with pytest.raises(Exception):
+        merge_plan(empty, merge_source(staging, customers_df(spark), AS_OF_1), SPEC).collect()
+
+
+def test_null_name_is_not_a_change_but_is_overwritten_on_update(spark):
+    target = spark.createDataFrame(
+        [
+            ("TXN-001", "CUST-A", None, "Colombia", Decimal("150"), dt.date(2024, 1, 15), "completed", AS_OF_1),
+            ("TXN-002", "CUST-Z", "Zed", "Chile", Decimal("10"), dt.date(2024, 1, 15), "completed", AS_OF_1),
+        ],
+        FINAL_SCHEMA,
+    )
+    staging = txn_df(
+        spark,
+        [
+            ("TXN-001", "CUST-A", Decimal("150.00"), "2024-01-15", "completed"),
+            ("TXN-002", "CUST-Z", Decimal("10.00"), "2024-01-15", "pending"),  # orphan customer
+        ],
+    )
+    out = {r["transaction_id"]: r for r in merge_plan(target, merge_source(staging, customers_df(spark), AS_OF_2), SPEC).collect()}
+    assert out["TXN-001"][ACTION] == "NOOP" and out["TXN-001"]["customer_name"] is None
+    assert out["TXN-002"][ACTION] == "UPDATE"
+    assert out["TXN-002"]["customer_name"] is None and out["TXN-002"]["country"] is None
+    assert out["TXN-002"]["status"] == "pending"
+
+
+# ---------------------------------------------------------------------------
+# Property test against a brute-force pairwise evaluation of the semantics.
+# ---------------------------------------------------------------------------
+
+P_SCHEMA = T.StructType(
+    [
+        T.StructField("k", T.StringType()),
+        T.StructField("a", T.StringType()),
+        T.StructField("b", T.StringType()),
+        T.StructField("x", T.DecimalType(10, 2)),
+        T.StructField("e", T.StringType()),
+    ]
+)
+P_SPEC = MergeSpec("k", ("a", "b", "x"), ("a", "x", "e"), rows_per_task=2)
+COLS = ["k", "a", "b", "x", "e"]
+
+
+def brute_merge(target, source):
+    idx = {c: i for i, c in enumerate(COLS)}
+
+    def chg(t, s):
+        return any(t[idx[c]] is not None and s[idx[c]] is not None and t[idx[c]] != s[idx[c]] for c in P_SPEC.compare)
+
+    out = []
+    for t in target:
+        matches = [s for s in source if t[0] is not None and s[0] == t[0]]
+        if not matches:
+            out.append((*t, "KEEP"))
+            continue
+        qual = [s for s in matches if chg(t, s)]
+        if len(qual) > 1:
+            return "ERROR"
+        if qual:
+            s = qual[0]
+            out.append((*[s[idx[c]] if c in P_SPEC.update else t[idx[c]] for c in COLS], "UPDATE"))
+        else:
+            out.append((*t, "NOOP"))
+    tkeys = {t[0] for t in target if t[0] is not None}
+    for s in source:
+        if s[0] is None:
+            return "ERROR"
+        if s[0] not in tkeys:
+            out.append((*s, "INSERT"))
+    return Counter(out)
+
+
+val = st.sampled_from(["p", "q", None])
+amt = st.sampled_from([Decimal("1.00"), Decimal("2.00"), None])
+key = st.sampled_from(["K1", "K2", "K3", "K4"])
+row = st.tuples(key, val, val, amt, st.sampled_from(["e1", "e2", None]))
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(row, max_size=9), st.lists(row, max_size=9), st.booleans())
+def test_merge_matches_brute_force(spark, target, source, null_target_key):
+    if null_target_key and target:
+        target = [(None, *target[0][1:])] + target[1:]
+    expected = brute_merge(target, source)
+    t_df = spark.createDataFrame(target, P_SCHEMA)
+    s_df = spark.createDataFrame(source, P_SCHEMA)
+    plan = merge_plan(t_df, s_df, P_SPEC)
+    if expected == "ERROR":
+        with pytest.raises(PySparkException):
+            plan.collect()
+        return
+    got = Counter(tuple(r) for r in plan.collect())
+    assert got == expected
+
+
+def test_hot_key_spreads_and_stays_exact(spark):
+    rnd = random.Random(7)
+    statuses = ["p", "q"]
+    target = [("HOT", "p", rnd.choice(["b", None]), Decimal("1.00"), f"t{i}") for i in range(40)]
+    target += [(f"K{i}", "p", "b", Decimal("1.00"), "t") for i in range(20)]
+    source = [("HOT", "p", "b", Decimal("1.00"), f"s{i}") for i in range(30)] + [("HOT", "q", None, None, "only")]
+    source += [(f"K{i}", rnd.choice(statuses), "b", Decimal("1.00"), "s") for i in range(30)]
+    expected = brute_merge(target, source)
+    assert expected != "ERROR"
+    got = Counter(tuple(r) for r in merge_plan(spark.createDataFrame(target, P_SCHEMA), spark.createDataFrame(source, P_SCHEMA), P_SPEC).collect())
+    assert got == expected
