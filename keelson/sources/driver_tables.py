@@ -71,9 +71,14 @@ def _cust_id(custkey: Column) -> Column:
     return F.concat(F.lit("CUST-"), custkey.cast("string"))
 
 
-def staging(spark: SparkSession, sf_dir: str, with_row_id: bool = False) -> DataFrame:
-    """The transactions table as staged from the latest lake version."""
+def staging(spark: SparkSession, sf_dir: str, with_row_id: bool = False, where: Column | None = None) -> DataFrame:
+    """The transactions table as staged from the latest lake version.
+
+    ``where`` further restricts the orders (for example to one half, to
+    build two commits)."""
     o = table(spark, sf_dir, "orders")
+    if where is not None:
+        o = o.where(where)
     k = F.col("o_orderkey")
     cols = [
         _txn_id(k).alias("transaction_id"),

@@ -1,0 +1,189 @@
+"""Read a versioned Parquet table from its commit log.
+
+Layout (compatible with the common open table log): data files anywhere
+under the table folder, and ``_delta_log/<20-digit version>.json`` files,
+one JSON action per line (``add``, ``remove``, ``metaData``, ``protocol``,
+``commitInfo``). The latest state is the replay of all commits: a path is
+live when its last action is ``add``.
+
+The replay is a Spark job over the log files (``spark.read.json`` with an
+explicit schema, version from the file name). Only the list of live file
+paths -- file metadata, one string per file -- reaches the driver, to
+build the Parquet scan; rows never do.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from keelson.functions.expressions import path_basename, version_from_name
+
+LOG_DIR = "_delta_log"
+
+ACTION_SCHEMA = T.StructType(
+    [
+        T.StructField(
+            "add",
+            T.StructType(
+                [
+                    T.StructField("path", T.StringType()),
+                    T.StructField("size", T.LongType()),
+                    T.StructField("modificationTime", T.LongType()),
+                    T.StructField("dataChange", T.BooleanType()),
+                    T.StructField("deletionVector", T.StringType()),
+                ]
+            ),
+        ),
+        T.StructField(
+            "remove",
+            T.StructType(
+                [
+                    T.StructField("path", T.StringType()),
+                    T.StructField("deletionTimestamp", T.LongType()),
+                    T.StructField("dataChange", T.BooleanType()),
+                ]
+            ),
+        ),
+        T.StructField(
+            "metaData",
+            T.StructType(
+                [
+                    T.StructField("id", T.StringType()),
+                    T.StructField("schemaString", T.StringType()),
+                    T.StructField("partitionColumns", T.ArrayType(T.StringType())),
+                    T.StructField("configuration", T.MapType(T.StringType(), T.StringType())),
+                ]
+            ),
+        ),
+        T.StructField(
+            "protocol",
+            T.StructType(
+                [
+                    T.StructField("minReaderVersion", T.IntegerType()),
+                    T.StructField("minWriterVersion", T.IntegerType()),
+                ]
+            ),
+        ),
+    ]
+)
+
+
+class NoCommitsError(RuntimeError):
+    pass
+
+
+def log_path(table_path: str) -> str:
+    return f"{table_path.rstrip('/')}/{LOG_DIR}"
+
+
+def log_actions(spark: SparkSession, table_path: str) -> DataFrame:
+    """All actions of all commits, with ``version`` (bigint) from the file name."""
+    raw = spark.read.schema(ACTION_SCHEMA).json(f"{log_path(table_path)}/*.json")
+    return raw.withColumn("version", version_from_name(F.col("_metadata.file_name"))).where(
+        F.col("version").isNotNull()
+    )
+
+
+def file_actions(actions: DataFrame) -> DataFrame:
+    """One row per add/remove: version, path (URL-decoded), is_add, size."""
+    return actions.where(F.col("add").isNotNull() | F.col("remove").isNotNull()).select(
+        "version",
+        F.url_decode(F.coalesce(F.col("add.path"), F.col("remove.path"))).alias("path"),
+        F.col("add").isNotNull().alias("is_add"),
+        F.col("add.size").alias("size"),
+        F.col("add.deletionVector").isNotNull().alias("has_dv"),
+    )
+
+
+def live_files(actions: DataFrame) -> DataFrame:
+    """Paths whose latest action is ``add`` (the current snapshot)."""
+    last = file_actions(actions).groupBy("path").agg(
+        F.max_by(F.struct("is_add", "size", "has_dv"), "version").alias("last")
+    )
+    return last.where(F.col("last.is_add")).select("path", F.col("last.size").alias("size"), F.col("last.has_dv").alias("has_dv"))
+
+
+def latest_version(spark: SparkSession, table_path: str) -> int:
+    """``max(version)`` over the commits."""
+    row = log_actions(spark, table_path).agg(F.max("version").alias("v")).first()
+    if row is None or row["v"] is None:
+        raise NoCommitsError(f"no commits found under {log_path(table_path)}")
+    return int(row["v"])
+
+
+def list_log_versions(spark: SparkSession, table_path: str) -> DataFrame:
+    """Commit versions found by listing the log folder (names matching the
+    20-digit pattern only; anything else there is ignored)."""
+    listing = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "false")
+        .load(log_path(table_path))
+        .select("path")
+    )
+    return listing.select(version_from_name(path_basename(F.col("path"))).alias("version")).where(
+        F.col("version").isNotNull()
+    )
+
+
+def latest_version_by_listing(spark: SparkSession, table_path: str) -> int:
+    """Latest commit version by listing; raises when there is none (S3)."""
+    try:
+        row = list_log_versions(spark, table_path).agg(F.max("version").alias("v")).first()
+    except Exception as exc:  # a missing folder is the same as no commit
+        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+            raise NoCommitsError(f"no commits found under {log_path(table_path)}") from exc
+        raise
+    if row is None or row["v"] is None:
+        raise NoCommitsError(f"no commits found under {log_path(table_path)}")
+    return int(row["v"])
+
+
+def table_metadata(actions: DataFrame) -> dict:
+    """Schema, partition columns and reader version from the latest
+    ``metaData`` / ``protocol`` actions (a handful of rows)."""
+    meta = actions.where(F.col("metaData").isNotNull()).orderBy(F.col("version").desc()).select("metaData").first()
+    proto = actions.where(F.col("protocol").isNotNull()).orderBy(F.col("version").desc()).select("protocol").first()
+    if meta is None:
+        raise NoCommitsError("commit log has no metaData action")
+    md = meta["metaData"]
+    return {
+        "schema": T.StructType.fromJson(__import__("json").loads(md["schemaString"])),
+        "partition_columns": list(md["partitionColumns"] or []),
+        "min_reader_version": (proto["protocol"]["minReaderVersion"] if proto else 1) or 1,
+    }
+
+
+def snapshot(spark: SparkSession, table_path: str) -> DataFrame:
+    """All rows of the latest committed version."""
+    actions = log_actions(spark, table_path).cache()
+    try:
+        meta = table_metadata(actions)
+        if meta["min_reader_version"] > 1:
+            raise NotImplementedError(
+                f"reader version {meta['min_reader_version']} (column mapping / table features) is not supported"
+            )
+        if meta["partition_columns"]:
+            raise NotImplementedError("partitioned commit-log tables are not supported")
+        files = live_files(actions)
+        rows = files.select("path", "has_dv").collect()  # file metadata only
+    finally:
+        actions.unpersist()
+    if any(r["has_dv"] for r in rows):
+        raise NotImplementedError("files with deletion vectors are not supported")
+    base = table_path.rstrip("/")
+    paths = [p if "://" in p or p.startswith("/") else f"{base}/{p}" for p in (r["path"] for r in rows)]
+    if not paths:
+        return spark.createDataFrame([], meta["schema"])
+    return spark.read.schema(meta["schema"]).parquet(*paths)
+
+
+def snapshot_file_count(spark: SparkSession, table_path: str) -> int:
+    """Number of live data files."""
+    return live_files(log_actions(spark, table_path)).count()
+
+
+def snapshot_files(spark: SparkSession, table_path: str) -> DataFrame:
+    """Live data files with their sizes, as a DataFrame."""
+    return live_files(log_actions(spark, table_path)).select("path", "size")
