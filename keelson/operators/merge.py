@@ -39,6 +39,7 @@ Plan (no pair of rows sharing a key is ever materialised):
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -47,6 +48,7 @@ from pyspark.sql import functions as F
 
 from keelson.functions.expressions import assert_not_null, assert_that, changed
 from keelson.operators.skew import DEFAULT_ROWS_PER_TASK, salted_join
+from keelson.session import checkpoint_dir
 
 ACTION = "action"
 INSERT, UPDATE, NOOP, KEEP = "INSERT", "UPDATE", "NOOP", "KEEP"
@@ -63,6 +65,45 @@ class MergeSpec:
     rows_per_task: int = DEFAULT_ROWS_PER_TASK
 
 
+def scratch_table(df: DataFrame, key: str, label: str) -> DataFrame:
+    """Write ``df`` bucketed by ``key`` into a Parquet table under the shared
+    checkpoint folder and read it back.
+
+    This cuts the lineage (a lost executor later on does not recompute the
+    aggregates) and, because the table is bucketed on the join key with the
+    shuffle partition count, a later join on ``key`` shuffles only the other
+    side."""
+    spark = df.sparkSession
+    db = "keelson_scratch"
+    if not spark.catalog.databaseExists(db):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{checkpoint_dir(spark).rstrip('/')}/keelson-scratch.db'")
+    name = f"{db}.{label}_{uuid.uuid4().hex[:12]}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").bucketBy(n, key).mode("errorifexists").saveAsTable(name)
+    return spark.table(name)
+
+
+def key_summary(target: DataFrame, source: DataFrame, key: str, cols: list[str]) -> DataFrame:
+    """One row per key of either side: source rows ``_n_s``, target rows
+    ``_n_t``, the smallest source row ``_s`` and whether all source rows of
+    the key are equal (``_uniform``). Both aggregates pre-combine map-side."""
+    row = F.struct(*[F.col(c) for c in cols])
+    sa = source.groupBy(key).agg(F.count(F.lit(1)).alias("_n_s"), F.min(row).alias("_s"), F.max(row).alias("_s_hi"))
+    tk = target.groupBy(key).agg(F.count(F.lit(1)).alias("_n_t"))
+    return sa.join(tk, on=key, how="full_outer").select(
+        key, "_n_s", "_n_t", "_s", F.coalesce(F.col("_s").eqNullSafe(F.col("_s_hi")), F.lit(True)).alias("_uniform")
+    )
+
+
+def _lookup_join(big, lookup, key, rows_col, how, hot, R, row_id):
+    """Plain equi-join when no key is hot, salted join otherwise."""
+    if not hot:
+        lk = lookup.withColumnRenamed(key, "_lk")
+        j = big.join(lk, big[key] == lk["_lk"], how)
+        return j if how == "left_semi" else j.drop("_lk")
+    return salted_join(big, lookup, [key], rows_col, how, R, row_id)
+
+
 def merge_plan(
     target: DataFrame,
     source: DataFrame,
@@ -72,6 +113,10 @@ def merge_plan(
 ) -> DataFrame:
     """Rows of the merged table (target column order) plus ``action``.
 
+    Runs one job eagerly: the per-key summary is aggregated and written to
+    the shared checkpoint folder, and a few flags are read from it (are
+    there hot keys, ambiguous keys, multi-row inserts, NULL-key inserts)
+    so the returned plan contains only the branches the data needs.
     ``*_row_id`` optionally name extra columns that identify input rows
     deterministically (used only to spread hot keys); they are dropped.
     """
@@ -88,29 +133,35 @@ def merge_plan(
 
     tgt = target.select(*cols, *t_ids)
     src = source.select(*cols, *s_ids)
-    row = F.struct(*[F.col(c) for c in cols])
-
-    sa = src.groupBy(k).agg(
-        F.count(F.lit(1)).alias("_n_s"), F.min(row).alias("_s_lo"), F.max(row).alias("_s_hi")
-    )
-    tk = tgt.groupBy(k).agg(F.count(F.lit(1)).alias("_n_t"))
-    ki = sa.join(tk, on=k, how="full_outer")
+    ki = scratch_table(key_summary(tgt, src, k, cols), k, "merge_keys")
+
+    no_t = F.col("_n_t").isNull()
+    amb_c = ~F.col("_uniform") & F.col("_n_t").isNotNull()
+    facts = ki.agg(
+        F.max("_n_t").alias("max_t"),
+        F.max(F.when(no_t, F.col("_n_s"))).alias("max_ins"),
+        F.max(F.when(amb_c, F.col("_n_s"))).alias("max_amb_s"),
+        F.sum(F.when(no_t & F.col(k).isNull(), F.col("_n_s"))).alias("null_ins"),
+    ).first()
+    if facts["null_ins"]:
+        raise ValueError(f"NOT NULL constraint violated: {k} of an inserted row ({facts['null_ins']} rows)")
+    max_t, max_ins, max_amb = facts["max_t"] or 0, facts["max_ins"] or 0, facts["max_amb_s"] or 0
 
     # -- inserts: source keys with no target row ---------------------------
-    ins_keys = ki.where(F.col("_n_t").isNull()).where(assert_not_null(k, f"{k} of an inserted row"))
-    ins_one = ins_keys.where(F.col("_n_s") == 1).select(*[F.col(f"_s_lo.{c}").alias(c) for c in cols])
-    ins_many = salted_join(
-        src, ins_keys.where(F.col("_n_s") > 1).select(k, "_n_s"), [k], "_n_s", "left_semi", R, s_ids or None
-    ).select(*cols)
-    inserts = ins_one.unionByName(ins_many).withColumn(ACTION, F.lit(INSERT))
+    ins_keys = ki.where(no_t).where(assert_not_null(k, f"{k} of an inserted row"))
+    inserts = ins_keys.where(F.col("_n_s") == 1).select(*[F.col(f"_s.{c}").alias(c) for c in cols])
+    if max_ins > 1:
+        many = _lookup_join(
+            src, ins_keys.where(F.col("_n_s") > 1).select(k, "_n_s"), k, "_n_s", "left_semi", max_ins > R, R, s_ids or None
+        ).select(*cols)
+        inserts = inserts.unionByName(many)
+    inserts = inserts.withColumn(ACTION, F.lit(INSERT))
 
     # -- target rows look up their key's source summary --------------------
-    look = ki.where(F.col("_n_t").isNotNull()).select(
-        k, "_n_t", "_n_s", "_s_lo", F.col("_s_lo").eqNullSafe(F.col("_s_hi")).alias("_uniform")
-    )
-    tj = salted_join(tgt, look, [k], "_n_t", "left", R, t_ids or None)
-    s_lo = {c: F.col(f"_s_lo.{c}") for c in cols}
-    chg = changed([F.col(c) for c in spec.compare], [s_lo[c] for c in spec.compare])
+    look = ki.where(F.col("_n_t").isNotNull()).select(k, "_n_t", "_n_s", "_s", "_uniform")
+    tj = _lookup_join(tgt, look, k, "_n_t", "left", max_t > R, R, t_ids or None)
+    s = {c: F.col(f"_s.{c}") for c in cols}
+    chg = changed([F.col(c) for c in spec.compare], [s[c] for c in spec.compare])
     state = (
         F.when(F.col("_n_s").isNull(), F.lit(KEEP))
         .when(~F.col("_uniform"), F.lit(_AMBIG))
@@ -119,28 +170,31 @@ def merge_plan(
         .otherwise(F.lit(NOOP))
     )
     tj = tj.withColumn("_state", state)
-
-    direct = tj.where(F.col("_state") != _AMBIG).where(assert_that(F.col("_state") != _MULTI, MULTI_MATCH_ERROR))
+    direct = tj.where(F.col("_state") != _AMBIG) if max_amb else tj
+    direct = direct.where(assert_that(F.col("_state") != _MULTI, MULTI_MATCH_ERROR))
     is_upd = F.col("_state") == UPDATE
-    direct_out = direct.select(
-        *[(F.when(is_upd, s_lo[c]).otherwise(F.col(c)) if c in spec.update else F.col(c)).alias(c) for c in cols],
+    out = direct.select(
+        *[(F.when(is_upd, s[c]).otherwise(F.col(c)) if c in spec.update else F.col(c)).alias(c) for c in cols],
         F.col("_state").alias(ACTION),
     )
 
     # -- keys whose source rows differ: exact pair-free counting -----------
-    amb_t = tj.where(F.col("_state") == _AMBIG).select(*cols, *t_ids)
-    amb_keys = look.where(~F.col("_uniform")).select(k, "_n_s")
-    amb_s = salted_join(src, amb_keys, [k], "_n_s", "left_semi", R, s_ids or None).select(*cols)
-    outcome = _ambiguous_outcomes(amb_t, amb_s, spec, cols, src.schema)
-    amb = salted_join(amb_t, outcome, [k, *spec.compare], "_n", "left", R, t_ids or None)
-    amb = amb.where(assert_that(F.col("_q") <= 1, MULTI_MATCH_ERROR))
-    one = F.col("_q") == 1
-    amb_out = amb.select(
-        *[(F.when(one, F.col(f"_s.{c}")).otherwise(F.col(c)) if c in spec.update else F.col(c)).alias(c) for c in cols],
-        F.when(one, F.lit(UPDATE)).otherwise(F.lit(NOOP)).alias(ACTION),
-    )
+    if max_amb:
+        amb_t = tj.where(F.col("_state") == _AMBIG).select(*cols, *t_ids)
+        amb_keys = ki.where(amb_c).select(k, "_n_s")
+        amb_s = _lookup_join(src, amb_keys, k, "_n_s", "left_semi", max_amb > R, R, s_ids or None).select(*cols)
+        outcome = _ambiguous_outcomes(amb_t, amb_s, spec, cols, src.schema)
+        amb = salted_join(amb_t, outcome, [k, *spec.compare], "_n", "left", R, t_ids or None)
+        amb = amb.where(assert_that(F.col("_q") <= 1, MULTI_MATCH_ERROR))
+        one = F.col("_q") == 1
+        out = out.unionByName(
+            amb.select(
+                *[(F.when(one, F.col(f"_s.{c}")).otherwise(F.col(c)) if c in spec.update else F.col(c)).alias(c) for c in cols],
+                F.when(one, F.lit(UPDATE)).otherwise(F.lit(NOOP)).alias(ACTION),
+            )
+        )
 
-    return direct_out.unionByName(amb_out).unionByName(inserts)
+    return out.unionByName(inserts)
 
 
 def _ambiguous_outcomes(amb_t: DataFrame, amb_s: DataFrame, spec: MergeSpec, cols: list[str], schema) -> DataFrame:
