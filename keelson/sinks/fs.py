@@ -54,3 +54,22 @@ def qualify(spark: SparkSession, path: str) -> str:
 def delete(spark: SparkSession, path: str, recursive: bool = True) -> bool:
     fs, p = _fs_and_path(spark, path)
     return bool(fs.delete(p, recursive))
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Contents of a small text file, or None when it does not exist."""
+    fs, p = _fs_and_path(spark, path)
+    if not fs.exists(p):
+        return None
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(p)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        lines = []
+        line = reader.readLine()
+        while line is not None:
+            lines.append(line)
+            line = reader.readLine()
+        return "\n".join(lines)
+    finally:
+        stream.close()

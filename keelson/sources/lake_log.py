@@ -14,6 +14,8 @@ build the Parquet scan; rows never do.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,7 +34,16 @@ ACTION_SCHEMA = T.StructType(
                     T.StructField("size", T.LongType()),
                     T.StructField("modificationTime", T.LongType()),
                     T.StructField("dataChange", T.BooleanType()),
-                    T.StructField("deletionVector", T.StringType()),
+                    T.StructField(
+                        "deletionVector",
+                        T.StructType(
+                            [
+                                T.StructField("storageType", T.StringType()),
+                                T.StructField("pathOrInlineDv", T.StringType()),
+                                T.StructField("cardinality", T.LongType()),
+                            ]
+                        ),
+                    ),
                 ]
             ),
         ),
@@ -78,12 +89,33 @@ def log_path(table_path: str) -> str:
     return f"{table_path.rstrip('/')}/{LOG_DIR}"
 
 
+def last_checkpoint(spark: SparkSession, table_path: str) -> int | None:
+    """Version named by ``_last_checkpoint`` (written by other writers), if any."""
+    from keelson.sinks import fs
+
+    text = fs.read_text(spark, f"{log_path(table_path)}/_last_checkpoint")
+    if not text:
+        return None
+    return int(json.loads(text.splitlines()[0])["version"])
+
+
 def log_actions(spark: SparkSession, table_path: str) -> DataFrame:
-    """All actions of all commits, with ``version`` (bigint) from the file name."""
-    raw = spark.read.schema(ACTION_SCHEMA).json(f"{log_path(table_path)}/*.json")
-    return raw.withColumn("version", version_from_name(F.col("_metadata.file_name"))).where(
+    """All actions since the last checkpoint (or since version 0), with
+    ``version`` (bigint) from the file name. A checkpoint's actions count
+    as its version; JSON commits at or below it are ignored (they may
+    already be cleaned up)."""
+    log = log_path(table_path)
+    raw = spark.read.schema(ACTION_SCHEMA).json(f"{log}/*.json")
+    commits = raw.withColumn("version", version_from_name(F.col("_metadata.file_name"))).where(
         F.col("version").isNotNull()
     )
+    cp = last_checkpoint(spark, table_path)
+    if cp is None:
+        return commits
+    ck = spark.read.schema(ACTION_SCHEMA).parquet(f"{log}/{cp:020d}.checkpoint*.parquet").withColumn(
+        "version", F.lit(cp).cast("bigint")
+    )
+    return ck.unionByName(commits.where(F.col("version") > cp))
 
 
 def file_actions(actions: DataFrame) -> DataFrame:
@@ -142,16 +174,22 @@ def latest_version_by_listing(spark: SparkSession, table_path: str) -> int:
 
 def table_metadata(actions: DataFrame) -> dict:
     """Schema, partition columns and reader version from the latest
-    ``metaData`` / ``protocol`` actions (a handful of rows)."""
-    meta = actions.where(F.col("metaData").isNotNull()).orderBy(F.col("version").desc()).select("metaData").first()
-    proto = actions.where(F.col("protocol").isNotNull()).orderBy(F.col("version").desc()).select("protocol").first()
-    if meta is None:
+    ``metaData`` / ``protocol`` actions (one small job; one row per commit
+    that carries either)."""
+    rows = (
+        actions.where(F.col("metaData").isNotNull() | F.col("protocol").isNotNull())
+        .select("version", "metaData", "protocol")
+        .collect()
+    )
+    metas = sorted((r for r in rows if r["metaData"] is not None), key=lambda r: r["version"])
+    protos = sorted((r for r in rows if r["protocol"] is not None), key=lambda r: r["version"])
+    if not metas:
         raise NoCommitsError("commit log has no metaData action")
-    md = meta["metaData"]
+    md = metas[-1]["metaData"]
     return {
-        "schema": T.StructType.fromJson(__import__("json").loads(md["schemaString"])),
+        "schema": T.StructType.fromJson(json.loads(md["schemaString"])),
         "partition_columns": list(md["partitionColumns"] or []),
-        "min_reader_version": (proto["protocol"]["minReaderVersion"] if proto else 1) or 1,
+        "min_reader_version": (protos[-1]["protocol"]["minReaderVersion"] if protos else 1) or 1,
     }
 
 

@@ -187,3 +187,40 @@ def test_publish_lake_view_rewrites_uri(spark):
     assert spark.table("t_federated").count() == 8
     with pytest.raises(Exception, match="invalid ADLS URI"):
         jobs.publish_lake_view(spark, "t_federated", f"{root}/lake", "https://not-adls/x", "myacct")
+
+
+def test_replay_starts_at_last_checkpoint(spark):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    path = work_dir(spark, "t-lake")
+    lake_commit.commit_overwrite(txn_df(spark, FIRST_COMMIT), path)  # v0: 5 rows
+    lake_commit.commit_append(txn_df(spark, SECOND_COMMIT), path)  # v1: +3 rows
+    lake_commit.commit_append(txn_df(spark, SECOND_COMMIT[1:]), path)  # v2: +2 rows
+    logdir = os.path.join(_local(path), "_delta_log")
+    v0 = [json.loads(line) for line in open(os.path.join(logdir, f"{0:020d}.json")) if line.strip()]
+    # a checkpoint at v1 that (deliberately) holds only the v0 state: the JSON
+    # of v0 and v1 must then be ignored and only v2 replayed on top of it
+    rows = []
+    for a in v0:
+        if "add" in a:
+            rows.append({"add": {"path": a["add"]["path"], "size": a["add"]["size"], "modificationTime": 0, "dataChange": True}, "metaData": None, "protocol": None})
+        elif "metaData" in a:
+            m = a["metaData"]
+            rows.append({"add": None, "metaData": {"id": m["id"], "schemaString": m["schemaString"], "partitionColumns": []}, "protocol": None})
+        elif "protocol" in a:
+            rows.append({"add": None, "metaData": None, "protocol": a["protocol"]})
+    schema = pa.schema(
+        [
+            ("add", pa.struct([("path", pa.string()), ("size", pa.int64()), ("modificationTime", pa.int64()), ("dataChange", pa.bool_())])),
+            ("metaData", pa.struct([("id", pa.string()), ("schemaString", pa.string()), ("partitionColumns", pa.list_(pa.string()))])),
+            ("protocol", pa.struct([("minReaderVersion", pa.int32()), ("minWriterVersion", pa.int32())])),
+        ]
+    )
+    pq.write_table(pa.Table.from_pylist(rows, schema=schema), os.path.join(logdir, f"{1:020d}.checkpoint.parquet"))
+    with open(os.path.join(logdir, "_last_checkpoint"), "w") as fh:
+        fh.write(json.dumps({"version": 1, "size": len(rows)}) + "\n")
+    assert lake_log.snapshot(spark, path).count() == 7
+    assert lake_log.latest_version(spark, path) == 2
+    assert lake_commit.commit_append(txn_df(spark, SECOND_COMMIT[:1]), path) == 3
+    assert lake_log.snapshot(spark, path).count() == 8
