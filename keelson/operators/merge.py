@@ -43,7 +43,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from keelson.functions.expressions import assert_not_null, assert_that, changed
@@ -65,9 +65,10 @@ class MergeSpec:
     rows_per_task: int = DEFAULT_ROWS_PER_TASK
 
 
-def scratch_table(df: DataFrame, key: str, label: str) -> DataFrame:
+def scratch_table(df: DataFrame, key: str, label: str, metrics: Sequence[Column] = ()) -> tuple[DataFrame, dict]:
     """Write ``df`` bucketed by ``key`` into a Parquet table under the shared
-    checkpoint folder and read it back.
+    checkpoint folder and read it back; ``metrics`` are observed during the
+    write (no second pass).
 
     This cuts the lineage (a lost executor later on does not recompute the
     aggregates) and, because the table is bucketed on the join key with the
@@ -79,8 +80,10 @@ def scratch_table(df: DataFrame, key: str, label: str) -> DataFrame:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{checkpoint_dir(spark).rstrip('/')}/keelson-scratch.db'")
     name = f"{db}.{label}_{uuid.uuid4().hex[:12]}"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.format("parquet").bucketBy(n, key).mode("errorifexists").saveAsTable(name)
-    return spark.table(name)
+    obs = Observation(f"{label}_{uuid.uuid4().hex[:8]}")
+    observed = df.observe(obs, F.count(F.lit(1)).alias("_rows"), *metrics)
+    observed.write.format("parquet").bucketBy(n, key).mode("errorifexists").saveAsTable(name)
+    return spark.table(name), dict(obs.get)
 
 
 def key_summary(target: DataFrame, source: DataFrame, key: str, cols: list[str]) -> DataFrame:
@@ -133,19 +136,22 @@ def merge_plan(
 
     tgt = target.select(*cols, *t_ids)
     src = source.select(*cols, *s_ids)
-    ki = scratch_table(key_summary(tgt, src, k, cols), k, "merge_keys")
-
     no_t = F.col("_n_t").isNull()
     amb_c = ~F.col("_uniform") & F.col("_n_t").isNotNull()
-    facts = ki.agg(
-        F.max("_n_t").alias("max_t"),
-        F.max(F.when(no_t, F.col("_n_s"))).alias("max_ins"),
-        F.max(F.when(amb_c, F.col("_n_s"))).alias("max_amb_s"),
-        F.sum(F.when(no_t & F.col(k).isNull(), F.col("_n_s"))).alias("null_ins"),
-    ).first()
-    if facts["null_ins"]:
+    ki, facts = scratch_table(
+        key_summary(tgt, src, k, cols),
+        k,
+        "merge_keys",
+        [
+            F.max("_n_t").alias("max_t"),
+            F.max(F.when(no_t, F.col("_n_s"))).alias("max_ins"),
+            F.max(F.when(amb_c, F.col("_n_s"))).alias("max_amb_s"),
+            F.sum(F.when(no_t & F.col(k).isNull(), F.col("_n_s"))).alias("null_ins"),
+        ],
+    )
+    if facts.get("null_ins"):
         raise ValueError(f"NOT NULL constraint violated: {k} of an inserted row ({facts['null_ins']} rows)")
-    max_t, max_ins, max_amb = facts["max_t"] or 0, facts["max_ins"] or 0, facts["max_amb_s"] or 0
+    max_t, max_ins, max_amb = (facts.get(m) or 0 for m in ("max_t", "max_ins", "max_amb_s"))
 
     # -- inserts: source keys with no target row ---------------------------
     ins_keys = ki.where(no_t).where(assert_not_null(k, f"{k} of an inserted row"))
