@@ -29,6 +29,16 @@ FINAL_MERGE = MergeSpec(
 )
 
 
+ROW_ID = "_row_id"
+
+
+def with_row_id(df: DataFrame) -> DataFrame:
+    """Add a compact, deterministic row identity taken from the file scan
+    (hash of file path and row index): used only to spread the rows of a
+    hot key over salt buckets, and pruned when no key is hot."""
+    return df.withColumn(ROW_ID, F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")))
+
+
 # -- B1 ----------------------------------------------------------------------
 def write_lake_table(first: DataFrame, second: DataFrame, table_path: str, snapshot_folder: str) -> dict:
     """Overwrite commit, append commit, read back the latest version, export
@@ -122,10 +132,11 @@ def merge_into_final(spark: SparkSession, wh: Warehouse, as_of: dt.datetime | No
     """The merge step of B4: the merged table is written aside and the
     final table re-pointed; the affected-row count (inserted + updated) is
     observed on the written rows, not recounted."""
-    staging = spark.table(wh.name(wh.staging))
+    staging = with_row_id(spark.table(wh.name(wh.staging)))
     customers = spark.table(wh.name(wh.customers))
-    target = spark.table(wh.name(wh.final))
-    merged = merge_plan(target, merge_source(staging, customers, as_of), spec)
+    target = with_row_id(spark.table(wh.name(wh.final)))
+    source = merge_source(staging, customers, as_of, extra=[ROW_ID])
+    merged = merge_plan(target, source, spec, target_row_id=[ROW_ID], source_row_id=[ROW_ID])
     metrics = [
         F.sum(F.when(F.col(ACTION).isin(INSERT, UPDATE), 1).otherwise(0)).alias("affected_rows"),
         *[F.sum(F.when(F.col(ACTION) == a, 1).otherwise(0)).alias(a.lower()) for a in ("INSERT", "UPDATE", "NOOP", "KEEP")],

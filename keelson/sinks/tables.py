@@ -68,20 +68,16 @@ def insert_append(df: DataFrame, name: str) -> None:
     df.write.insertInto(name, overwrite=False)
 
 
-def seed_if_empty(spark: SparkSession, seed: DataFrame, name: str, columns: list[str]) -> None:
+def seed_if_empty(spark: SparkSession, seed: DataFrame, name: str, columns: list[str]) -> bool:
     """``INSERT INTO t (cols) SELECT ... WHERE NOT EXISTS (SELECT 1 FROM t LIMIT 1)`` (K6).
 
-    The existence test reads at most one row of the table."""
-    view = f"_seed_{uuid.uuid4().hex[:10]}"
-    seed.select(*columns).createOrReplaceTempView(view)
-    try:
-        cols = ", ".join(columns)
-        spark.sql(
-            f"INSERT INTO {name} ({cols}) SELECT {cols} FROM {view} "
-            f"WHERE NOT EXISTS (SELECT 1 FROM {name} LIMIT 1)"
-        )
-    finally:
-        spark.catalog.dropTempView(view)
+    The existence test is a one-row probe of the table (``isEmpty`` stops at
+    the first row found); only when it finds nothing are the seed rows
+    inserted. Returns whether rows were inserted."""
+    if not spark.table(name).isEmpty():
+        return False
+    seed.select(*columns).write.insertInto(name, overwrite=False)
+    return True
 
 
 def export_snapshot(df: DataFrame, folder: str) -> None:
