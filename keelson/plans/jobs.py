@@ -141,8 +141,12 @@ def merge_into_final(spark: SparkSession, wh: Warehouse, as_of: dt.datetime | No
         F.sum(F.when(F.col(ACTION).isin(INSERT, UPDATE), 1).otherwise(0)).alias("affected_rows"),
         *[F.sum(F.when(F.col(ACTION) == a, 1).otherwise(0)).alias(a.lower()) for a in ("INSERT", "UPDATE", "NOOP", "KEEP")],
     ]
+    # conform to the table's declared types (for example a zoned statement
+    # timestamp written into a zone-less column)
+    table_fields = [f for f in spark.table(wh.name(wh.final)).schema.fields]
+    conformed = merged.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table_fields], ACTION)
     new_loc = f"{wh.root}/{wh.final}/v-{uuid.uuid4().hex[:12]}"
-    return tables.write_observed_and_swap(merged, ACTION, wh.name(wh.final), new_loc, metrics)
+    return tables.write_observed_and_swap(conformed, ACTION, wh.name(wh.final), new_loc, metrics)
 
 
 def final_summary(spark: SparkSession, wh: Warehouse) -> DataFrame:

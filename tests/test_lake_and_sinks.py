@@ -224,3 +224,16 @@ def test_replay_starts_at_last_checkpoint(spark):
     assert lake_log.latest_version(spark, path) == 2
     assert lake_commit.commit_append(txn_df(spark, SECOND_COMMIT[:1]), path) == 3
     assert lake_log.snapshot(spark, path).count() == 8
+
+
+def test_merge_job_without_as_of_keeps_table_types(spark):
+    from fixture_a import FINAL_SCHEMA
+
+    root = work_dir(spark, "t-job")
+    jobs.write_lake_table(txn_df(spark, FIRST_COMMIT), txn_df(spark, SECOND_COMMIT), f"{root}/lake", f"{root}/snap")
+    wh = jobs.Warehouse.create(spark, root)
+    jobs.stage_and_merge(spark, f"{root}/lake", wh, customers_df(spark), CUSTOMER_SCHEMA, FINAL_SCHEMA, "dev")
+    final = spark.table(wh.name("final_table"))
+    assert final.schema["last_updated"].dataType == FINAL_SCHEMA["last_updated"].dataType
+    assert spark.read.parquet(tables.table_location(spark, wh.name("final_table"))).schema["last_updated"].dataType == FINAL_SCHEMA["last_updated"].dataType
+    assert final.where(F.col("last_updated").isNull()).count() == 0
