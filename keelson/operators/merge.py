@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from keelson.functions.expressions import assert_not_null, assert_that, changed
-from keelson.operators.skew import DEFAULT_ROWS_PER_TASK, salted_join
+from keelson.operators.skew import DEFAULT_ROWS_PER_TASK, counted_salted_join, salted_join
 from keelson.session import checkpoint_dir
 
 ACTION = "action"
@@ -206,10 +206,13 @@ def merge_plan(
 def _ambiguous_outcomes(amb_t: DataFrame, amb_s: DataFrame, spec: MergeSpec, cols: list[str], schema) -> DataFrame:
     """Per distinct (key, compare values) of target rows: ``_n`` target rows,
     ``_q`` qualifying source rows and ``_s`` the qualifying source row when
-    ``_q == 1``."""
+    ``_q == 1``. Every join here is many-to-one and salted by the measured
+    number of rows per join key, so no key or cube cell lands whole in one
+    task."""
     k, cmp = spec.key, list(spec.compare)
-    m = len(cmp)
+    m, R = len(cmp), spec.rows_per_task
     dtype = {f.name: f.dataType for f in schema.fields}
+    probe_cols = [f"_p{j}" for j in range(m)]
 
     sv = (
         amb_s.groupBy(*cols)
@@ -224,26 +227,29 @@ def _ambiguous_outcomes(amb_t: DataFrame, amb_s: DataFrame, spec: MergeSpec, col
     def nul(c: str) -> Column:
         return F.lit(None).cast(dtype[c])
 
+    # cube cells: for each subset of compare columns rolled up (mask bit 1),
+    # the remaining columns keep their value (NULL included)
     cells = [
         F.struct(
-            F.lit(mask).alias("_mask"),
-            *[(nul(c) if (mask >> j) & 1 else F.col(c)).alias(f"_v{j}") for j, c in enumerate(cmp)],
+            F.lit(mask).alias("_pmask"),
+            *[(nul(c) if (mask >> j) & 1 else F.col(c)).alias(probe_cols[j]) for j, c in enumerate(cmp)],
         )
         for mask in range(2**m)
     ]
     cube = (
-        sv.select(F.col(k).alias("_ck"), "_mult", "_va", "_vb", F.explode(F.array(*cells)).alias("_cell"))
-        .select("_ck", "_mult", "_va", "_vb", "_cell.*")
-        .groupBy("_ck", "_mask", *[f"_v{j}" for j in range(m)])
+        sv.select(k, "_mult", "_va", "_vb", F.explode(F.array(*cells)).alias("_cell"))
+        .select(k, "_mult", "_va", "_vb", "_cell.*")
+        .groupBy(k, "_pmask", *probe_cols)
         .agg(F.sum("_mult").alias("_cnt"), F.bit_xor("_va").alias("_cxa"), F.bit_xor("_vb").alias("_cxb"))
     )
 
+    # probes: per target variant, the cells holding its non-qualifying rows
     tv = amb_t.groupBy(k, *cmp).agg(F.count(F.lit(1)).alias("_n"))
     null_mask = sum((F.when(F.col(c).isNull(), F.lit(1 << j)).otherwise(F.lit(0)) for j, c in enumerate(cmp)), F.lit(0))
     choices = [
         F.struct(
             F.lit(ch).alias("_ch"),
-            *[(nul(c) if (ch >> j) & 1 else F.col(c)).alias(f"_p{j}") for j, c in enumerate(cmp)],
+            *[(nul(c) if (ch >> j) & 1 else F.col(c)).alias(probe_cols[j]) for j, c in enumerate(cmp)],
         )
         for ch in range(2**m)
     ]
@@ -253,13 +259,10 @@ def _ambiguous_outcomes(amb_t: DataFrame, amb_s: DataFrame, spec: MergeSpec, col
             "_probe",
             F.explode(F.filter(F.array(*choices), lambda x: x["_ch"].bitwiseAND(F.col("_pmask")) == 0)),
         )
-        .select(k, *cmp, "_n", "_pmask", *[F.col(f"_probe._p{j}").alias(f"_p{j}") for j in range(m)])
+        .select(k, *cmp, "_n", "_pmask", *[F.col(f"_probe.{p}").alias(p) for p in probe_cols])
     )
-    cond = [probes[k] == cube["_ck"], probes["_pmask"] == cube["_mask"]] + [
-        probes[f"_p{j}"].eqNullSafe(cube[f"_v{j}"]) for j in range(m)
-    ]
     nq = (
-        probes.join(cube, cond, "left")
+        counted_salted_join(probes, cube, [k, "_pmask", *probe_cols], "left", R)
         .groupBy(k, *cmp, "_n")
         .agg(
             F.sum(F.coalesce("_cnt", F.lit(0))).alias("_nq"),
@@ -267,7 +270,7 @@ def _ambiguous_outcomes(amb_t: DataFrame, amb_s: DataFrame, spec: MergeSpec, col
             F.bit_xor(F.coalesce("_cxb", F.lit(0).cast("bigint"))).alias("_nxb"),
         )
     )
-    res = nq.join(kd.withColumnRenamed(k, "_dk"), nq[k] == F.col("_dk")).select(
+    res = counted_salted_join(nq, kd, [k], "inner", R).select(
         k,
         *cmp,
         "_n",
@@ -275,21 +278,16 @@ def _ambiguous_outcomes(amb_t: DataFrame, amb_s: DataFrame, spec: MergeSpec, col
         F.col("_xa_all").bitwiseXOR(F.col("_nxa")).alias("_qa"),
         F.col("_xb_all").bitwiseXOR(F.col("_nxb")).alias("_qb"),
     )
+
+    # the one qualifying variant, by id; rows with _q != 1 need no lookup
     fetch = sv.where(F.col("_mult") == 1).select(
-        F.col(k).alias("_fk"), F.col("_va").alias("_fa"), F.col("_vb").alias("_fb"),
-        F.struct(*[F.col(c) for c in cols]).alias("_s"),
-    )
-    out = res.join(
-        fetch,
-        (res[k] == fetch["_fk"]) & (res["_q"] == 1) & (res["_qa"] == fetch["_fa"]) & (res["_qb"] == fetch["_fb"]),
-        "left",
-    )
-    sane = (F.col("_q") != 1) | (
-        F.col("_s").isNotNull() & changed([F.col(c) for c in cmp], [F.col(f"_s.{c}") for c in cmp])
-    )
-    return out.where(assert_that(sane, "MERGE internal check failed: qualifying source row not found")).select(
-        k, *cmp, "_n", "_q", "_s"
+        k, F.col("_va").alias("_qa"), F.col("_vb").alias("_qb"), F.struct(*[F.col(c) for c in cols]).alias("_s")
     )
+    one = counted_salted_join(res.where(F.col("_q") == 1), fetch, [k, "_qa", "_qb"], "left", R)
+    sane = F.col("_s").isNotNull() & changed([F.col(c) for c in cmp], [F.col(f"_s.{c}") for c in cmp])
+    one = one.where(assert_that(sane, "MERGE internal check failed: qualifying source row not found"))
+    rest = res.where(F.col("_q") != 1).withColumn("_s", F.lit(None).cast(fetch.schema["_s"].dataType))
+    return one.select(k, *cmp, "_n", "_q", "_s").unionByName(rest.select(k, *cmp, "_n", "_q", "_s"))
 
 
 def action_counts(merged: DataFrame) -> DataFrame:

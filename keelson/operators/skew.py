@@ -87,3 +87,26 @@ def salted_join(
     if how in ("left_semi", "semi", "leftsemi", "left_anti", "anti", "leftanti"):
         return joined.drop("_salt")
     return joined.drop(*[f"_lk_{i}" for i in range(len(keys))], "_salt", "_lsalt")
+
+
+def counted_salted_join(
+    big: DataFrame,
+    lookup: DataFrame,
+    keys: Sequence[str],
+    how: str,
+    rows_per_task: int = DEFAULT_ROWS_PER_TASK,
+    row_id: Sequence[str] | str | None = None,
+    null_safe: bool = True,
+) -> DataFrame:
+    """:func:`salted_join` when the per-key row counts of ``big`` are not
+    known yet: they are computed with an aggregate (pre-combined map-side)
+    and attached to the lookup rows by a one-to-one join (both sides have
+    one row per key, so that join cannot be skewed)."""
+    keys = list(keys)
+    counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_big_rows"))
+    c = counts.select(*[F.col(k).alias(f"_ck_{i}") for i, k in enumerate(keys)], "_big_rows")
+    cond = [
+        (lookup[k].eqNullSafe(c[f"_ck_{i}"]) if null_safe else lookup[k] == c[f"_ck_{i}"]) for i, k in enumerate(keys)
+    ]
+    counted = lookup.join(c, cond, "left").drop(*[f"_ck_{i}" for i in range(len(keys))])
+    return salted_join(big, counted, keys, "_big_rows", how, rows_per_task, row_id, null_safe).drop("_big_rows")
