@@ -277,7 +277,8 @@ def uri_rewrite(spark, sf):
 
 
 # -- jobs (B1 + B4) and table metadata (S12) -------------------------------------
-def _run_jobs(spark, sf):
+def run_jobs(spark, sf):
+    """B1 then B4 over the driver tables; returns the warehouse."""
     root = work_dir(spark, "job")
     lake = f"{root}/lake"
     jobs.write_lake_table(
@@ -296,14 +297,14 @@ def _run_jobs(spark, sf):
 
 
 def job_final_table(spark, sf):
-    wh = _run_jobs(spark, sf)
+    wh = run_jobs(spark, sf)
     return spark.table(wh.name(wh.final))
 
 
 def table_info(spark, sf):
     from keelson.sources.catalog import table_info as info
 
-    wh = _run_jobs(spark, sf)
+    wh = run_jobs(spark, sf)
     return info(spark, [wh.name(t) for t in (wh.staging, wh.customers, wh.final)])
 
 

@@ -4,7 +4,6 @@ every data step is a distributed Spark write or read."""
 from __future__ import annotations
 
 import datetime as dt
-import logging
 import uuid
 from dataclasses import dataclass, field
 
@@ -18,9 +17,7 @@ from keelson.operators.summary import status_summary
 from keelson.sinks import labels as label_sink
 from keelson.sinks import lake_commit, tables
 from keelson.sources import external, lake_log
-from keelson.sources.driver_tables import CUSTOMER_COLUMNS, FINAL_COLUMNS
-
-log = logging.getLogger(__name__)
+from keelson.sources.driver_tables import CUSTOMER_COLUMNS
 
 FINAL_MERGE = MergeSpec(
     key="transaction_id",

@@ -8,7 +8,6 @@ private temporary folder created and registered as the checkpoint dir.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -87,17 +86,3 @@ def work_dir(spark: SparkSession, label: str = "run") -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/keelson-work/{label}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(uri: str) -> str:
-    """Strip a ``file:`` scheme (for messages and tests only)."""
-    if uri.startswith("file:"):
-        return uri[len("file:"):].replace("///", "/", 1) if uri.startswith("file:///") else uri[5:]
-    return uri
-
-
-def env_cpus(default: int = 8) -> int:
-    try:
-        return int(os.environ.get("BENCH_CPUS", default))
-    except ValueError:
-        return default
