@@ -195,3 +195,36 @@ def test_hot_key_spreads_and_stays_exact(spark):
     assert expected != "ERROR"
     got = Counter(tuple(r) for r in merge_plan(spark.createDataFrame(target, P_SCHEMA), spark.createDataFrame(source, P_SCHEMA), P_SPEC).collect())
     assert got == expected
+
+
+def _structured_case(seed: int):
+    """Keys with many target and source rows where every target row has at
+    most one qualifying source row: all rows of a key agree with a base row
+    up to NULLs, and at most one source row differs in a non-NULL value."""
+    rnd = random.Random(seed)
+    target, source = [], []
+
+    def maybe(v):
+        return None if rnd.random() < 0.3 else v
+
+    for key in range(12):
+        k = f"K{key}"
+        a, b, x = rnd.choice("pq"), rnd.choice("rs"), Decimal(rnd.choice(["1.00", "2.00"]))
+        for i in range(rnd.choice([0, 1, 2, 5, 9])):
+            target.append((k, maybe(a), maybe(b), maybe(x), f"t{key}-{i}"))
+        for i in range(rnd.choice([0, 1, 2, 4, 7])):
+            source.append((k, maybe(a), maybe(b), maybe(x), rnd.choice(["e1", "e2", None])))
+        if rnd.random() < 0.6:
+            source.append((k, "z", maybe(b), maybe(x), f"diff{key}"))
+    target += [(None, "p", "r", Decimal("1.00"), f"null{i}") for i in range(4)]
+    return target, source
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_structured_duplicates_match_brute_force(spark, seed):
+    target, source = _structured_case(seed)
+    expected = brute_merge(target, source)
+    assert expected != "ERROR"
+    spec = MergeSpec("k", ("a", "b", "x"), ("a", "x", "e"), rows_per_task=3)
+    got = merge_plan(spark.createDataFrame(target, P_SCHEMA), spark.createDataFrame(source, P_SCHEMA), spec).collect()
+    assert Counter(tuple(r) for r in got) == expected
