@@ -167,7 +167,7 @@ key = st.sampled_from(["K1", "K2", "K3", "K4"])
 row = st.tuples(key, val, val, amt, st.sampled_from(["e1", "e2", None]))
 
 
-@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(row, max_size=9), st.lists(row, max_size=9), st.booleans())
 def test_merge_matches_brute_force(spark, target, source, null_target_key):
     if null_target_key and target:
