@@ -37,17 +37,24 @@ def with_row_id(df: DataFrame) -> DataFrame:
 
 
 # -- B1 ----------------------------------------------------------------------
-def write_lake_table(first: DataFrame, second: DataFrame, table_path: str, snapshot_folder: str) -> dict:
+def snapshot_folder_for(snapshot_root: str, version: int) -> str:
+    """Where the Parquet snapshot of ``version`` is exported."""
+    return f"{snapshot_root.rstrip('/')}/version={version}"
+
+
+def write_lake_table(first: DataFrame, second: DataFrame, table_path: str, snapshot_root: str) -> dict:
     """Overwrite commit, append commit, read back the latest version, export
-    a Parquet snapshot of it."""
+    a Parquet snapshot of it into a folder named after that version (so a
+    view over the snapshot always knows which version it shows)."""
     v0 = lake_commit.commit_overwrite(first, table_path)
     v1 = lake_commit.commit_append(second, table_path)
     spark = first.sparkSession
+    version = lake_log.latest_version(spark, table_path)
     snap = lake_log.snapshot(spark, table_path)
-    tables.export_snapshot(snap, snapshot_folder)
+    tables.export_snapshot(snap, snapshot_folder_for(snapshot_root, version))
     return {
         "versions": (v0, v1),
-        "version": lake_log.latest_version(spark, table_path),
+        "version": version,
         "files": lake_log.snapshot_file_count(spark, table_path),
     }
 
@@ -65,13 +72,20 @@ def publish_lake_view(spark: SparkSession, name: str, table_path: str, adls_uri:
 
 
 # -- B3 ----------------------------------------------------------------------
-def refresh_parquet_view(spark: SparkSession, name: str, table_path: str, parquet_folder: str) -> dict:
+def refresh_parquet_view(spark: SparkSession, name: str, table_path: str, snapshot_root: str) -> dict:
     """Find the latest committed version by listing the log (raises when
-    there is none), then (re)create the view over the Parquet snapshot."""
+    there is none), then (re)create the view over that version's Parquet
+    snapshot. A snapshot that has not been exported yet raises instead of
+    silently showing an older version."""
+    from keelson.sinks import fs
+
     version = lake_log.latest_version_by_listing(spark, table_path)
+    folder = snapshot_folder_for(snapshot_root, version)
+    if not fs.exists(spark, folder):
+        raise FileNotFoundError(f"no snapshot exported for version {version} under {snapshot_root}")
     tables.drop_if_managed(spark, name)
-    external.parquet_view(spark, name, parquet_folder)
-    return {"view": name, "version": version}
+    external.parquet_view(spark, name, folder)
+    return {"view": name, "version": version, "folder": folder}
 
 
 # -- B4 ----------------------------------------------------------------------

@@ -175,6 +175,10 @@ def test_refresh_view_job_requires_commits(spark):
     jobs.write_lake_table(txn_df(spark, FIRST_COMMIT), txn_df(spark, SECOND_COMMIT), f"{root}/lake", f"{root}/snap")
     r = jobs.refresh_parquet_view(spark, "t_refresh_view", f"{root}/lake", f"{root}/snap")
     assert r["version"] == 1 and spark.table("t_refresh_view").count() == 8
+    # a newer commit without its snapshot: the view is not silently stale
+    lake_commit.commit_append(txn_df(spark, SECOND_COMMIT), f"{root}/lake")
+    with pytest.raises(FileNotFoundError):
+        jobs.refresh_parquet_view(spark, "t_refresh_view", f"{root}/lake", f"{root}/snap")
 
 
 def test_publish_lake_view_rewrites_uri(spark):
