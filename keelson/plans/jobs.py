@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 
 from keelson.functions.expressions import azure_blob_uri
 from keelson.operators.enrich import merge_source
-from keelson.operators.merge import ACTION, INSERT, UPDATE, MergeSpec, merge_plan
+from keelson.operators.merge import MergeSpec
 from keelson.operators.summary import status_summary
 from keelson.sinks import labels as label_sink
 from keelson.sinks import lake_commit, tables
+from keelson.sinks.merge_into import ROW_ID, merge_into, with_row_id
 from keelson.sources import external, lake_log
 from keelson.sources.driver_tables import CUSTOMER_COLUMNS
 
@@ -26,16 +27,6 @@ FINAL_MERGE = MergeSpec(
 )
 
 
-ROW_ID = "_row_id"
-
-
-def with_row_id(df: DataFrame) -> DataFrame:
-    """Add a compact, deterministic row identity taken from the file scan
-    (hash of file path and row index): used only to spread the rows of a
-    hot key over salt buckets, and pruned when no key is hot."""
-    return df.withColumn(ROW_ID, F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")))
-
-
 # -- B1 ----------------------------------------------------------------------
 def snapshot_folder_for(snapshot_root: str, version: int) -> str:
     """Where the Parquet snapshot of ``version`` is exported."""
@@ -140,24 +131,13 @@ def stage_and_merge(
 
 
 def merge_into_final(spark: SparkSession, wh: Warehouse, as_of: dt.datetime | None = None, spec: MergeSpec = FINAL_MERGE) -> dict:
-    """The merge step of B4: the merged table is written aside and the
-    final table re-pointed; the affected-row count (inserted + updated) is
-    observed on the written rows, not recounted."""
+    """The merge step of B4: ``MERGE final_table USING (staging LEFT JOIN
+    customers)``; returns the counts observed while the merged table is
+    written (affected rows = inserted + updated)."""
     staging = with_row_id(spark.table(wh.name(wh.staging)))
     customers = spark.table(wh.name(wh.customers))
-    target = with_row_id(spark.table(wh.name(wh.final)))
     source = merge_source(staging, customers, as_of, extra=[ROW_ID])
-    merged = merge_plan(target, source, spec, target_row_id=[ROW_ID], source_row_id=[ROW_ID])
-    metrics = [
-        F.sum(F.when(F.col(ACTION).isin(INSERT, UPDATE), 1).otherwise(0)).alias("affected_rows"),
-        *[F.sum(F.when(F.col(ACTION) == a, 1).otherwise(0)).alias(a.lower()) for a in ("INSERT", "UPDATE", "NOOP", "KEEP")],
-    ]
-    # conform to the table's declared types (for example a zoned statement
-    # timestamp written into a zone-less column)
-    table_fields = [f for f in spark.table(wh.name(wh.final)).schema.fields]
-    conformed = merged.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table_fields], ACTION)
-    new_loc = f"{wh.root}/{wh.final}/v-{uuid.uuid4().hex[:12]}"
-    return tables.write_observed_and_swap(conformed, ACTION, wh.name(wh.final), new_loc, metrics)
+    return merge_into(spark, wh.name(wh.final), source, spec, source_row_id=ROW_ID, location=f"{wh.root}/{wh.final}/v-{uuid.uuid4().hex[:12]}")
 
 
 def final_summary(spark: SparkSession, wh: Warehouse) -> DataFrame:

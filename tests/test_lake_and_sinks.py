@@ -241,3 +241,21 @@ def test_merge_job_without_as_of_keeps_table_types(spark):
     assert final.schema["last_updated"].dataType == FINAL_SCHEMA["last_updated"].dataType
     assert spark.read.parquet(tables.table_location(spark, wh.name("final_table"))).schema["last_updated"].dataType == FINAL_SCHEMA["last_updated"].dataType
     assert final.where(F.col("last_updated").isNull()).count() == 0
+
+
+def test_merge_into_named_table_twice(spark):
+    from fixture_a import FINAL_SCHEMA
+    from keelson.operators.enrich import merge_source
+    from keelson.sinks.merge_into import merge_into
+
+    wh = jobs.Warehouse.create(spark, work_dir(spark, "t-wh"))
+    name = wh.name("final_table")
+    tables.create_table_if_not_exists(spark, name, FINAL_SCHEMA, path=f"{wh.root}/final/v-0")
+    src = merge_source(txn_df(spark, FIRST_COMMIT + SECOND_COMMIT), customers_df(spark))
+    first = merge_into(spark, name, src, jobs.FINAL_MERGE)
+    assert first["insert"] == 8 and first["affected_rows"] == 8 and first["rows"] == 8
+    loc1 = tables.table_location(spark, name)
+    second = merge_into(spark, name, src, jobs.FINAL_MERGE)
+    assert second["update"] == 2 and second["noop"] == 6 and second["affected_rows"] == 2
+    assert tables.table_location(spark, name) != loc1
+    assert spark.table(name).count() == 8
