@@ -39,15 +39,9 @@ def write_lake_table(first: DataFrame, second: DataFrame, table_path: str, snaps
     view over the snapshot always knows which version it shows)."""
     v0 = lake_commit.commit_overwrite(first, table_path)
     v1 = lake_commit.commit_append(second, table_path)
-    spark = first.sparkSession
-    version = lake_log.latest_version(spark, table_path)
-    snap = lake_log.snapshot(spark, table_path)
+    snap, files, version = lake_log.snapshot_state(first.sparkSession, table_path)
     tables.export_snapshot(snap, snapshot_folder_for(snapshot_root, version))
-    return {
-        "versions": (v0, v1),
-        "version": version,
-        "files": lake_log.snapshot_file_count(spark, table_path),
-    }
+    return {"versions": (v0, v1), "version": version, "files": len(files)}
 
 
 # -- B2 ----------------------------------------------------------------------
@@ -120,8 +114,8 @@ def stage_and_merge(
     as_of: dt.datetime | None = None,
 ) -> dict:
     """S1 -> K4 -> K5 -> K6 -> J1 -> M1 -> K9."""
-    version = lake_log.latest_version(spark, lake_path)
-    staged = tables.full_refresh(lake_log.snapshot(spark, lake_path), wh.name(wh.staging))
+    snap, _, version = lake_log.snapshot_state(spark, lake_path)
+    staged = tables.full_refresh(snap, wh.name(wh.staging))
     setup_tables(spark, wh, customer_schema, final_schema, seed_customers)
     metrics = merge_into_final(spark, wh, as_of)
     done = label_sink.apply_labels(

@@ -193,8 +193,9 @@ def table_metadata(actions: DataFrame) -> dict:
     }
 
 
-def snapshot(spark: SparkSession, table_path: str) -> DataFrame:
-    """All rows of the latest committed version."""
+def snapshot_state(spark: SparkSession, table_path: str) -> tuple[DataFrame, list[str], int]:
+    """The latest version's rows, its live file paths and its version, from
+    one (cached) read of the log."""
     actions = log_actions(spark, table_path).cache()
     try:
         meta = table_metadata(actions)
@@ -204,17 +205,21 @@ def snapshot(spark: SparkSession, table_path: str) -> DataFrame:
             )
         if meta["partition_columns"]:
             raise NotImplementedError("partitioned commit-log tables are not supported")
-        files = live_files(actions)
-        rows = files.select("path", "has_dv").collect()  # file metadata only
+        version = actions.agg(F.max("version").alias("v")).first()["v"]
+        rows = live_files(actions).select("path", "has_dv").collect()  # file metadata only
     finally:
         actions.unpersist()
     if any(r["has_dv"] for r in rows):
         raise NotImplementedError("files with deletion vectors are not supported")
     base = table_path.rstrip("/")
     paths = [p if "://" in p or p.startswith("/") else f"{base}/{p}" for p in (r["path"] for r in rows)]
-    if not paths:
-        return spark.createDataFrame([], meta["schema"])
-    return spark.read.schema(meta["schema"]).parquet(*paths)
+    df = spark.read.schema(meta["schema"]).parquet(*paths) if paths else spark.createDataFrame([], meta["schema"])
+    return df, paths, int(version)
+
+
+def snapshot(spark: SparkSession, table_path: str) -> DataFrame:
+    """All rows of the latest committed version."""
+    return snapshot_state(spark, table_path)[0]
 
 
 def snapshot_file_count(spark: SparkSession, table_path: str) -> int:
