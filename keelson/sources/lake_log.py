@@ -146,27 +146,24 @@ def latest_version(spark: SparkSession, table_path: str) -> int:
 
 
 def list_log_versions(spark: SparkSession, table_path: str) -> DataFrame:
-    """Commit versions found by listing the log folder (names matching the
-    20-digit pattern only; anything else there is ignored)."""
-    listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "false")
-        .load(log_path(table_path))
-        .select("path")
-    )
-    return listing.select(version_from_name(path_basename(F.col("path"))).alias("version")).where(
+    """Commit versions found by listing the log folder by name (names
+    matching the 20-digit pattern only; anything else is ignored, and a
+    zero-byte commit file still counts, as it does for the writer).
+
+    Listing one folder is a single metadata call, done on the driver like
+    any file index; the names become a DataFrame for the version logic."""
+    from keelson.sinks import fs
+
+    names = [(p.rsplit("/", 1)[-1],) for p, _, _ in fs.list_files(spark, log_path(table_path))]
+    listing = spark.createDataFrame(names, "name string")
+    return listing.select(version_from_name(path_basename(F.col("name"))).alias("version")).where(
         F.col("version").isNotNull()
     )
 
 
 def latest_version_by_listing(spark: SparkSession, table_path: str) -> int:
     """Latest commit version by listing; raises when there is none (S3)."""
-    try:
-        row = list_log_versions(spark, table_path).agg(F.max("version").alias("v")).first()
-    except Exception as exc:  # a missing folder is the same as no commit
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-            raise NoCommitsError(f"no commits found under {log_path(table_path)}") from exc
-        raise
+    row = list_log_versions(spark, table_path).agg(F.max("version").alias("v")).first()
     if row is None or row["v"] is None:
         raise NoCommitsError(f"no commits found under {log_path(table_path)}")
     return int(row["v"])

@@ -259,3 +259,11 @@ def test_merge_into_named_table_twice(spark):
     assert second["update"] == 2 and second["noop"] == 6 and second["affected_rows"] == 2
     assert tables.table_location(spark, name) != loc1
     assert spark.table(name).count() == 8
+
+
+def test_zero_byte_commit_file_counts_for_listing(spark):
+    path = work_dir(spark, "t-lake")
+    lake_commit.commit_overwrite(txn_df(spark, FIRST_COMMIT), path)
+    open(os.path.join(_local(path), "_delta_log", f"{4:020d}.json"), "w").close()
+    assert lake_log.latest_version_by_listing(spark, path) == 4
+    assert lake_commit._next_version(spark, path) == 5
