@@ -117,9 +117,10 @@ def merge_plan(
     """Rows of the merged table (target column order) plus ``action``.
 
     Runs one job eagerly: the per-key summary is aggregated and written to
-    the shared checkpoint folder, and a few flags are read from it (are
-    there hot keys, ambiguous keys, multi-row inserts, NULL-key inserts)
-    so the returned plan contains only the branches the data needs.
+    the shared checkpoint folder, and a few flags are observed during that
+    write (are there hot keys, ambiguous keys, multi-row inserts, NULL-key
+    inserts) so the returned plan contains only the branches the data
+    needs. A NULL-key insert raises right away.
     ``*_row_id`` optionally name extra columns that identify input rows
     deterministically (used only to spread hot keys); they are dropped.
     """
