@@ -65,7 +65,7 @@ class MergeSpec:
     rows_per_task: int = DEFAULT_ROWS_PER_TASK
 
 
-def scratch_table(df: DataFrame, key: str, label: str, metrics: Sequence[Column] = ()) -> tuple[DataFrame, dict]:
+def scratch_table(df: DataFrame, key: str, label: str, metrics: Sequence[Column] = ()) -> tuple[DataFrame, dict, str]:
     """Write ``df`` bucketed by ``key`` into a Parquet table under the shared
     checkpoint folder and read it back; ``metrics`` are observed during the
     write (no second pass).
@@ -83,7 +83,7 @@ def scratch_table(df: DataFrame, key: str, label: str, metrics: Sequence[Column]
     obs = Observation(f"{label}_{uuid.uuid4().hex[:8]}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("_rows"), *metrics)
     observed.write.format("parquet").bucketBy(n, key).mode("errorifexists").saveAsTable(name)
-    return spark.table(name), dict(obs.get)
+    return spark.table(name), dict(obs.get), name
 
 
 def key_summary(target: DataFrame, source: DataFrame, key: str, cols: list[str]) -> DataFrame:
@@ -116,6 +116,21 @@ def merge_plan(
 ) -> DataFrame:
     """Rows of the merged table (target column order) plus ``action``.
 
+    The key-summary scratch table it writes stays in the checkpoint folder
+    (the returned plan reads it); :func:`keelson.sinks.merge_into.merge_into`
+    drops it once the merged table is written."""
+    return plan_merge(target, source, spec, target_row_id, source_row_id)[0]
+
+
+def plan_merge(
+    target: DataFrame,
+    source: DataFrame,
+    spec: MergeSpec,
+    target_row_id: Sequence[str] | None = None,
+    source_row_id: Sequence[str] | None = None,
+) -> tuple[DataFrame, str]:
+    """:func:`merge_plan` plus the name of the scratch table it reads.
+
     Runs one job eagerly: the per-key summary is aggregated and written to
     the shared checkpoint folder, and a few flags are observed during that
     write (are there hot keys, ambiguous keys, multi-row inserts, NULL-key
@@ -139,7 +154,7 @@ def merge_plan(
     src = source.select(*cols, *s_ids)
     no_t = F.col("_n_t").isNull()
     amb_c = ~F.col("_uniform") & F.col("_n_t").isNotNull()
-    ki, facts = scratch_table(
+    ki, facts, scratch = scratch_table(
         key_summary(tgt, src, k, cols),
         k,
         "merge_keys",
@@ -151,6 +166,7 @@ def merge_plan(
         ],
     )
     if facts.get("null_ins"):
+        ki.sparkSession.sql(f"DROP TABLE IF EXISTS {scratch}")
         raise ValueError(f"NOT NULL constraint violated: {k} of an inserted row ({facts['null_ins']} rows)")
     max_t, max_ins, max_amb = (facts.get(m) or 0 for m in ("max_t", "max_ins", "max_amb_s"))
 
@@ -201,7 +217,7 @@ def merge_plan(
             )
         )
 
-    return out.unionByName(inserts)
+    return out.unionByName(inserts), scratch
 
 
 def _ambiguous_outcomes(amb_t: DataFrame, amb_s: DataFrame, spec: MergeSpec, cols: list[str], schema) -> DataFrame:

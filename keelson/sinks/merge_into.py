@@ -14,8 +14,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.operators.merge import ACTION, INSERT, UPDATE, MergeSpec, merge_plan
-from keelson.sinks import tables
+from keelson.operators.merge import ACTION, INSERT, UPDATE, MergeSpec, plan_merge
+from keelson.sinks import fs, tables
 
 ROW_ID = "_row_id"
 ACTIONS = ("INSERT", "UPDATE", "NOOP", "KEEP")
@@ -35,13 +35,16 @@ def merge_into(
     spec: MergeSpec,
     source_row_id: str | None = None,
     location: str | None = None,
+    remove_previous: bool = False,
 ) -> dict:
     """Merge ``source`` into the catalog table ``table``; returns the observed
     counts: ``rows`` written, ``affected_rows`` (inserted + updated) and one
     count per action. ``location`` is the folder for the new version
-    (default: a new sibling of the table's current folder)."""
+    (default: a new sibling of the table's current folder). With
+    ``remove_previous`` the folder of the replaced version is deleted after
+    the switch (off by default: running readers may still use it)."""
     target = with_row_id(spark.table(table))
-    merged = merge_plan(
+    merged, scratch = plan_merge(
         target, source, spec, target_row_id=[ROW_ID], source_row_id=[source_row_id] if source_row_id else None
     )
     fields = spark.table(table).schema.fields
@@ -50,8 +53,13 @@ def merge_into(
         F.sum(F.when(F.col(ACTION).isin(INSERT, UPDATE), 1).otherwise(0)).alias("affected_rows"),
         *[F.sum(F.when(F.col(ACTION) == a, 1).otherwise(0)).alias(a.lower()) for a in ACTIONS],
     ]
+    previous = tables.table_location(spark, table).rstrip("/")
     if location is None:
-        current = tables.table_location(spark, table).rstrip("/")
-        location = f"{current.rsplit('/', 1)[0]}/v-{uuid.uuid4().hex[:12]}"
-    out = tables.write_observed_and_swap(conformed, ACTION, table, location, metrics)
+        location = f"{previous.rsplit('/', 1)[0]}/v-{uuid.uuid4().hex[:12]}"
+    try:
+        out = tables.write_observed_and_swap(conformed, ACTION, table, location, metrics)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {scratch}")  # the key summary is no longer needed
+    if remove_previous:
+        fs.delete(spark, previous)
     return {k: int(v or 0) for k, v in out.items()}

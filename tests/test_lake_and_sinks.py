@@ -255,10 +255,20 @@ def test_merge_into_named_table_twice(spark):
     first = merge_into(spark, name, src, jobs.FINAL_MERGE)
     assert first["insert"] == 8 and first["affected_rows"] == 8 and first["rows"] == 8
     loc1 = tables.table_location(spark, name)
-    second = merge_into(spark, name, src, jobs.FINAL_MERGE)
+    second = merge_into(spark, name, src, jobs.FINAL_MERGE, remove_previous=True)
     assert second["update"] == 2 and second["noop"] == 6 and second["affected_rows"] == 2
     assert tables.table_location(spark, name) != loc1
     assert spark.table(name).count() == 8
+    from keelson.sinks import fs
+
+    assert not fs.exists(spark, loc1)
+
+    def scratch_tables():
+        return {t.name for t in spark.catalog.listTables("keelson_scratch") if t.name.startswith("merge_keys_")}
+
+    before = scratch_tables()
+    merge_into(spark, name, src, jobs.FINAL_MERGE)
+    assert scratch_tables() == before  # the key summary is dropped after the write
 
 
 def test_zero_byte_commit_file_counts_for_listing(spark):
