@@ -28,14 +28,9 @@ def _commit_text(actions: list[dict]) -> str:
 
 
 def _next_version(spark: SparkSession, table_path: str) -> int:
-    """One past the highest commit file in the log folder (a driver-side
-    listing of file names; 0 for a new table)."""
-    versions = [
-        int(name[:-5])
-        for name in (p.rsplit("/", 1)[-1] for p, _, _ in fs.list_files(spark, lake_log.log_path(table_path), ".json"))
-        if len(name) == 25 and name[:20].isdigit()
-    ]
-    return max(versions) + 1 if versions else 0
+    """One past the highest commit file in the log folder (0 for a new table)."""
+    versions = lake_log.commit_versions(spark, table_path)
+    return versions[-1] + 1 if versions else 0
 
 
 def commit(

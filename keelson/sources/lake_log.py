@@ -145,13 +145,19 @@ def latest_version(spark: SparkSession, table_path: str) -> int:
     return int(row["v"])
 
 
-def list_log_versions(spark: SparkSession, table_path: str) -> DataFrame:
-    """Commit versions found by listing the log folder by name (names
-    matching the 20-digit pattern only; anything else is ignored, and a
-    zero-byte commit file still counts, as it does for the writer).
+def commit_versions(spark: SparkSession, table_path: str) -> list[int]:
+    """Versions of the commit files in the log folder, by name (20 digits
+    then ``.json``; anything else is ignored, a zero-byte commit counts).
+    One metadata listing on the driver, as any file index does."""
+    from keelson.sinks import fs
+
+    names = (p.rsplit("/", 1)[-1] for p, _, _ in fs.list_files(spark, log_path(table_path), ".json"))
+    return sorted(int(n[:20]) for n in names if len(n) == 25 and n[:20].isdigit())
+
 
-    Listing one folder is a single metadata call, done on the driver like
-    any file index; the names become a DataFrame for the version logic."""
+def list_log_versions(spark: SparkSession, table_path: str) -> DataFrame:
+    """Commit versions found by listing the log folder, as a DataFrame of
+    file names run through the same name rule as the rest of the log code."""
     from keelson.sinks import fs
 
     names = [(p.rsplit("/", 1)[-1],) for p, _, _ in fs.list_files(spark, log_path(table_path))]
@@ -163,10 +169,10 @@ def list_log_versions(spark: SparkSession, table_path: str) -> DataFrame:
 
 def latest_version_by_listing(spark: SparkSession, table_path: str) -> int:
     """Latest commit version by listing; raises when there is none (S3)."""
-    row = list_log_versions(spark, table_path).agg(F.max("version").alias("v")).first()
-    if row is None or row["v"] is None:
+    versions = commit_versions(spark, table_path)
+    if not versions:
         raise NoCommitsError(f"no commits found under {log_path(table_path)}")
-    return int(row["v"])
+    return versions[-1]
 
 
 def table_metadata(actions: DataFrame) -> dict:
@@ -202,7 +208,7 @@ def snapshot_state(spark: SparkSession, table_path: str) -> tuple[DataFrame, lis
             )
         if meta["partition_columns"]:
             raise NotImplementedError("partitioned commit-log tables are not supported")
-        version = actions.agg(F.max("version").alias("v")).first()["v"]
+        version = latest_version_by_listing(spark, table_path)
         rows = live_files(actions).select("path", "has_dv").collect()  # file metadata only
     finally:
         actions.unpersist()
