@@ -146,6 +146,8 @@ def plan_merge(
     if missing:
         raise ValueError(f"source lacks target columns: {sorted(missing)}")
     k, R = spec.key, spec.rows_per_task
+    if not spec.compare:
+        raise ValueError("MergeSpec.compare must name at least one column (the WHEN MATCHED AND condition)")
     for c in (*spec.compare, *spec.update):
         if c not in cols:
             raise ValueError(f"unknown column {c!r}")
