@@ -217,7 +217,7 @@ def commit_overwrite(spark, sf):
 
 
 def external_lake_scan(spark, sf):
-    return external.lake_view(spark, "transactions_federated", _two_commits(spark, sf))
+    return external.lake_view(spark, "transactions_lake", _two_commits(spark, sf))
 
 
 def union_versions(spark, sf):

@@ -1,4 +1,7 @@
-"""The reference's own inline rows (FIXTURES.md section A)."""
+"""The reference's own inline rows (FIXTURES.md section A).
+
+Fixed values: the rows below must equal the reference's for its expected
+results (8 staged rows, 7 keys, the status totals of the first merge)."""
 
 import datetime as dt
 from decimal import Decimal

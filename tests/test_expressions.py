@@ -40,10 +40,10 @@ def test_basename_and_trims(spark):
 
 
 def test_azure_uri_rewrite_and_error(spark):
-    ok = [("abfss://datalake@acct.dfs.core.windows.net/transactions_uniform",), ("abfss://c@h/p/q//",)]
+    ok = [("abfss://lake@acct.dfs.core.windows.net/sales/tx",), ("abfss://c@h/p/q//",)]
     got = _one(spark, X.azure_blob_uri("u", "acc"), ok, "u string")
     assert got == [
-        "azure://acc.blob.core.windows.net/datalake/transactions_uniform/",
+        "azure://acc.blob.core.windows.net/lake/sales/tx/",
         "azure://acc.blob.core.windows.net/c/p/q/",
     ]
     with pytest.raises(Exception, match="invalid ADLS URI"):

@@ -185,12 +185,12 @@ def test_publish_lake_view_rewrites_uri(spark):
     root = work_dir(spark, "t-job")
     jobs.write_lake_table(txn_df(spark, FIRST_COMMIT), txn_df(spark, SECOND_COMMIT), f"{root}/lake", f"{root}/snap")
     r = jobs.publish_lake_view(
-        spark, "t_federated", f"{root}/lake", "abfss://datalake@acct.dfs.core.windows.net/transactions_uniform/", "myacct"
+        spark, "t_lake_view2", f"{root}/lake", "abfss://lake@acct.dfs.core.windows.net/sales/tx/", "myacct"
     )
-    assert r["blob_uri"] == "azure://myacct.blob.core.windows.net/datalake/transactions_uniform/"
-    assert spark.table("t_federated").count() == 8
+    assert r["blob_uri"] == "azure://myacct.blob.core.windows.net/lake/sales/tx/"
+    assert spark.table("t_lake_view2").count() == 8
     with pytest.raises(Exception, match="invalid ADLS URI"):
-        jobs.publish_lake_view(spark, "t_federated", f"{root}/lake", "https://not-adls/x", "myacct")
+        jobs.publish_lake_view(spark, "t_lake_view2", f"{root}/lake", "https://not-adls/x", "myacct")
 
 
 def test_replay_starts_at_last_checkpoint(spark):
