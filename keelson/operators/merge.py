@@ -41,13 +41,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from keelson.functions.expressions import assert_not_null, assert_that, changed
-from keelson.operators.skew import DEFAULT_ROWS_PER_TASK, counted_salted_join, salted_join
+from keelson.operators.skew import DEFAULT_ROWS_PER_TASK, counted_salted_join, effective_rows_per_task, salted_join
 from keelson.session import checkpoint_dir
 
 ACTION = "action"
@@ -165,12 +165,17 @@ def plan_merge(
             F.max(F.when(no_t, F.col("_n_s"))).alias("max_ins"),
             F.max(F.when(amb_c, F.col("_n_s"))).alias("max_amb_s"),
             F.sum(F.when(no_t & F.col(k).isNull(), F.col("_n_s"))).alias("null_ins"),
+            F.sum("_n_t").alias("rows_t"),
+            F.sum("_n_s").alias("rows_s"),
         ],
     )
     if facts.get("null_ins"):
         ki.sparkSession.sql(f"DROP TABLE IF EXISTS {scratch}")
         raise ValueError(f"NOT NULL constraint violated: {k} of an inserted row ({facts['null_ins']} rows)")
     max_t, max_ins, max_amb = (facts.get(m) or 0 for m in ("max_t", "max_ins", "max_amb_s"))
+    # keep every broadcast hot-key table within MAX_HOT_KEYS rows
+    R = effective_rows_per_task(R, max(facts.get("rows_t") or 0, facts.get("rows_s") or 0))
+    spec = replace(spec, rows_per_task=R)
 
     # -- inserts: source keys with no target row ---------------------------
     ins_keys = ki.where(no_t).where(assert_not_null(k, f"{k} of an inserted row"))

@@ -25,6 +25,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_ROWS_PER_TASK = 4_000_000
+# Upper bound on the rows of any broadcast hot-key table: callers that know
+# the input size use ``effective_rows_per_task`` so that
+# rows / rows_per_task never exceeds it.
+MAX_HOT_KEYS = 1_000_000
+
+
+def effective_rows_per_task(rows_per_task: int, total_rows: int) -> int:
+    """``rows_per_task`` raised, if needed, so that at most ``MAX_HOT_KEYS``
+    keys can exceed it (each hot key owns more than that many rows)."""
+    return max(int(rows_per_task), -(-int(total_rows) // MAX_HOT_KEYS), 1)
 
 
 def buckets(rows: Column, rows_per_task: int) -> Column:

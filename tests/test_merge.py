@@ -228,3 +228,11 @@ def test_structured_duplicates_match_brute_force(spark, seed):
     spec = MergeSpec("k", ("a", "b", "x"), ("a", "x", "e"), rows_per_task=3)
     got = merge_plan(spark.createDataFrame(target, P_SCHEMA), spark.createDataFrame(source, P_SCHEMA), spec).collect()
     assert Counter(tuple(r) for r in got) == expected
+
+
+def test_effective_rows_per_task_bounds_the_hot_key_table():
+    from keelson.operators.skew import MAX_HOT_KEYS, effective_rows_per_task
+
+    assert effective_rows_per_task(4_000_000, 10**6) == 4_000_000
+    r = effective_rows_per_task(10, 10**12)
+    assert r >= 10**12 // MAX_HOT_KEYS and 10**12 // r <= MAX_HOT_KEYS
