@@ -128,8 +128,8 @@ def plan_merge(
     spec: MergeSpec,
     target_row_id: Sequence[str] | None = None,
     source_row_id: Sequence[str] | None = None,
-) -> tuple[DataFrame, str]:
-    """:func:`merge_plan` plus the name of the scratch table it reads.
+) -> tuple[DataFrame, list[str]]:
+    """:func:`merge_plan` plus the names of the scratch tables it reads.
 
     Runs one job eagerly: the per-key summary is aggregated and written to
     the shared checkpoint folder, and a few flags are observed during that
@@ -156,7 +156,7 @@ def plan_merge(
     src = source.select(*cols, *s_ids)
     no_t = F.col("_n_t").isNull()
     amb_c = ~F.col("_uniform") & F.col("_n_t").isNotNull()
-    ki, facts, scratch = scratch_table(
+    ki, facts, name = scratch_table(
         key_summary(tgt, src, k, cols),
         k,
         "merge_keys",
@@ -169,8 +169,9 @@ def plan_merge(
             F.sum("_n_s").alias("rows_s"),
         ],
     )
+    scratch = [name]
     if facts.get("null_ins"):
-        ki.sparkSession.sql(f"DROP TABLE IF EXISTS {scratch}")
+        ki.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
         raise ValueError(f"NOT NULL constraint violated: {k} of an inserted row ({facts['null_ins']} rows)")
     max_t, max_ins, max_amb = (facts.get(m) or 0 for m in ("max_t", "max_ins", "max_amb_s"))
     # keep every broadcast hot-key table within MAX_HOT_KEYS rows
@@ -210,10 +211,18 @@ def plan_merge(
 
     # -- keys whose source rows differ: exact pair-free counting -----------
     if max_amb:
-        amb_t = tj.where(F.col("_state") == _AMBIG).select(*cols, *t_ids)
+        # the rows of ambiguous keys and their outcomes are written as scratch
+        # tables: each later plan then starts from a small leaf (short
+        # planning, cut lineage) instead of repeating the whole merge tree
         amb_keys = ki.where(amb_c).select(k, "_n_s")
-        amb_s = _lookup_join(src, amb_keys, k, "_n_s", "left_semi", max_amb > R, R, s_ids or None).select(*cols)
-        outcome = _ambiguous_outcomes(amb_t, amb_s, spec, cols, src.schema)
+        amb_t, _, n1 = scratch_table(tj.where(F.col("_state") == _AMBIG).select(*cols, *t_ids), k, "merge_amb_t")
+        amb_s, _, n2 = scratch_table(
+            _lookup_join(src, amb_keys, k, "_n_s", "left_semi", max_amb > R, R, s_ids or None).select(*cols),
+            k,
+            "merge_amb_s",
+        )
+        outcome, _, n3 = scratch_table(_ambiguous_outcomes(amb_t, amb_s, spec, cols, src.schema), k, "merge_amb_out")
+        scratch += [n1, n2, n3]
         amb = salted_join(amb_t, outcome, [k, *spec.compare], "_n", "left", R, t_ids or None)
         amb = amb.where(assert_that(F.col("_q") <= 1, MULTI_MATCH_ERROR))
         one = F.col("_q") == 1

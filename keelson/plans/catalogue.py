@@ -62,6 +62,31 @@ def _by_action(action):
     return q
 
 
+def _order_no(col: str = "transaction_id"):
+    return F.substring(F.col(col), 5, 20).cast("bigint")
+
+
+def merge_duplicate_keys(spark, sf):
+    """The merge with duplicate keys on both sides: target rows of every
+    third order appear twice; orders divisible by 8 get a second source
+    row whose compare columns are NULL (it never qualifies, but it makes
+    the key's source rows differ, so the exact pair-free path runs)."""
+    tgt = D.existing_target(spark, sf)
+    tgt2 = tgt.unionByName(tgt.where(_order_no() % 3 == 0))
+    src = _src(spark, sf)
+    dup = src.where(_order_no() % 8 == 0).select(
+        "transaction_id",
+        "customer_id",
+        F.lit(None).cast("string").alias("customer_name"),
+        "country",
+        F.lit(None).cast("decimal(38,9)").alias("amount"),
+        "transaction_date",
+        F.lit(None).cast("string").alias("status"),
+        "last_updated",
+    )
+    return merge_plan(tgt2, src.unionByName(dup), jobs.FINAL_MERGE).select(*D.FINAL_COLUMNS, ACTION)
+
+
 def merge_action_counts(spark, sf):
     return action_counts(_merged(spark, sf))
 
@@ -314,6 +339,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_updates": _by_action(UPDATE),
     "merge_noop": _by_action(NOOP),
     "merge_kept": _by_action(KEEP),
+    "merge_duplicate_keys": merge_duplicate_keys,
     "merge_action_counts": merge_action_counts,
     "merge_affected_rows": merge_affected_rows,
     "merge_source": merge_source_q,

@@ -88,6 +88,46 @@ WITH stg AS ({_stg()}
 
 FINAL_COLS = "transaction_id, customer_id, customer_name, country, amount, transaction_date, status, last_updated"
 
+# Duplicate keys on both sides, evaluated pairwise: per target row, count the
+# source rows of its key for which the change test holds.
+DUP_MERGE = CTE.rstrip() + """, tgt2 AS (
+  SELECT * FROM tgt
+  UNION ALL SELECT * FROM tgt WHERE CAST(substr(transaction_id, 5) AS BIGINT) % 3 = 0
+), src2 AS (
+  SELECT * FROM src
+  UNION ALL
+  SELECT transaction_id, customer_id, CAST(NULL AS VARCHAR) AS customer_name, country,
+         CAST(NULL AS DECIMAL(38,9)) AS amount, transaction_date, CAST(NULL AS VARCHAR) AS status, last_updated
+  FROM src WHERE CAST(substr(transaction_id, 5) AS BIGINT) % 8 = 0
+), t AS (
+  SELECT *, row_number() OVER () AS rid FROM tgt2
+), pairs AS (
+  SELECT t.rid, s.customer_name AS s_name, s.country AS s_country, s.amount AS s_amount,
+         s.status AS s_status, s.last_updated AS s_ts,
+         coalesce(t.status <> s.status OR t.customer_name <> s.customer_name OR t.amount <> s.amount, false) AS chg
+  FROM t JOIN src2 s ON t.transaction_id = s.transaction_id
+), per_t AS (
+  SELECT rid, count(*) AS n_match, count(*) FILTER (WHERE chg) AS q,
+         any_value(s_name) FILTER (WHERE chg) AS s_name, any_value(s_country) FILTER (WHERE chg) AS s_country,
+         any_value(s_amount) FILTER (WHERE chg) AS s_amount, any_value(s_status) FILTER (WHERE chg) AS s_status,
+         any_value(s_ts) FILTER (WHERE chg) AS s_ts
+  FROM pairs GROUP BY rid
+)
+SELECT t.transaction_id, t.customer_id,
+       CASE WHEN p.q = 1 THEN p.s_name ELSE t.customer_name END AS customer_name,
+       CASE WHEN p.q = 1 THEN p.s_country ELSE t.country END AS country,
+       CASE WHEN p.q = 1 THEN p.s_amount ELSE t.amount END AS amount,
+       t.transaction_date,
+       CASE WHEN p.q = 1 THEN p.s_status ELSE t.status END AS status,
+       CASE WHEN p.q = 1 THEN p.s_ts ELSE t.last_updated END AS last_updated,
+       CASE WHEN p.rid IS NULL THEN 'KEEP' WHEN p.q = 1 THEN 'UPDATE' ELSE 'NOOP' END AS action
+FROM t LEFT JOIN per_t p ON t.rid = p.rid
+UNION ALL
+SELECT s.transaction_id, s.customer_id, s.customer_name, s.country, s.amount, s.transaction_date, s.status,
+       s.last_updated, 'INSERT' AS action
+FROM src2 s WHERE NOT EXISTS (SELECT 1 FROM tgt2 WHERE tgt2.transaction_id = s.transaction_id)
+"""
+
 
 def _q(body: str) -> str:
     return CTE + body
@@ -99,6 +139,7 @@ ORACLE_SQL: dict[str, str] = {
     "merge_updates": _q(f"SELECT {FINAL_COLS} FROM merged WHERE action = 'UPDATE'"),
     "merge_noop": _q(f"SELECT {FINAL_COLS} FROM merged WHERE action = 'NOOP'"),
     "merge_kept": _q(f"SELECT {FINAL_COLS} FROM merged WHERE action = 'KEEP'"),
+    "merge_duplicate_keys": DUP_MERGE,
     "merge_action_counts": _q("SELECT action, COUNT(*) AS rows FROM merged GROUP BY action"),
     "merge_affected_rows": _q("SELECT COUNT(*) AS affected_rows FROM merged WHERE action IN ('INSERT', 'UPDATE')"),
     "merge_source": _q("SELECT * FROM src"),

@@ -59,7 +59,8 @@ def merge_into(
     try:
         out = tables.write_observed_and_swap(conformed, ACTION, table, location, metrics)
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {scratch}")  # the key summary is no longer needed
+        for name in scratch:  # the key summary and helper tables are no longer needed
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
     if remove_previous:
         fs.delete(spark, previous)
     return {k: int(v or 0) for k, v in out.items()}
