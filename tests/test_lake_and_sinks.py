@@ -277,3 +277,28 @@ def test_zero_byte_commit_file_counts_for_listing(spark):
     open(os.path.join(_local(path), "_delta_log", f"{4:020d}.json"), "w").close()
     assert lake_log.latest_version_by_listing(spark, path) == 4
     assert lake_commit._next_version(spark, path) == 5
+
+
+def test_external_parquet_table_replaces_a_managed_table(spark):
+    wh = jobs.Warehouse.create(spark, work_dir(spark, "t-wh"))
+    name = wh.name("transactions_ext")
+    tables.full_refresh(txn_df(spark, FIRST_COMMIT), name)  # a managed table of that name
+    assert tables.table_type(spark, name) == "MANAGED"
+    folder = work_dir(spark, "t-snap")
+    tables.export_snapshot(txn_df(spark, FIRST_COMMIT + SECOND_COMMIT), folder)
+    df = external.parquet_external_table(spark, name, folder)
+    assert tables.table_type(spark, name) == "EXTERNAL" and df.count() == 8
+    external.parquet_external_table(spark, name, folder)  # again: replaced, still external
+    assert spark.table(name).count() == 8
+
+
+def test_replace_contents_writes_aside_and_repoints(spark):
+    wh = jobs.Warehouse.create(spark, work_dir(spark, "t-wh"))
+    name = wh.name("t_replace")
+    tables.create_table_if_not_exists(spark, name, txn_df(spark, FIRST_COMMIT).schema, path=f"{wh.root}/rep/v0")
+    tables.insert_append(txn_df(spark, FIRST_COMMIT), name)
+    before = tables.table_location(spark, name)
+    grown = spark.table(name).unionByName(txn_df(spark, SECOND_COMMIT))  # reads the table it replaces
+    m = tables.replace_contents(grown, name, f"{wh.root}/rep/v1")
+    assert m["rows"] == 8 and spark.table(name).count() == 8
+    assert tables.table_location(spark, name) != before
