@@ -221,8 +221,11 @@ def plan_merge(
             k,
             "merge_amb_s",
         )
-        outcome, _, n3 = scratch_table(_ambiguous_outcomes(amb_t, amb_s, spec, cols, src.schema), k, "merge_amb_out")
-        scratch += [n1, n2, n3]
+        scratch += [n1, n2]
+        outcome, _, n3 = scratch_table(
+            _ambiguous_outcomes(amb_t, amb_s, spec, cols, src.schema, scratch), k, "merge_amb_out"
+        )
+        scratch.append(n3)
         amb = salted_join(amb_t, outcome, [k, *spec.compare], "_n", "left", R, t_ids or None)
         amb = amb.where(assert_that(F.col("_q") <= 1, MULTI_MATCH_ERROR))
         one = F.col("_q") == 1
@@ -236,7 +239,9 @@ def plan_merge(
     return out.unionByName(inserts), scratch
 
 
-def _ambiguous_outcomes(amb_t: DataFrame, amb_s: DataFrame, spec: MergeSpec, cols: list[str], schema) -> DataFrame:
+def _ambiguous_outcomes(
+    amb_t: DataFrame, amb_s: DataFrame, spec: MergeSpec, cols: list[str], schema, scratch: list[str]
+) -> DataFrame:
     """Per distinct (key, compare values) of target rows: ``_n`` target rows,
     ``_q`` qualifying source rows and ``_s`` the qualifying source row when
     ``_q == 1``. Every join here is many-to-one and salted by the measured
@@ -247,12 +252,15 @@ def _ambiguous_outcomes(amb_t: DataFrame, amb_s: DataFrame, spec: MergeSpec, col
     dtype = {f.name: f.dataType for f in schema.fields}
     probe_cols = [f"_p{j}" for j in range(m)]
 
-    sv = (
+    sv, _, name = scratch_table(
         amb_s.groupBy(*cols)
         .agg(F.count(F.lit(1)).alias("_mult"))
         .withColumn("_va", F.xxhash64(*[F.col(c) for c in cols]))
-        .withColumn("_vb", F.xxhash64(F.lit("keelson:variant"), *[F.col(c) for c in cols]))
-    )
+        .withColumn("_vb", F.xxhash64(F.lit("keelson:variant"), *[F.col(c) for c in cols])),
+        k,
+        "merge_amb_sv",
+    )  # used three times below: written once
+    scratch.append(name)
     kd = sv.groupBy(k).agg(
         F.sum("_mult").alias("_n_all"), F.bit_xor("_va").alias("_xa_all"), F.bit_xor("_vb").alias("_xb_all")
     )
@@ -303,14 +311,19 @@ def _ambiguous_outcomes(amb_t: DataFrame, amb_s: DataFrame, spec: MergeSpec, col
             F.bit_xor(F.coalesce("_cxb", F.lit(0).cast("bigint"))).alias("_nxb"),
         )
     )
-    res = counted_salted_join(nq, kd, [k], "inner", R).select(
+    res, _, name = scratch_table(
+        counted_salted_join(nq, kd, [k], "inner", R).select(
+            k,
+            *cmp,
+            "_n",
+            (F.col("_n_all") - F.col("_nq")).alias("_q"),
+            F.col("_xa_all").bitwiseXOR(F.col("_nxa")).alias("_qa"),
+            F.col("_xb_all").bitwiseXOR(F.col("_nxb")).alias("_qb"),
+        ),
         k,
-        *cmp,
-        "_n",
-        (F.col("_n_all") - F.col("_nq")).alias("_q"),
-        F.col("_xa_all").bitwiseXOR(F.col("_nxa")).alias("_qa"),
-        F.col("_xb_all").bitwiseXOR(F.col("_nxb")).alias("_qb"),
-    )
+        "merge_amb_res",
+    )  # used twice below: written once
+    scratch.append(name)
 
     # the one qualifying variant, by id; rows with _q != 1 need no lookup
     fetch = sv.where(F.col("_mult") == 1).select(
