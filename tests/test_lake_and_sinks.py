@@ -302,3 +302,16 @@ def test_replace_contents_writes_aside_and_repoints(spark):
     m = tables.replace_contents(grown, name, f"{wh.root}/rep/v1")
     assert m["rows"] == 8 and spark.table(name).count() == 8
     assert tables.table_location(spark, name) != before
+
+
+def test_inline_rows_quote_nulls_and_types(spark):
+    import datetime as dt
+    from decimal import Decimal
+
+    rows = [("O'Brien", None, Decimal("1.50"), dt.date(2024, 1, 2), dt.datetime(2024, 1, 2, 3, 4, 5)), ("b\\c", 7, None, None, None)]
+    df = external.inline_rows(spark, rows, ["name", "n", "amount", "d", "ts"])
+    got = df.collect()
+    assert [r["name"] for r in got] == ["O'Brien", "b\\c"]
+    assert got[0]["n"] is None and got[1]["n"] == 7
+    assert got[0]["amount"] == Decimal("1.50") and got[0]["d"] == dt.date(2024, 1, 2)
+    assert got[0]["ts"] == dt.datetime(2024, 1, 2, 3, 4, 5)
