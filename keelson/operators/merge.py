@@ -65,7 +65,9 @@ class MergeSpec:
     rows_per_task: int = DEFAULT_ROWS_PER_TASK
 
 
-def scratch_table(df: DataFrame, key: str, label: str, metrics: Sequence[Column] = ()) -> tuple[DataFrame, dict, str]:
+def scratch_table(
+    df: DataFrame, key: str, label: str, metrics: Sequence[Column] = (), bucketed: bool = True
+) -> tuple[DataFrame, dict, str]:
     """Write ``df`` bucketed by ``key`` into a Parquet table under the shared
     checkpoint folder and read it back; ``metrics`` are observed during the
     write (no second pass).
@@ -73,7 +75,8 @@ def scratch_table(df: DataFrame, key: str, label: str, metrics: Sequence[Column]
     This cuts the lineage (a lost executor later on does not recompute the
     aggregates) and, because the table is bucketed on the join key with the
     shuffle partition count, a later join on ``key`` shuffles only the other
-    side."""
+    side. Tables only read through salted joins (partitioned by key and
+    salt, which key bucketing cannot serve) are written unbucketed."""
     spark = df.sparkSession
     db = "keelson_scratch"
     if not spark.catalog.databaseExists(db):
@@ -82,7 +85,10 @@ def scratch_table(df: DataFrame, key: str, label: str, metrics: Sequence[Column]
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     obs = Observation(f"{label}_{uuid.uuid4().hex[:8]}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("_rows"), *metrics)
-    observed.write.format("parquet").bucketBy(n, key).mode("errorifexists").saveAsTable(name)
+    writer = observed.write.format("parquet").mode("errorifexists")
+    if bucketed:
+        writer = writer.bucketBy(n, key)
+    writer.saveAsTable(name)
     return spark.table(name), dict(obs.get), name
 
 
@@ -215,15 +221,16 @@ def plan_merge(
         # tables: each later plan then starts from a small leaf (short
         # planning, cut lineage) instead of repeating the whole merge tree
         amb_keys = ki.where(amb_c).select(k, "_n_s")
-        amb_t, _, n1 = scratch_table(tj.where(F.col("_state") == _AMBIG).select(*cols, *t_ids), k, "merge_amb_t")
+        amb_t, _, n1 = scratch_table(tj.where(F.col("_state") == _AMBIG).select(*cols, *t_ids), k, "merge_amb_t", bucketed=False)
         amb_s, _, n2 = scratch_table(
             _lookup_join(src, amb_keys, k, "_n_s", "left_semi", max_amb > R, R, s_ids or None).select(*cols),
             k,
             "merge_amb_s",
+            bucketed=False,
         )
         scratch += [n1, n2]
         outcome, _, n3 = scratch_table(
-            _ambiguous_outcomes(amb_t, amb_s, spec, cols, src.schema, scratch), k, "merge_amb_out"
+            _ambiguous_outcomes(amb_t, amb_s, spec, cols, src.schema, scratch), k, "merge_amb_out", bucketed=False
         )
         scratch.append(n3)
         amb = salted_join(amb_t, outcome, [k, *spec.compare], "_n", "left", R, t_ids or None)
@@ -259,6 +266,7 @@ def _ambiguous_outcomes(
         .withColumn("_vb", F.xxhash64(F.lit("keelson:variant"), *[F.col(c) for c in cols])),
         k,
         "merge_amb_sv",
+        bucketed=False,
     )  # used three times below: written once
     scratch.append(name)
     kd = sv.groupBy(k).agg(
@@ -322,6 +330,7 @@ def _ambiguous_outcomes(
         ),
         k,
         "merge_amb_res",
+        bucketed=False,
     )  # used twice below: written once
     scratch.append(name)
 
