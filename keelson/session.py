@@ -1,9 +1,9 @@
 """Session defaults and the shared work folder.
 
 All data written by this package outside a named table lands under the
-folder named by ``spark.checkpoint.dir`` (a shared file system on a
-cluster). Only when that setting is absent (unit tests, a laptop) is a
-private temporary folder created and registered as the checkpoint dir.
+folder named by ``spark.checkpoint.dir`` (a shared file system). A local-mode
+session without the setting gets a private temporary folder; a cluster session
+without it is an error.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. ANSI mode makes bad casts (dates, decimal
 # overflow) raise instead of silently producing NULL; UTC keeps timestamps
@@ -68,17 +68,20 @@ def apply_sql_defaults(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a private one only if none is configured."""
+    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
+
+    A local-mode session without that setting (a laptop, a test) gets a
+    private temporary folder. On a cluster the setting is required: a folder
+    of the driver's machine could not be read by the executors."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if not current:
-        current = spark.conf.get("spark.checkpoint.dir", None)
-        if current:
-            sc.setCheckpointDir(current)
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
+        master = sc.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="keelson-ckpt-")
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
-        current = sc.getCheckpointDir() or current
     return current
 
 
@@ -86,3 +89,11 @@ def work_dir(spark: SparkSession, label: str = "run") -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/keelson-work/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def materialise(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once under the shared folder and read it back: cuts the
+    lineage, and the copy survives the loss of any executor."""
+    path = work_dir(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -9,11 +9,12 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as E  # noqa: E402
+from keelson.plans import catalogue  # noqa: E402
 from check_oracle import compare, duck  # noqa: E402
 from conftest import SF_CHECK, SF_SMALL  # noqa: E402
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = {k: v for k, v in E.queries().items() if k in catalogue.QUERIES}
+SQL = {k: v for k, v in E.oracle_sql().items() if k in catalogue.QUERIES}
 
 
 @pytest.fixture(scope="module")
