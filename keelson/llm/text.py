@@ -26,6 +26,8 @@ _LOWER[65:91] += 32
 _BYTE_VALUE_LOWER = _BYTE_VALUE[_LOWER]
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_NOT_ALNUM = _SPACE.copy()
+_NOT_ALNUM[:128] = [not chr(i).isalnum() for i in range(128)]
 _powers = np.ones(1, dtype=np.uint64)
 
 
@@ -72,20 +74,24 @@ def slices(batch: pa.RecordBatch, text_col: str, max_bytes: int = SLICE_BYTES, m
         start = end
 
 
-def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hashes of all words, n+1 word offsets of the texts, byte starts of the words)."""
-    n_docs = len(offsets) - 1
-    inside = ~_SPACE[raw]
+def word_hashes(raw: np.ndarray, offsets: np.ndarray, plain: bool = False, prefix: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes of all words, n+1 word offsets of the texts, byte starts of the words).
+
+    ``plain``: ASCII punctuation separates words too. ``prefix``: hash only
+    that many leading bytes of each word."""
+    inside = ~(_NOT_ALNUM if plain else _SPACE)[raw]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     text_starts = offsets[:-1][offsets[:-1] < offsets[1:]]
     first[text_starts] = inside[text_starts]
     starts = np.flatnonzero(first)
     if len(starts) == 0:
-        return np.zeros(0, np.uint64), np.zeros(n_docs + 1, np.int64), starts
+        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), starts
     chars = np.flatnonzero(inside)
     word_of = np.cumsum(first)[chars] - 1
     at = chars - starts[word_of]
+    if prefix is not None:
+        chars, at = chars[at < prefix], at[at < prefix]
     terms = _BYTE_VALUE_LOWER[raw[chars]] * _base_powers(int(at.max()) + 1)[at]
     hashes = np.add.reduceat(terms, np.flatnonzero(at == 0))
     return mix64(hashes), np.searchsorted(starts, offsets), starts
@@ -119,3 +125,10 @@ def shingle_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     sets = [np.unique(hashes[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
     sizes = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
     return (np.concatenate(sets) if sets else hashes[:0]), np.concatenate(([0], np.cumsum(sizes)))
+
+
+def text_slices(texts: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[pa.Array]:
+    """As ``slices``, for a lone text array."""
+    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+    for part in slices(batch, "text", max_bytes):
+        yield part.column("text")
