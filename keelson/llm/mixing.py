@@ -29,7 +29,7 @@ from keelson.session import materialise
 
 SLOTS = 256
 BLOCK_ROWS = 16
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 MAX_SCHEDULE_ROWS = 1 << 20  # of all schedules together, for the broadcast
 
 
