@@ -26,15 +26,14 @@ def merge_source(
     staging: DataFrame,
     customers: DataFrame,
     as_of: dt.datetime | Column | None = None,
-    extra: list[str] | None = None,
 ) -> DataFrame:
     """The USING relation of the merge.
 
-    ``as_of`` fixes the statement timestamp (one value per statement);
-    default ``current_timestamp()``. ``extra`` passes row-id columns through.
+    ``as_of`` fixes the statement timestamp; by default it is the time of this
+    call, a literal, so every job that evaluates the source sees one value.
     """
     if as_of is None:
-        ts = F.current_timestamp()
+        ts = F.lit(dt.datetime.now(dt.timezone.utc))
     elif isinstance(as_of, Column):
         ts = as_of
     else:
@@ -49,5 +48,4 @@ def merge_source(
         to_date_strict("transaction_date").alias("transaction_date"),
         "status",
         ts.alias("last_updated"),
-        *(extra or []),
     )

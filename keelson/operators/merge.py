@@ -15,44 +15,37 @@ Semantics (target ``T``, source ``S``, equality on one key column):
 
 Plan (no pair of rows sharing a key is ever materialised):
 
-1. ``SA``: source per key -> row count, min and max of the whole row. Equal
-   min and max means every source row of the key is the same ("uniform");
-   then the row itself is known. ``TK``: target per key -> row count. Both
-   are aggregates, pre-combined map-side, so a hot key costs one partial
-   row per map task.
-2. Inserts: keys of ``SA`` absent from ``TK``. Single-row keys come straight
-   from ``SA``; multi-row keys semi-join the source back (salted).
-3. Target rows look up their key's summary (salted many-to-one join). A
-   uniform source decides the row directly: changed and one row ->
-   UPDATE, changed and several identical rows -> error, else NOOP.
-4. Keys whose source rows differ ("ambiguous") use exact counting without
-   pairs: distinct source variants are rolled up into a cube over the
-   compare columns (each value kept or rolled up, NULL kept as a value).
-   A target variant ``t`` is *not* changed against ``s`` exactly when, per
-   compare column, ``t`` is NULL, ``s`` is NULL or they are equal, so the
-   non-qualifying source rows are the union of at most ``2^m`` disjoint
-   cube cells, found by equi-joins. The qualifying count is the key total
-   minus that sum. When it is one, the XOR of variant ids over the key
-   minus the XOR over those cells is the id of the one qualifying variant,
-   fetched with one more equi-join (and checked).
+1. Source rows are counted per key, on the key column alone. The source must be
+   deterministic (it is evaluated for the count and for the joins).
+2. Without repeated source keys: the target left-joins the source, and the source
+   rows without a target key are inserted. Nothing is copied, and columns that the
+   caller doesn't use are pruned.
+3. With repeated keys: the source is written once to the shared folder with a row
+   number, and the target rows of repeated keys go another way. Per key and
+   compare column the non-NULL values are counted, and per (key, column, value)
+   too, each with the XOR of the row numbers. For a target value ``v`` the
+   difference of the two counts is the number of source rows that differ from ``v``
+   in that column, and if that is one, the XOR of the two sums is its row number.
+   A target row has more than one qualifying source row exactly if some column
+   has two differing rows or two columns have different ones. The work is linear in
+   rows and compare columns.
+
+All joins are many-to-one equi-joins, so a hot key is split by AQE's skew handling,
+and all aggregates combine map-side.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.functions.expressions import assert_not_null, assert_that, changed
-from keelson.operators.skew import DEFAULT_ROWS_PER_TASK, counted_salted_join, effective_rows_per_task, salted_join
-from keelson.session import checkpoint_dir
+from keelson.functions.expressions import assert_that, changed
+from keelson.session import work_dir
 
 ACTION = "action"
 INSERT, UPDATE, NOOP, KEEP = "INSERT", "UPDATE", "NOOP", "KEEP"
-_AMBIG, _MULTI = "_AMBIG", "_MULTI"
 
 MULTI_MATCH_ERROR = "MERGE must match at most one qualifying source row for each target row"
 
@@ -62,287 +55,98 @@ class MergeSpec:
     key: str
     compare: tuple[str, ...]
     update: tuple[str, ...]
-    rows_per_task: int = DEFAULT_ROWS_PER_TASK
-
-
-def scratch_table(
-    df: DataFrame, key: str, label: str, metrics: Sequence[Column] = (), bucketed: bool = True
-) -> tuple[DataFrame, dict, str]:
-    """Write ``df`` bucketed by ``key`` into a Parquet table under the shared
-    checkpoint folder and read it back; ``metrics`` are observed during the
-    write (no second pass).
-
-    This cuts the lineage (a lost executor later on does not recompute the
-    aggregates) and, because the table is bucketed on the join key with the
-    shuffle partition count, a later join on ``key`` shuffles only the other
-    side. Tables only read through salted joins (partitioned by key and
-    salt, which key bucketing cannot serve) are written unbucketed."""
-    spark = df.sparkSession
-    db = "keelson_scratch"
-    if not spark.catalog.databaseExists(db):
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{checkpoint_dir(spark).rstrip('/')}/keelson-scratch.db'")
-    name = f"{db}.{label}_{uuid.uuid4().hex[:12]}"
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    obs = Observation(f"{label}_{uuid.uuid4().hex[:8]}")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("_rows"), *metrics)
-    writer = observed.write.format("parquet").mode("errorifexists")
-    if bucketed:
-        writer = writer.bucketBy(n, key)
-    writer.saveAsTable(name)
-    return spark.table(name), dict(obs.get), name
-
-
-def key_summary(target: DataFrame, source: DataFrame, key: str, cols: list[str]) -> DataFrame:
-    """One row per key of either side: source rows ``_n_s``, target rows
-    ``_n_t``, the smallest source row ``_s`` and whether all source rows of
-    the key are equal (``_uniform``). Both aggregates pre-combine map-side."""
-    row = F.struct(*[F.col(c) for c in cols])
-    sa = source.groupBy(key).agg(F.count(F.lit(1)).alias("_n_s"), F.min(row).alias("_s"), F.max(row).alias("_s_hi"))
-    tk = target.groupBy(key).agg(F.count(F.lit(1)).alias("_n_t"))
-    return sa.join(tk, on=key, how="full_outer").select(
-        key, "_n_s", "_n_t", "_s", F.coalesce(F.col("_s").eqNullSafe(F.col("_s_hi")), F.lit(True)).alias("_uniform")
-    )
 
 
-def _lookup_join(big, lookup, key, rows_col, how, hot, R, row_id):
-    """Plain equi-join when no key is hot, salted join otherwise."""
-    if not hot:
-        lk = lookup.withColumnRenamed(key, "_lk")
-        j = big.join(lk, big[key] == lk["_lk"], how)
-        return j if how == "left_semi" else j.drop("_lk")
-    return salted_join(big, lookup, [key], rows_col, how, R, row_id)
+def merge_plan(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
+    """Rows of the merged table (target column order) plus ``action``.
 
+    With repeated source keys the plan reads scratch folders under the shared
+    checkpoint folder; :func:`keelson.sinks.merge_into.merge_into` removes them
+    once the merged table is written."""
+    return plan_merge(target, source, spec, [])
 
-def merge_plan(
-    target: DataFrame,
-    source: DataFrame,
-    spec: MergeSpec,
-    target_row_id: Sequence[str] | None = None,
-    source_row_id: Sequence[str] | None = None,
-) -> DataFrame:
-    """Rows of the merged table (target column order) plus ``action``.
 
-    The key-summary scratch table it writes stays in the checkpoint folder
-    (the returned plan reads it); :func:`keelson.sinks.merge_into.merge_into`
-    drops it once the merged table is written."""
-    return plan_merge(target, source, spec, target_row_id, source_row_id)[0]
-
-
-def plan_merge(
-    target: DataFrame,
-    source: DataFrame,
-    spec: MergeSpec,
-    target_row_id: Sequence[str] | None = None,
-    source_row_id: Sequence[str] | None = None,
-) -> tuple[DataFrame, list[str]]:
-    """:func:`merge_plan` plus the names of the scratch tables it reads.
-
-    Runs one job eagerly: the per-key summary is aggregated and written to
-    the shared checkpoint folder, and a few flags are observed during that
-    write (are there hot keys, ambiguous keys, multi-row inserts, NULL-key
-    inserts) so the returned plan contains only the branches the data
-    needs. A NULL-key insert raises right away.
-    ``*_row_id`` optionally name extra columns that identify input rows
-    deterministically (used only to spread hot keys); they are dropped.
-    """
-    t_ids = list(target_row_id or [])
-    s_ids = list(source_row_id or [])
-    cols = [c for c in target.columns if c not in t_ids]
+def plan_merge(target: DataFrame, source: DataFrame, spec: MergeSpec, scratch: list[str]) -> DataFrame:
+    """:func:`merge_plan`; adds the scratch folders it writes to ``scratch``.
+
+    Counts the source's keys eagerly; a NULL-key insert raises right away."""
+    cols, k = target.columns, spec.key
     missing = set(cols) - set(source.columns)
     if missing:
         raise ValueError(f"source lacks target columns: {sorted(missing)}")
-    k, R = spec.key, spec.rows_per_task
     if not spec.compare:
         raise ValueError("MergeSpec.compare must name at least one column (the WHEN MATCHED AND condition)")
     for c in (*spec.compare, *spec.update):
         if c not in cols:
             raise ValueError(f"unknown column {c!r}")
 
-    tgt = target.select(*cols, *t_ids)
-    src = source.select(*cols, *s_ids)
-    no_t = F.col("_n_t").isNull()
-    amb_c = ~F.col("_uniform") & F.col("_n_t").isNotNull()
-    ki, facts, name = scratch_table(
-        key_summary(tgt, src, k, cols),
-        k,
-        "merge_keys",
-        [
-            F.max("_n_t").alias("max_t"),
-            F.max(F.when(no_t, F.col("_n_s"))).alias("max_ins"),
-            F.max(F.when(amb_c, F.col("_n_s"))).alias("max_amb_s"),
-            F.sum(F.when(no_t & F.col(k).isNull(), F.col("_n_s"))).alias("null_ins"),
-            F.sum("_n_t").alias("rows_t"),
-            F.sum("_n_s").alias("rows_s"),
-        ],
-    )
-    scratch = [name]
-    if facts.get("null_ins"):
-        ki.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
-        raise ValueError(f"NOT NULL constraint violated: {k} of an inserted row ({facts['null_ins']} rows)")
-    max_t, max_ins, max_amb = (facts.get(m) or 0 for m in ("max_t", "max_ins", "max_amb_s"))
-    # keep every broadcast hot-key table within MAX_HOT_KEYS rows
-    R = effective_rows_per_task(R, max(facts.get("rows_t") or 0, facts.get("rows_s") or 0))
-    spec = replace(spec, rows_per_task=R)
-
-    # -- inserts: source keys with no target row ---------------------------
-    ins_keys = ki.where(no_t).where(assert_not_null(k, f"{k} of an inserted row"))
-    inserts = ins_keys.where(F.col("_n_s") == 1).select(*[F.col(f"_s.{c}").alias(c) for c in cols])
-    if max_ins > 1:
-        many = _lookup_join(
-            src, ins_keys.where(F.col("_n_s") > 1).select(k, "_n_s"), k, "_n_s", "left_semi", max_ins > R, R, s_ids or None
-        ).select(*cols)
-        inserts = inserts.unionByName(many)
-    inserts = inserts.withColumn(ACTION, F.lit(INSERT))
-
-    # -- target rows look up their key's source summary --------------------
-    look = ki.where(F.col("_n_t").isNotNull()).select(k, "_n_t", "_n_s", "_s", "_uniform")
-    tj = _lookup_join(tgt, look, k, "_n_t", "left", max_t > R, R, t_ids or None)
-    s = {c: F.col(f"_s.{c}") for c in cols}
-    chg = changed([F.col(c) for c in spec.compare], [s[c] for c in spec.compare])
-    state = (
-        F.when(F.col("_n_s").isNull(), F.lit(KEEP))
-        .when(~F.col("_uniform"), F.lit(_AMBIG))
-        .when(chg & (F.col("_n_s") == 1), F.lit(UPDATE))
-        .when(chg, F.lit(_MULTI))
-        .otherwise(F.lit(NOOP))
-    )
-    tj = tj.withColumn("_state", state)
-    direct = tj.where(F.col("_state") != _AMBIG) if max_amb else tj
-    direct = direct.where(assert_that(F.col("_state") != _MULTI, MULTI_MATCH_ERROR))
-    is_upd = F.col("_state") == UPDATE
-    out = direct.select(
-        *[(F.when(is_upd, s[c]).otherwise(F.col(c)) if c in spec.update else F.col(c)).alias(c) for c in cols],
-        F.col("_state").alias(ACTION),
+    src = source.select(*cols)
+    per_key = src.groupBy(k).agg(F.count(F.lit(1)).alias("_n"))
+    null_key = F.col(k).isNull()
+    facts = per_key.agg(F.sum(F.when(null_key, F.col("_n"))).alias("nulls"), F.max(F.when(~null_key, F.col("_n"))).alias("most")).first()
+    if facts["nulls"]:
+        raise ValueError(f"NOT NULL constraint violated: {k} of an inserted row ({facts['nulls']} rows)")
+
+    if (facts["most"] or 0) <= 1:
+        matched = _single_matches(target, src, spec, cols)
+    else:
+        src = _scratch(src.withColumn("_sid", F.monotonically_increasing_id()), "merge-source", scratch)
+        repeated = src.groupBy(k).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(k)
+        repeated = _scratch(repeated, "merge-repeated", scratch)
+        exact = _exact_matches(target.join(repeated, k, "left_semi").select(*cols), src.join(repeated, k, "left_semi"), spec, cols)
+        single = _single_matches(target.join(repeated, k, "left_anti").select(*cols), src.join(repeated, k, "left_anti"), spec, cols)
+        matched = single.unionByName(exact)
+    inserts = src.join(target.select(k).distinct(), k, "left_anti").select(*cols, F.lit(INSERT).alias(ACTION))
+    return matched.unionByName(inserts)
+
+
+def _scratch(df: DataFrame, label: str, scratch: list[str]) -> DataFrame:
+    path = work_dir(df.sparkSession, label)
+    scratch.append(path)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _applied(rows: DataFrame, spec: MergeSpec, cols: list[str], action) -> DataFrame:
+    """Target rows with the columns of the source row ``_s`` where updated."""
+    rows = rows.withColumn(ACTION, action)
+    is_update = F.col(ACTION) == UPDATE
+    return rows.select(
+        *[(F.when(is_update, F.col(f"_s.{c}")).otherwise(F.col(c)) if c in spec.update else F.col(c)).alias(c) for c in cols], ACTION
     )
 
-    # -- keys whose source rows differ: exact pair-free counting -----------
-    if max_amb:
-        # the rows of ambiguous keys and their outcomes are written as scratch
-        # tables: each later plan then starts from a small leaf (short
-        # planning, cut lineage) instead of repeating the whole merge tree
-        amb_keys = ki.where(amb_c).select(k, "_n_s")
-        amb_t, _, n1 = scratch_table(tj.where(F.col("_state") == _AMBIG).select(*cols, *t_ids), k, "merge_amb_t", bucketed=False)
-        amb_s, _, n2 = scratch_table(
-            _lookup_join(src, amb_keys, k, "_n_s", "left_semi", max_amb > R, R, s_ids or None).select(*cols),
-            k,
-            "merge_amb_s",
-            bucketed=False,
-        )
-        scratch += [n1, n2]
-        outcome, _, n3 = scratch_table(
-            _ambiguous_outcomes(amb_t, amb_s, spec, cols, src.schema, scratch), k, "merge_amb_out", bucketed=False
-        )
-        scratch.append(n3)
-        amb = salted_join(amb_t, outcome, [k, *spec.compare], "_n", "left", R, t_ids or None)
-        amb = amb.where(assert_that(F.col("_q") <= 1, MULTI_MATCH_ERROR))
-        one = F.col("_q") == 1
-        out = out.unionByName(
-            amb.select(
-                *[(F.when(one, F.col(f"_s.{c}")).otherwise(F.col(c)) if c in spec.update else F.col(c)).alias(c) for c in cols],
-                F.when(one, F.lit(UPDATE)).otherwise(F.lit(NOOP)).alias(ACTION),
-            )
-        )
-
-    return out.unionByName(inserts), scratch
-
-
-def _ambiguous_outcomes(
-    amb_t: DataFrame, amb_s: DataFrame, spec: MergeSpec, cols: list[str], schema, scratch: list[str]
-) -> DataFrame:
-    """Per distinct (key, compare values) of target rows: ``_n`` target rows,
-    ``_q`` qualifying source rows and ``_s`` the qualifying source row when
-    ``_q == 1``. Every join here is many-to-one and salted by the measured
-    number of rows per join key, so no key or cube cell lands whole in one
-    task."""
-    k, cmp = spec.key, list(spec.compare)
-    m, R = len(cmp), spec.rows_per_task
-    dtype = {f.name: f.dataType for f in schema.fields}
-    probe_cols = [f"_p{j}" for j in range(m)]
-
-    sv, _, name = scratch_table(
-        amb_s.groupBy(*cols)
-        .agg(F.count(F.lit(1)).alias("_mult"))
-        .withColumn("_va", F.xxhash64(*[F.col(c) for c in cols]))
-        .withColumn("_vb", F.xxhash64(F.lit("keelson:variant"), *[F.col(c) for c in cols])),
-        k,
-        "merge_amb_sv",
-        bucketed=False,
-    )  # used three times below: written once
-    scratch.append(name)
-    kd = sv.groupBy(k).agg(
-        F.sum("_mult").alias("_n_all"), F.bit_xor("_va").alias("_xa_all"), F.bit_xor("_vb").alias("_xb_all")
-    )
 
-    def nul(c: str) -> Column:
-        return F.lit(None).cast(dtype[c])
-
-    # cube cells: for each subset of compare columns rolled up (mask bit 1),
-    # the remaining columns keep their value (NULL included)
-    cells = [
-        F.struct(
-            F.lit(mask).alias("_pmask"),
-            *[(nul(c) if (mask >> j) & 1 else F.col(c)).alias(probe_cols[j]) for j, c in enumerate(cmp)],
-        )
-        for mask in range(2**m)
-    ]
-    cube = (
-        sv.select(k, "_mult", "_va", "_vb", F.explode(F.array(*cells)).alias("_cell"))
-        .select(k, "_mult", "_va", "_vb", "_cell.*")
-        .groupBy(k, "_pmask", *probe_cols)
-        .agg(F.sum("_mult").alias("_cnt"), F.bit_xor("_va").alias("_cxa"), F.bit_xor("_vb").alias("_cxb"))
-    )
+def _single_matches(target: DataFrame, src: DataFrame, spec: MergeSpec, cols: list[str]) -> DataFrame:
+    """Target rows against at most one source row a key."""
+    s = src.select(F.col(spec.key).alias("_k"), F.struct(*cols).alias("_s"))
+    rows = target.join(s, target[spec.key] == s["_k"], "left")
+    change = changed([F.col(c) for c in spec.compare], [F.col(f"_s.{c}") for c in spec.compare])
+    return _applied(rows, spec, cols, F.when(F.col("_k").isNull(), KEEP).when(change, UPDATE).otherwise(NOOP))
 
-    # probes: per target variant, the cells holding its non-qualifying rows
-    tv = amb_t.groupBy(k, *cmp).agg(F.count(F.lit(1)).alias("_n"))
-    null_mask = sum((F.when(F.col(c).isNull(), F.lit(1 << j)).otherwise(F.lit(0)) for j, c in enumerate(cmp)), F.lit(0))
-    choices = [
-        F.struct(
-            F.lit(ch).alias("_ch"),
-            *[(nul(c) if (ch >> j) & 1 else F.col(c)).alias(probe_cols[j]) for j, c in enumerate(cmp)],
-        )
-        for ch in range(2**m)
-    ]
-    probes = (
-        tv.withColumn("_pmask", null_mask)
-        .withColumn(
-            "_probe",
-            F.explode(F.filter(F.array(*choices), lambda x: x["_ch"].bitwiseAND(F.col("_pmask")) == 0)),
-        )
-        .select(k, *cmp, "_n", "_pmask", *[F.col(f"_probe.{p}").alias(p) for p in probe_cols])
-    )
-    nq = (
-        counted_salted_join(probes, cube, [k, "_pmask", *probe_cols], "left", R)
-        .groupBy(k, *cmp, "_n")
-        .agg(
-            F.sum(F.coalesce("_cnt", F.lit(0))).alias("_nq"),
-            F.bit_xor(F.coalesce("_cxa", F.lit(0).cast("bigint"))).alias("_nxa"),
-            F.bit_xor(F.coalesce("_cxb", F.lit(0).cast("bigint"))).alias("_nxb"),
-        )
-    )
-    res, _, name = scratch_table(
-        counted_salted_join(nq, kd, [k], "inner", R).select(
-            k,
-            *cmp,
-            "_n",
-            (F.col("_n_all") - F.col("_nq")).alias("_q"),
-            F.col("_xa_all").bitwiseXOR(F.col("_nxa")).alias("_qa"),
-            F.col("_xb_all").bitwiseXOR(F.col("_nxb")).alias("_qb"),
-        ),
-        k,
-        "merge_amb_res",
-        bucketed=False,
-    )  # used twice below: written once
-    scratch.append(name)
-
-    # the one qualifying variant, by id; rows with _q != 1 need no lookup
-    fetch = sv.where(F.col("_mult") == 1).select(
-        k, F.col("_va").alias("_qa"), F.col("_vb").alias("_qb"), F.struct(*[F.col(c) for c in cols]).alias("_s")
+
+def _exact_matches(target: DataFrame, src: DataFrame, spec: MergeSpec, cols: list[str]) -> DataFrame:
+    """Target rows whose key has several source rows (numbered ``_sid``)."""
+    k, cmp = spec.key, list(enumerate(spec.compare))
+    totals = src.groupBy(F.col(k).alias("_k")).agg(
+        *[F.count(c).alias(f"_n{i}") for i, c in cmp],
+        *[F.bit_xor(F.when(F.col(c).isNotNull(), F.col("_sid"))).alias(f"_x{i}") for i, c in cmp],
     )
-    one = counted_salted_join(res.where(F.col("_q") == 1), fetch, [k, "_qa", "_qb"], "left", R)
-    sane = F.col("_s").isNotNull() & changed([F.col(c) for c in cmp], [F.col(f"_s.{c}") for c in cmp])
-    one = one.where(assert_that(sane, "MERGE internal check failed: qualifying source row not found"))
-    rest = res.where(F.col("_q") != 1).withColumn("_s", F.lit(None).cast(fetch.schema["_s"].dataType))
-    return one.select(k, *cmp, "_n", "_q", "_s").unionByName(rest.select(k, *cmp, "_n", "_q", "_s"))
+    rows = target.join(totals, F.col(k) == F.col("_k"), "left").drop("_k")
+    for i, c in cmp:
+        same = src.where(F.col(c).isNotNull()).groupBy(F.col(k).alias("_k"), F.col(c).alias("_v"))
+        same = same.agg(F.count(F.lit(1)).alias("_c"), F.bit_xor("_sid").alias("_e"))
+        rows = rows.join(same, (F.col(k) == F.col("_k")) & (F.col(c) == F.col("_v")), "left")
+        differ = F.when(F.col(c).isNull(), 0).otherwise(F.col(f"_n{i}") - F.coalesce("_c", F.lit(0)))
+        one = F.col(f"_x{i}").bitwiseXOR(F.coalesce("_e", F.lit(0).cast("long")))
+        rows = rows.withColumn(f"_d{i}", differ).withColumn(f"_o{i}", F.when(F.col(f"_d{i}") == 1, one))
+        rows = rows.drop("_k", "_v", "_c", "_e", f"_n{i}", f"_x{i}")
+    found = F.array_distinct(F.array_compact(F.array(*[F.col(f"_o{i}") for i, _ in cmp])))
+    most = F.greatest(*[F.col(f"_d{i}") for i, _ in cmp], F.lit(0))
+    rows = rows.where(assert_that((most <= 1) & (F.size(found) <= 1), MULTI_MATCH_ERROR))
+    rows = rows.select(*cols, F.get(found, F.lit(0)).alias("_one"))
+    fetched = src.select(F.col("_sid").alias("_id"), F.struct(*cols).alias("_s"))
+    rows = rows.join(fetched, F.col("_one") == F.col("_id"), "left")
+    return _applied(rows, spec, cols, F.when(F.col("_one").isNull(), NOOP).otherwise(UPDATE))
 
 
 def action_counts(merged: DataFrame) -> DataFrame:

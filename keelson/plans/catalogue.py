@@ -30,12 +30,8 @@ URI_ACCOUNT = "lakeacct"
 
 
 # -- inputs ------------------------------------------------------------------
-def _stg(spark, sf, where=None):
-    return D.staging(spark, sf, where=where)
-
-
 def _src(spark, sf):
-    return merge_source(D.staging(spark, sf), D.customers(spark, sf), D.MERGE_AS_OF)
+    return merge_source(D.merge_staging(spark, sf), D.known_customers(spark, sf), D.MERGE_AS_OF)
 
 
 def _merged(spark, sf):
@@ -70,7 +66,9 @@ def merge_duplicate_keys(spark, sf):
     """The merge with duplicate keys on both sides: target rows of every
     third order appear twice; orders divisible by 8 get a second source
     row whose compare columns are NULL (it never qualifies, but it makes
-    the key's source rows differ, so the exact pair-free path runs)."""
+    the key's source rows differ, so the exact pair-free path runs). Orders
+    with remainder 4 get two such rows, one with the customer's name and no
+    country, one the other way round."""
     tgt = D.existing_target(spark, sf)
     tgt2 = tgt.unionByName(tgt.where(_order_no() % 3 == 0))
     src = _src(spark, sf)
@@ -84,7 +82,10 @@ def merge_duplicate_keys(spark, sf):
         F.lit(None).cast("string").alias("status"),
         "last_updated",
     )
-    return merge_plan(tgt2, src.unionByName(dup), jobs.FINAL_MERGE).select(*D.FINAL_COLUMNS, ACTION)
+    shift = src.where(_order_no() % 8 == 4).withColumn("amount", F.lit(None).cast("decimal(38,9)")).withColumn("status", F.lit(None).cast("string"))
+    no_name = shift.withColumn("customer_name", F.lit(None).cast("string"))
+    no_country = shift.withColumn("country", F.lit(None).cast("string"))
+    return merge_plan(tgt2, src.unionByName(dup).unionByName(no_name).unionByName(no_country), jobs.FINAL_MERGE).select(*D.FINAL_COLUMNS, ACTION)
 
 
 def merge_action_counts(spark, sf):
@@ -94,8 +95,8 @@ def merge_action_counts(spark, sf):
 def merge_affected_rows(spark, sf):
     """The affected-row count observed while the merge is written."""
     wh = jobs.Warehouse.create(spark, work_dir(spark, "affected"))
-    tables.full_refresh(_stg(spark, sf), wh.name(wh.staging))
-    tables.full_refresh(D.customers(spark, sf), wh.name(wh.customers))
+    tables.full_refresh(D.merge_staging(spark, sf), wh.name(wh.staging))
+    tables.full_refresh(D.known_customers(spark, sf), wh.name(wh.customers))
     tables.create_table_if_not_exists(spark, wh.name(wh.final), D.existing_target(spark, sf).schema, path=f"{wh.root}/final-v0")
     tables.insert_append(D.existing_target(spark, sf), wh.name(wh.final))
     m = jobs.merge_into_final(spark, wh, D.MERGE_AS_OF)
@@ -104,15 +105,15 @@ def merge_affected_rows(spark, sf):
 
 # -- enrichment, projections, predicates (J1, P1-P5, F2, C1, C2) ------------------
 def merge_source_q(spark, sf):
-    return _src(spark, sf)
+    return merge_source(D.staging(spark, sf), D.known_customers(spark, sf), D.MERGE_AS_OF)
 
 
 def enriched_star(spark, sf):
-    return enrich_left_join(D.staging(spark, sf), D.customers(spark, sf))
+    return enrich_left_join(D.staging(spark, sf), D.known_customers(spark, sf))
 
 
 def enrich_left_join_q(spark, sf):
-    return enrich_left_join(D.staging(spark, sf), D.customers(spark, sf)).select(
+    return enrich_left_join(D.staging(spark, sf), D.known_customers(spark, sf)).select(
         "transaction_id", "customer_id", "customer_name"
     )
 
@@ -253,20 +254,6 @@ def union_versions(spark, sf):
     return summary.union_versions(spark.read.parquet(*v0), spark.read.parquet(*v1))
 
 
-def snapshot_version(spark, sf):
-    path = _two_commits(spark, sf)
-    return lake_log.log_actions(spark, path).agg(F.max("version").alias("version"))
-
-
-def log_latest_version(spark, sf):
-    path = _two_commits(spark, sf)
-    return lake_log.list_log_versions(spark, path).agg(F.max("version").alias("version"))
-
-
-def snapshot_files(spark, sf):
-    return lake_log.snapshot_files(spark, _two_commits(spark, sf))
-
-
 # -- scalar helpers over driver tables (P8-P11) ---------------------------------
 def version_from_name(spark, sf):
     o = D.table(spark, sf, "orders")
@@ -307,8 +294,8 @@ def run_jobs(spark, sf):
     root = work_dir(spark, "job")
     lake = f"{root}/lake"
     jobs.write_lake_table(
-        D.staging(spark, sf, where=_even(F.col("o_orderkey"))),
-        D.staging(spark, sf, where=_odd(F.col("o_orderkey"))),
+        D.merge_staging(spark, sf, where=_even(F.col("o_orderkey"))),
+        D.merge_staging(spark, sf, where=_odd(F.col("o_orderkey"))),
         lake,
         f"{root}/snapshot",
     )
@@ -316,7 +303,7 @@ def run_jobs(spark, sf):
     tgt = D.existing_target(spark, sf)
     tables.create_table_if_not_exists(spark, wh.name(wh.final), tgt.schema, path=f"{root}/final-v0")
     tables.insert_append(tgt, wh.name(wh.final))
-    cust = D.customers(spark, sf)
+    cust = D.known_customers(spark, sf)
     jobs.stage_and_merge(spark, lake, wh, cust, cust.schema, tgt.schema, "dev", D.MERGE_AS_OF)
     return wh
 
@@ -364,9 +351,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "commit_overwrite": commit_overwrite,
     "external_lake_scan": external_lake_scan,
     "union_versions": union_versions,
-    "snapshot_version": snapshot_version,
-    "log_latest_version": log_latest_version,
-    "snapshot_files": snapshot_files,
     "version_from_name": version_from_name,
     "path_basename": path_basename,
     "path_trim": path_trim,

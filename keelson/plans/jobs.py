@@ -16,7 +16,7 @@ from keelson.operators.merge import MergeSpec
 from keelson.operators.summary import status_summary
 from keelson.sinks import labels as label_sink
 from keelson.sinks import lake_commit, tables
-from keelson.sinks.merge_into import ROW_ID, merge_into, with_row_id
+from keelson.sinks.merge_into import merge_into
 from keelson.sources import external, lake_log
 from keelson.sources.driver_tables import CUSTOMER_COLUMNS
 
@@ -128,10 +128,10 @@ def merge_into_final(spark: SparkSession, wh: Warehouse, as_of: dt.datetime | No
     """The merge step of B4: ``MERGE final_table USING (staging LEFT JOIN
     customers)``; returns the counts observed while the merged table is
     written (affected rows = inserted + updated)."""
-    staging = with_row_id(spark.table(wh.name(wh.staging)))
+    staging = spark.table(wh.name(wh.staging))
     customers = spark.table(wh.name(wh.customers))
-    source = merge_source(staging, customers, as_of, extra=[ROW_ID])
-    return merge_into(spark, wh.name(wh.final), source, spec, source_row_id=ROW_ID, location=f"{wh.root}/{wh.final}/v-{uuid.uuid4().hex[:12]}")
+    source = merge_source(staging, customers, as_of)
+    return merge_into(spark, wh.name(wh.final), source, spec, location=f"{wh.root}/{wh.final}/v-{uuid.uuid4().hex[:12]}")
 
 
 def final_summary(spark: SparkSession, wh: Warehouse) -> DataFrame:

@@ -22,11 +22,12 @@ def _stg(where: str = "TRUE") -> str:
          CAST(o_totalprice AS DECIMAL(18,2)) AS amount,
          CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS transaction_date,
          {STATUS} AS status
-  FROM orders WHERE o_orderkey % 4 <> 1 AND ({where})"""
+  FROM orders WHERE {where}"""
 
 
 CTE = f"""
 WITH stg AS ({_stg()}
+), mstg AS ({_stg("o_orderkey % 4 <> 1")}
 ), cust AS (
   SELECT 'CUST-' || CAST(c_custkey AS VARCHAR) AS customer_id,
          c_name AS customer_name,
@@ -34,7 +35,8 @@ WITH stg AS ({_stg()}
          n_name AS country,
          TIMESTAMP '2024-01-01 00:00:00' AS updated_at
   FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
-  WHERE c_custkey % 17 <> 0
+), kcust AS (
+  SELECT * FROM cust WHERE CAST(substr(customer_id, 6) AS BIGINT) % 17 <> 0
 ), tgt AS (
   SELECT 'TXN-' || CAST(o_orderkey AS VARCHAR) AS transaction_id,
          'CUST-' || CAST(o_custkey AS VARCHAR) AS customer_id,
@@ -46,13 +48,15 @@ WITH stg AS ({_stg()}
          TIMESTAMP '2024-01-01 00:00:00' AS last_updated
   FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
   WHERE o_orderkey % 5 <> 0
-), src AS (
+), src_all AS (
   SELECT t.transaction_id, t.customer_id, c.customer_name, c.country,
          CAST(t.amount AS DECIMAL(38,9)) AS amount,
          CAST(t.transaction_date AS DATE) AS transaction_date,
          t.status,
          TIMESTAMP '2024-02-01 00:00:00' AS last_updated
-  FROM stg t LEFT JOIN cust c ON t.customer_id = c.customer_id
+  FROM stg t LEFT JOIN kcust c ON t.customer_id = c.customer_id
+), src AS (
+  SELECT * FROM src_all WHERE transaction_id IN (SELECT transaction_id FROM mstg)
 ), m AS (
   SELECT
     CASE WHEN t.present IS NULL THEN 'INSERT'
@@ -99,6 +103,12 @@ DUP_MERGE = CTE.rstrip() + """, tgt2 AS (
   SELECT transaction_id, customer_id, CAST(NULL AS VARCHAR) AS customer_name, country,
          CAST(NULL AS DECIMAL(38,9)) AS amount, transaction_date, CAST(NULL AS VARCHAR) AS status, last_updated
   FROM src WHERE CAST(substr(transaction_id, 5) AS BIGINT) % 8 = 0
+  UNION ALL
+  SELECT transaction_id, customer_id, CAST(NULL AS VARCHAR), country, CAST(NULL AS DECIMAL(38,9)), transaction_date, CAST(NULL AS VARCHAR), last_updated
+  FROM src WHERE CAST(substr(transaction_id, 5) AS BIGINT) % 8 = 4
+  UNION ALL
+  SELECT transaction_id, customer_id, customer_name, CAST(NULL AS VARCHAR), CAST(NULL AS DECIMAL(38,9)), transaction_date, CAST(NULL AS VARCHAR), last_updated
+  FROM src WHERE CAST(substr(transaction_id, 5) AS BIGINT) % 8 = 4
 ), t AS (
   SELECT *, row_number() OVER () AS rid FROM tgt2
 ), pairs AS (
@@ -142,13 +152,13 @@ ORACLE_SQL: dict[str, str] = {
     "merge_duplicate_keys": DUP_MERGE,
     "merge_action_counts": _q("SELECT action, COUNT(*) AS rows FROM merged GROUP BY action"),
     "merge_affected_rows": _q("SELECT COUNT(*) AS affected_rows FROM merged WHERE action IN ('INSERT', 'UPDATE')"),
-    "merge_source": _q("SELECT * FROM src"),
+    "merge_source": _q("SELECT * FROM src_all"),
     "enriched_star": _q(
-        "SELECT t.*, c.customer_name, c.country FROM stg t LEFT JOIN cust c ON t.customer_id = c.customer_id"
+        "SELECT t.*, c.customer_name, c.country FROM stg t LEFT JOIN kcust c ON t.customer_id = c.customer_id"
     ),
     "enrich_left_join": _q(
         "SELECT t.transaction_id, t.customer_id, c.customer_name "
-        "FROM stg t LEFT JOIN cust c ON t.customer_id = c.customer_id"
+        "FROM stg t LEFT JOIN kcust c ON t.customer_id = c.customer_id"
     ),
     "change_detect": _q(
         "SELECT t.transaction_id, coalesce(t.status <> s.status OR t.customer_name <> s.customer_name "
@@ -185,8 +195,6 @@ ORACLE_SQL: dict[str, str] = {
     "commit_overwrite": _q("SELECT * FROM stg_odd"),
     "external_lake_scan": _q("SELECT * FROM stg"),
     "union_versions": _q("SELECT * FROM stg_even UNION ALL SELECT * FROM stg_odd"),
-    "snapshot_version": "SELECT CAST(1 AS BIGINT) AS version",
-    "log_latest_version": "SELECT CAST(1 AS BIGINT) AS version",
     "version_from_name": (
         "SELECT name, CASE WHEN regexp_matches(name, '^([0-9]{20})\\.json$') "
         "THEN CAST(regexp_extract(name, '^([0-9]{20})\\.json$', 1) AS BIGINT) END AS version "
@@ -201,8 +209,8 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "job_final_table": _q(f"SELECT {FINAL_COLS} FROM merged"),
     "table_info": _q(
-        "SELECT 'transactions_staging' AS table_name, 'MANAGED' AS table_type, COUNT(*) AS num_rows FROM stg "
-        "UNION ALL SELECT 'customers', 'MANAGED', COUNT(*) FROM cust "
+        "SELECT 'transactions_staging' AS table_name, 'MANAGED' AS table_type, COUNT(*) AS num_rows FROM mstg "
+        "UNION ALL SELECT 'customers', 'MANAGED', COUNT(*) FROM kcust "
         "UNION ALL SELECT 'final_table', 'EXTERNAL', COUNT(*) FROM merged"
     ),
 }

@@ -17,23 +17,14 @@ from pyspark.sql import functions as F
 from keelson.operators.merge import ACTION, INSERT, UPDATE, MergeSpec, plan_merge
 from keelson.sinks import fs, tables
 
-ROW_ID = "_row_id"
 ACTIONS = ("INSERT", "UPDATE", "NOOP", "KEEP")
 
 
-def with_row_id(df: DataFrame) -> DataFrame:
-    """Add a compact, deterministic row identity taken from the file scan
-    (hash of file path and row index): used only to spread the rows of a
-    hot key over salt buckets, and pruned when no key is hot."""
-    return df.withColumn(ROW_ID, F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")))
-
-
 def merge_into(
     spark: SparkSession,
     table: str,
     source: DataFrame,
     spec: MergeSpec,
-    source_row_id: str | None = None,
     location: str | None = None,
     remove_previous: bool = False,
 ) -> dict:
@@ -43,12 +34,7 @@ def merge_into(
     (default: a new sibling of the table's current folder). With
     ``remove_previous`` the folder of the replaced version is deleted after
     the switch (off by default: running readers may still use it)."""
-    target = with_row_id(spark.table(table))
-    merged, scratch = plan_merge(
-        target, source, spec, target_row_id=[ROW_ID], source_row_id=[source_row_id] if source_row_id else None
-    )
     fields = spark.table(table).schema.fields
-    conformed = merged.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields], ACTION)
     metrics = [
         F.sum(F.when(F.col(ACTION).isin(INSERT, UPDATE), 1).otherwise(0)).alias("affected_rows"),
         *[F.sum(F.when(F.col(ACTION) == a, 1).otherwise(0)).alias(a.lower()) for a in ACTIONS],
@@ -56,11 +42,14 @@ def merge_into(
     previous = tables.table_location(spark, table).rstrip("/")
     if location is None:
         location = f"{previous.rsplit('/', 1)[0]}/v-{uuid.uuid4().hex[:12]}"
+    scratch: list[str] = []
     try:
+        merged = plan_merge(spark.table(table), source, spec, scratch)
+        conformed = merged.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields], ACTION)
         out = tables.write_observed_and_swap(conformed, ACTION, table, location, metrics)
     finally:
-        for name in scratch:  # the key summary and helper tables are no longer needed
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        for path in scratch:
+            fs.delete(spark, path)
     if remove_previous:
         fs.delete(spark, previous)
     return {k: int(v or 0) for k, v in out.items()}

@@ -47,19 +47,9 @@ FINAL_COLUMNS = [
 ]
 
 
-_SCHEMAS: dict[str, object] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table. The footer schema is read once per path and then
-    given explicitly, so repeated reads skip schema inference."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
+    """One driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def ts_literal(value: dt.datetime) -> Column:
@@ -82,7 +72,7 @@ def _cust_id(custkey: Column) -> Column:
     return F.concat(F.lit("CUST-"), custkey.cast("string"))
 
 
-def staging(spark: SparkSession, sf_dir: str, with_row_id: bool = False, where: Column | None = None) -> DataFrame:
+def staging(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
     """The transactions table as staged from the latest lake version.
 
     ``where`` further restricts the orders (for example to one half, to
@@ -98,19 +88,30 @@ def staging(spark: SparkSession, sf_dir: str, with_row_id: bool = False, where:
         F.col("o_orderdate").cast("date").cast("string").alias("transaction_date"),
         status_of(F.col("o_orderstatus")).alias("status"),
     ]
-    if with_row_id:
-        cols.append(F.col("_metadata.file_path").alias("_rid_file"))
-        cols.append(F.col("_metadata.row_index").alias("_rid_row"))
-    return o.where(k % STAGING_EXCLUDE_MOD != STAGING_EXCLUDE_REM).select(*cols)
+    return o.select(*cols)
+
+
+def merge_staging(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
+    """Staging for the merge queries, whose feature is a partial overlap with
+    the target: some target orders have no staged row."""
+    overlap = F.col("o_orderkey") % STAGING_EXCLUDE_MOD != STAGING_EXCLUDE_REM
+    return staging(spark, sf_dir, overlap if where is None else overlap & where)
 
 
-def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def known_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The master for the join queries, whose feature is orders without a
+    customer: some customers are missing."""
+    return customers(spark, sf_dir, F.col("c_custkey") % CUSTOMER_ORPHAN_MOD != 0)
+
+
+def customers(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
     """Customer master: id, name, email, country, updated_at."""
     c = table(spark, sf_dir, "customer")
+    if where is not None:
+        c = c.where(where)
     n = table(spark, sf_dir, "nation")
     return (
-        c.where(F.col("c_custkey") % CUSTOMER_ORPHAN_MOD != 0)
-        .join(n, c.c_nationkey == n.n_nationkey, "left")
+        c.join(n, c.c_nationkey == n.n_nationkey, "left")
         .select(
             _cust_id(F.col("c_custkey")).alias("customer_id"),
             F.col("c_name").alias("customer_name"),
@@ -121,15 +122,13 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def existing_target(spark: SparkSession, sf_dir: str, with_row_id: bool = False) -> DataFrame:
+def existing_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The final table before the merge, with deliberate differences."""
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     k = F.col("o_orderkey")
     base = o.where(k % TARGET_EXCLUDE_MOD != 0)
-    if with_row_id:
-        base = base.select("*", F.col("_metadata.file_path").alias("_rid_file"), F.col("_metadata.row_index").alias("_rid_row"))
     amount = (
         F.col("o_totalprice").cast(LAKE_AMOUNT) + F.when(k % TARGET_AMOUNT_BUMP_MOD == 0, F.lit(1)).otherwise(F.lit(0))
     ).cast(NUMERIC)
@@ -143,8 +142,6 @@ def existing_target(spark: SparkSession, sf_dir: str, with_row_id: bool = False)
         F.when(k % TARGET_PENDING_MOD == 0, F.lit("pending")).otherwise(status_of(F.col("o_orderstatus"))).alias("status"),
         ts_literal(TARGET_LAST_UPDATED).alias("last_updated"),
     ]
-    if with_row_id:
-        cols += [F.col("_rid_file"), F.col("_rid_row")]
     return (
         base.join(c, base.o_custkey == c.c_custkey, "left")
         .join(n, c.c_nationkey == n.n_nationkey, "left")

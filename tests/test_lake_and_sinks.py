@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fixture_a import CUSTOMERS, CUSTOMER_SCHEMA, FIRST_COMMIT, SECOND_COMMIT, customers_df, txn_df
 from keelson.plans import jobs
-from keelson.session import work_dir
+from keelson.session import checkpoint_dir, work_dir
 from keelson.sinks import labels, lake_commit, tables
 from keelson.sources import catalog, external, lake_log
 
@@ -263,12 +263,31 @@ def test_merge_into_named_table_twice(spark):
 
     assert not fs.exists(spark, loc1)
 
-    def scratch_tables():
-        return {t.name for t in spark.catalog.listTables("keelson_scratch") if t.name.startswith("merge_keys_")}
+    before = scratch_folders(spark)
+    merge_into(spark, name, src, jobs.FINAL_MERGE)  # its repeated keys need scratch folders
+    assert scratch_folders(spark) == before
 
-    before = scratch_tables()
-    merge_into(spark, name, src, jobs.FINAL_MERGE)
-    assert scratch_tables() == before  # the key summary is dropped after the write
+
+def scratch_folders(spark):
+    folder = os.path.join(_local(checkpoint_dir(spark)), "keelson-work")
+    return [x for x in os.listdir(folder) if x.startswith("merge-")]
+
+
+def test_a_failing_merge_leaves_no_scratch(spark):
+    from fixture_a import FINAL_SCHEMA
+    from keelson.operators.enrich import merge_source
+    from keelson.sinks.merge_into import merge_into
+
+    wh = jobs.Warehouse.create(spark, work_dir(spark, "t-wh"))
+    name = wh.name("final_table")
+    tables.create_table_if_not_exists(spark, name, FINAL_SCHEMA, path=f"{wh.root}/final/v-0")
+    merge_into(spark, name, merge_source(txn_df(spark, FIRST_COMMIT), customers_df(spark)), jobs.FINAL_MERGE)
+    key, customer, amount, date, _ = FIRST_COMMIT[0]
+    clash = [(key, customer, amount, date, "x1"), (key, customer, amount, date, "x2")]
+    before = scratch_folders(spark)
+    with pytest.raises(Exception, match="at most one"):
+        merge_into(spark, name, merge_source(txn_df(spark, clash), customers_df(spark)), jobs.FINAL_MERGE)
+    assert scratch_folders(spark) == before
 
 
 def test_zero_byte_commit_file_counts_for_listing(spark):

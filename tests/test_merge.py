@@ -18,7 +18,6 @@ SPEC = MergeSpec(
     "transaction_id",
     ("status", "customer_name", "amount"),
     ("customer_name", "country", "amount", "status", "last_updated"),
-    rows_per_task=2,  # tiny buckets so the salting path runs in tests
 )
 AS_OF_1 = dt.datetime(2024, 2, 1)
 AS_OF_2 = dt.datetime(2024, 3, 1)
@@ -128,7 +127,7 @@ P_SCHEMA = T.StructType(
         T.StructField("e", T.StringType()),
     ]
 )
-P_SPEC = MergeSpec("k", ("a", "b", "x"), ("a", "x", "e"), rows_per_task=2)
+P_SPEC = MergeSpec("k", ("a", "b", "x"), ("a", "x", "e"))
 COLS = ["k", "a", "b", "x", "e"]
 
 
@@ -167,7 +166,7 @@ key = st.sampled_from(["K1", "K2", "K3", "K4"])
 row = st.tuples(key, val, val, amt, st.sampled_from(["e1", "e2", None]))
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(derandomize=True, max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(row, max_size=9), st.lists(row, max_size=9), st.booleans())
 def test_merge_matches_brute_force(spark, target, source, null_target_key):
     if null_target_key and target:
@@ -225,14 +224,32 @@ def test_structured_duplicates_match_brute_force(spark, seed):
     target, source = _structured_case(seed)
     expected = brute_merge(target, source)
     assert expected != "ERROR"
-    spec = MergeSpec("k", ("a", "b", "x"), ("a", "x", "e"), rows_per_task=3)
+    spec = MergeSpec("k", ("a", "b", "x"), ("a", "x", "e"))
     got = merge_plan(spark.createDataFrame(target, P_SCHEMA), spark.createDataFrame(source, P_SCHEMA), spec).collect()
     assert Counter(tuple(r) for r in got) == expected
 
 
-def test_effective_rows_per_task_bounds_the_hot_key_table():
-    from keelson.operators.skew import MAX_HOT_KEYS, effective_rows_per_task
+def test_null_shifted_duplicates(spark):
+    target = [("K", "p", "b", None, "t")]
+    source = [("K", None, "b", None, "s1"), ("K", "b", None, None, "s2"), ("K", None, "p", None, "s3")]
+    source[2] = ("K", "p", None, None, "s3")
+    got = merge_plan(spark.createDataFrame(target, P_SCHEMA), spark.createDataFrame(source, P_SCHEMA), P_SPEC).collect()
+    assert Counter(tuple(r) for r in got) == brute_merge(target, source)
+    assert [r[ACTION] for r in got] == ["UPDATE"]
 
-    assert effective_rows_per_task(4_000_000, 10**6) == 4_000_000
-    r = effective_rows_per_task(10, 10**12)
-    assert r >= 10**12 // MAX_HOT_KEYS and 10**12 // r <= MAX_HOT_KEYS
+
+def test_one_timestamp_per_statement(spark):
+    staging = txn_df(spark, FIRST_COMMIT + SECOND_COMMIT)
+    empty = spark.createDataFrame([], FINAL_SCHEMA)
+    first = merge_plan(empty, merge_source(staging, customers_df(spark)), SPEC).collect()
+    assert len(first) == 8 and len({r["last_updated"] for r in first}) == 1
+    target = merge_plan(empty, merge_source(staging, customers_df(spark), AS_OF_1), SPEC).drop(ACTION)
+    second = merge_plan(target, merge_source(staging, customers_df(spark)), SPEC).collect()
+    assert len({r["last_updated"] for r in second if r[ACTION] == "UPDATE"}) == 1
+
+
+def test_a_hot_key_of_identical_rows(spark):
+    target = [("HOT", "p", "b", Decimal("1.00"), "t")] * 500 + [("K", "p", "b", Decimal("1.00"), "t")]
+    source = [("HOT", "p", "b", Decimal("1.00"), "s")] * 400 + [("HOT", "q", "b", Decimal("1.00"), "new")]
+    got = merge_plan(spark.createDataFrame(target, P_SCHEMA), spark.createDataFrame(source, P_SCHEMA), P_SPEC)
+    assert {r[ACTION]: r["rows"] for r in action_counts(got).collect()} == {"UPDATE": 500, "KEEP": 1}
