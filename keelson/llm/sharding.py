@@ -124,7 +124,7 @@ def _numbered(rows: DataFrame, keys: DataFrame, splitters: list, part_bytes: int
     start = F.lit(0).cast("long")
     for n in range(len(edges) - 1):
         count = max(1, sizes.get(n, 0) // part_bytes)
-        width = F.when(F.col("shard") == n, F.lit((edges[n + 1] - edges[n]) // count + 1)).otherwise(width)
+        width = F.when(F.col("shard") == n, F.lit(min((edges[n + 1] - edges[n]) // count + 1, _TOP - 1))).otherwise(width)
         start = F.when(F.col("shard") == n, F.lit(edges[n])).otherwise(start)
 
     def placed(df: DataFrame) -> DataFrame:

@@ -1,8 +1,12 @@
 """Plain brute-force versions of the operators, for small inputs."""
 
+import os
 import re
+import sys
 from collections import defaultdict
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path[:0] = [ROOT, os.path.join(ROOT, "tools")]
 SF_CHECK = "/root/testdata/sf0.01"
 LOWER = {i: i + 32 for i in range(65, 91)}
 
