@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 ORDERS = (4, 3, 2, 1)
 EVIDENCE_WORDS = 20.0
-MAX_CACHED = 400_000
+MAX_CACHED = 150_000
 _NOT_LETTERS = regex.compile(r"\P{L}+")
 
 
@@ -115,9 +115,9 @@ class _Rows(dict):
         self.table = np.zeros((self.used, width), np.float32)
         if model.words:
             self.table[1:] = np.stack(list(model.words.values()))
-        grams = [g for k in ORDERS for g in model.grams[k]]
+        grams = [g for k in ORDERS for g in model.grams.get(k, {})]
         self.gram_row = {g: i for i, g in enumerate(grams)}  # orders differ in length, so none clashes
-        self.gram_table = np.stack([v for k in ORDERS for v in model.grams[k].values()]) if grams else np.zeros((0, width), np.float32)
+        self.gram_table = np.stack([v for k in ORDERS for v in model.grams.get(k, {}).values()]) if grams else np.zeros((0, width), np.float32)
         self.new_grams: list[int] = []
         self.new_counts: list[int] = []
 

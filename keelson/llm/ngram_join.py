@@ -44,7 +44,7 @@ from keelson.llm.text import shingle_sets, slices
 from keelson.session import materialise
 
 LOCAL_HOT = 16  # documents of one slice that share a shingle before it is sent as a count
-BUCKET_BYTES = 16 << 20  # packed entries of one hash bucket, about
+BUCKET_BYTES = 8 << 20  # packed entries of one hash bucket, about
 BLOCK_SHINGLES = 1 << 20  # shingles of one side of a tile, about
 TREE_SHINGLES = 1 << 16  # shingles of one prefix tree inside a tile
 PROBES = 256  # sets that walk a tree together
