@@ -181,7 +181,7 @@ def seed_if_empty(spark, sf):
     cust = D.customers(spark, sf)
     tables.create_table_if_not_exists(spark, name, cust.schema)
     for _ in range(2):
-        tables.seed_if_empty(spark, cust, name, D.CUSTOMER_COLUMNS)
+        tables.seed_if_empty(spark, tables.enforce_not_null(cust, ["customer_id"]), name, D.CUSTOMER_COLUMNS)
     return spark.table(name)
 
 
@@ -191,7 +191,7 @@ def insert_append(spark, sf):
     cust = D.customers(spark, sf)
     tables.create_table_if_not_exists(spark, name, cust.schema)
     for _ in range(2):
-        tables.insert_append(cust, name)
+        tables.insert_append(cust, name, not_null=["customer_id"])
     return spark.table(name)
 
 
@@ -215,6 +215,17 @@ def external_parquet_scan(spark, sf):
     return external.parquet_view(spark, "transactions_snapshot", folder)
 
 
+def external_table_refresh(spark, sf):
+    """A managed table of the staged rows gives way to an external
+    table over their exported snapshot."""
+    wh = jobs.Warehouse.create(spark, work_dir(spark, "replace"))
+    name = wh.name("transactions")
+    tables.full_refresh(D.staging(spark, sf), name)
+    folder = work_dir(spark, "export")
+    tables.export_snapshot(spark.table(name), folder)
+    return external.parquet_external_table(spark, name, folder)
+
+
 # -- versioned table (S1-S5, K1, K2, U1) -----------------------------------------
 def _two_commits(spark, sf) -> str:
     path = work_dir(spark, "lake")
@@ -346,6 +357,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "staging_full_refresh": staging_full_refresh,
     "snapshot_export": snapshot_export,
     "external_parquet_scan": external_parquet_scan,
+    "external_table_refresh": external_table_refresh,
     "commit_append": commit_append,
     "snapshot_latest": snapshot_latest,
     "commit_overwrite": commit_overwrite,

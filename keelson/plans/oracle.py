@@ -190,6 +190,7 @@ ORACLE_SQL: dict[str, str] = {
     "staging_full_refresh": _q("SELECT * FROM stg"),
     "snapshot_export": _q("SELECT * FROM stg"),
     "external_parquet_scan": _q("SELECT * FROM stg"),
+    "external_table_refresh": _q("SELECT * FROM stg"),
     "commit_append": _q("SELECT * FROM stg"),
     "snapshot_latest": _q("SELECT * FROM stg"),
     "commit_overwrite": _q("SELECT * FROM stg_odd"),

@@ -40,7 +40,7 @@ def list_files(spark: SparkSession, folder: str, suffix: str = "") -> list[tuple
     for st in fs.listStatus(p):
         if st.isFile():
             name = st.getPath().getName()
-            if name.endswith(suffix) and not name.startswith(("_", ".")):
+            if name.endswith(suffix):
                 out.append((st.getPath().toString(), int(st.getLen()), int(st.getModificationTime())))
     return sorted(out)
 

@@ -50,8 +50,8 @@ def commit(
     version = _next_version(spark, base)
     if version > 0 and mode == "append":
         existing = lake_log.table_metadata(lake_log.log_actions(spark, base))["schema"]
-        if [f.name for f in existing.fields] != df.columns:
-            raise ValueError(f"append schema {df.columns} differs from table schema {existing.fieldNames()}")
+        if [(f.name, f.dataType) for f in existing.fields] != [(f.name, f.dataType) for f in df.schema.fields]:
+            raise ValueError(f"append schema {df.schema.simpleString()} differs from table schema {existing.simpleString()}")
 
     part_dir = f"part-v{version:05d}-{uuid.uuid4().hex[:8]}"
     df.write.mode("errorifexists").parquet(f"{base}/{part_dir}")

@@ -11,12 +11,14 @@ from __future__ import annotations
 
 import logging
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keelson.functions.expressions import assert_not_null
+from keelson.sinks import fs
 
 log = logging.getLogger(__name__)
 
@@ -54,7 +56,18 @@ def enforce_not_null(df: DataFrame, columns: list[str]) -> DataFrame:
 def full_refresh(df: DataFrame, name: str, path: str | None = None) -> int:
     """Truncate-and-load, creating the table if needed (K4); returns the row count.
 
-    The count comes from an observation of the write itself, not a second scan."""
+    An existing table of the same columns keeps its properties (labels): the rows
+    are written aside, the table is pointed to them in one step, and the folder
+    it had is removed. The count is observed during the write."""
+    spark = df.sparkSession
+    if path is None and spark.catalog.tableExists(name):
+        columns = [(f.name, f.dataType) for f in spark.table(name).schema.fields]
+        if columns == [(f.name, f.dataType) for f in df.schema.fields]:
+            previous = table_location(spark, name).rstrip("/")
+            aside = f"{previous.rsplit('/', 1)[0]}/refresh-{uuid.uuid4().hex[:12]}"
+            rows = write_observed_and_swap(df, None, name, aside, [])["rows"]
+            fs.delete(spark, previous)
+            return int(rows)
     obs = Observation(f"refresh_{uuid.uuid4().hex[:8]}")
     w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format("parquet")
     if path:
@@ -63,9 +76,10 @@ def full_refresh(df: DataFrame, name: str, path: str | None = None) -> int:
     return int(obs.get["rows"])
 
 
-def insert_append(df: DataFrame, name: str) -> None:
-    """Unconditional insert (K7): a rerun duplicates rows."""
-    df.write.insertInto(name, overwrite=False)
+def insert_append(df: DataFrame, name: str, not_null: Sequence[str] = ()) -> None:
+    """Unconditional insert (K7): a rerun duplicates rows. A NULL in a
+    ``not_null`` column fails the write."""
+    enforce_not_null(df, list(not_null)).write.insertInto(name, overwrite=False)
 
 
 def seed_if_empty(spark: SparkSession, seed: DataFrame, name: str, columns: list[str]) -> bool:

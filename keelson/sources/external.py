@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keelson.sinks import tables
@@ -39,40 +40,18 @@ def parquet_external_table(spark: SparkSession, name: str, folder: str) -> DataF
 def inline_rows(spark: SparkSession, rows: Sequence[Sequence], names: Sequence[str]) -> DataFrame:
     """``SELECT * FROM UNNEST([STRUCT(a AS x, ...), STRUCT(...)])`` (S8): the
     field names of the first struct name the columns, later rows are
-    positional. Built as ``inline(array(named_struct(...)))`` in SQL."""
+    positional. Values are literals of their Python type (a float is a
+    double); a Column, such as ``F.current_timestamp()``, is taken as it is."""
     if not rows:
         raise ValueError("at least one row is needed to name the columns")
-    structs = []
-    for r in rows:
-        if len(r) != len(names):
-            raise ValueError("every row needs one value per column")
-        fields = ", ".join(f"'{n}', {_sql_literal(v)}" for n, v in zip(names, r, strict=True))
-        structs.append(f"named_struct({fields})")
-    return spark.sql(f"SELECT * FROM inline(array({', '.join(structs)}))")
+    if any(len(r) != len(names) for r in rows):
+        raise ValueError("every row needs one value per column")
+    structs = [
+        F.struct(*[(v if isinstance(v, Column) else F.lit(v)).alias(n) for n, v in zip(names, r, strict=True)]) for r in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
 def values_rows(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType) -> DataFrame:
     """``VALUES (...), (...)`` with a declared schema."""
     return spark.createDataFrame([tuple(r) for r in rows], schema)
-
-
-def _sql_literal(v) -> str:
-    import datetime as dt
-    from decimal import Decimal
-
-    if v is None:
-        return "NULL"
-    if isinstance(v, bool):
-        return "TRUE" if v else "FALSE"
-    if isinstance(v, (int, float)):
-        return repr(v)
-    if isinstance(v, Decimal):
-        return f"{v}BD"
-    if isinstance(v, dt.datetime):
-        return f"TIMESTAMP_NTZ '{v.isoformat(sep=' ')}'"
-    if isinstance(v, dt.date):
-        return f"DATE '{v.isoformat()}'"
-    if isinstance(v, str) and v.upper() in ("CURRENT_TIMESTAMP()", "CURRENT_TIMESTAMP"):
-        return "current_timestamp()"
-    s = str(v).replace("\\", "\\\\").replace("'", "\\'")
-    return f"'{s}'"

@@ -334,3 +334,38 @@ def test_inline_rows_quote_nulls_and_types(spark):
     assert got[0]["n"] is None and got[1]["n"] == 7
     assert got[0]["amount"] == Decimal("1.50") and got[0]["d"] == dt.date(2024, 1, 2)
     assert got[0]["ts"] == dt.datetime(2024, 1, 2, 3, 4, 5)
+
+
+def test_full_refresh_keeps_labels_and_removes_the_old_folder(spark):
+    from keelson.sinks import fs
+
+    wh = jobs.Warehouse.create(spark, work_dir(spark, "t-wh"))
+    name = wh.name("transactions_staging")
+    assert tables.full_refresh(txn_df(spark, FIRST_COMMIT), name) == 5
+    labels.set_labels(spark, name, {"environment": "dev"})
+    before = tables.table_location(spark, name)
+    assert tables.full_refresh(txn_df(spark, SECOND_COMMIT), name) == 3
+    assert spark.table(name).count() == 3 and labels.current_labels(spark, name) == {"environment": "dev"}
+    assert not fs.exists(spark, before)
+
+
+def test_null_key_insert_fails(spark):
+    wh = jobs.Warehouse.create(spark, work_dir(spark, "t-wh"))
+    name = wh.name("customers")
+    tables.create_table_if_not_exists(spark, name, CUSTOMER_SCHEMA)
+    rows = customers_df(spark).withColumn("customer_id", F.lit(None).cast("string"))
+    with pytest.raises(Exception, match="customer_id"):
+        tables.insert_append(rows, name, not_null=["customer_id"])
+    assert spark.table(name).count() == 0
+
+
+def test_append_of_another_type_is_refused(spark):
+    path = work_dir(spark, "t-lake")
+    lake_commit.commit_overwrite(txn_df(spark, FIRST_COMMIT), path)
+    with pytest.raises(ValueError, match="differs"):
+        lake_commit.commit_append(txn_df(spark, SECOND_COMMIT).withColumn("amount", F.col("amount").cast("string")), path)
+
+
+def test_inline_rows_take_values_as_they_are(spark):
+    (row,) = external.inline_rows(spark, [("current_timestamp", 0.5, F.lit(7))], ["it's", "f", "n"]).collect()
+    assert tuple(row) == ("current_timestamp", 0.5, 7)
