@@ -20,8 +20,9 @@ from keelson.operators.enrich import enrich_left_join, merge_source
 from keelson.operators.merge import ACTION, INSERT, KEEP, NOOP, UPDATE, action_counts, merge_plan
 from keelson.plans import jobs
 from keelson.session import work_dir
-from keelson.sinks import lake_commit, tables
-from keelson.sources import external, lake_log
+from keelson.sinks import tables
+from keelson.sinks import versions as version_sink
+from keelson.sources import external, versions
 from keelson.sources import driver_tables as D
 
 # Fixed values used to build object-store URIs from customer keys.
@@ -229,28 +230,28 @@ def external_table_refresh(spark, sf):
 # -- versioned table (S1-S5, K1, K2, U1) -----------------------------------------
 def _two_commits(spark, sf) -> str:
     path = work_dir(spark, "lake")
-    lake_commit.commit_overwrite(D.staging(spark, sf, where=_even(F.col("o_orderkey"))), path)
-    lake_commit.commit_append(D.staging(spark, sf, where=_odd(F.col("o_orderkey"))), path)
+    version_sink.commit_overwrite(D.staging(spark, sf, where=_even(F.col("o_orderkey"))), path)
+    version_sink.commit_append(D.staging(spark, sf, where=_odd(F.col("o_orderkey"))), path)
     return path
 
 
 def commit_append(spark, sf):
-    return lake_log.snapshot(spark, _two_commits(spark, sf))
+    return versions.snapshot(spark, _two_commits(spark, sf))
 
 
 def snapshot_latest(spark, sf):
     path = work_dir(spark, "lake")
-    lake_commit.commit_overwrite(D.staging(spark, sf, where=_odd(F.col("o_orderkey"))), path)
-    lake_commit.commit_overwrite(D.staging(spark, sf, where=_even(F.col("o_orderkey"))), path)
-    lake_commit.commit_append(D.staging(spark, sf, where=_odd(F.col("o_orderkey"))), path)
-    return lake_log.snapshot(spark, path)
+    version_sink.commit_overwrite(D.staging(spark, sf, where=_odd(F.col("o_orderkey"))), path)
+    version_sink.commit_overwrite(D.staging(spark, sf, where=_even(F.col("o_orderkey"))), path)
+    version_sink.commit_append(D.staging(spark, sf, where=_odd(F.col("o_orderkey"))), path)
+    return versions.snapshot(spark, path)
 
 
 def commit_overwrite(spark, sf):
     path = work_dir(spark, "lake")
-    lake_commit.commit_overwrite(D.staging(spark, sf, where=_even(F.col("o_orderkey"))), path)
-    lake_commit.commit_overwrite(D.staging(spark, sf, where=_odd(F.col("o_orderkey"))), path)
-    return lake_log.snapshot(spark, path)
+    version_sink.commit_overwrite(D.staging(spark, sf, where=_even(F.col("o_orderkey"))), path)
+    version_sink.commit_overwrite(D.staging(spark, sf, where=_odd(F.col("o_orderkey"))), path)
+    return versions.snapshot(spark, path)
 
 
 def external_lake_scan(spark, sf):
@@ -259,10 +260,7 @@ def external_lake_scan(spark, sf):
 
 def union_versions(spark, sf):
     path = _two_commits(spark, sf)
-    adds = lake_log.file_actions(lake_log.log_actions(spark, path)).where("is_add")
-    v0 = [f"{path}/{r['path']}" for r in adds.where("version = 0").select("path").collect()]
-    v1 = [f"{path}/{r['path']}" for r in adds.where("version = 1").select("path").collect()]
-    return summary.union_versions(spark.read.parquet(*v0), spark.read.parquet(*v1))
+    return summary.union_versions(versions.versions(spark, path, 0, 0), versions.versions(spark, path, 1, 1))
 
 
 # -- scalar helpers over driver tables (P8-P11) ---------------------------------

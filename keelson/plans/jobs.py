@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +15,10 @@ from keelson.operators.enrich import merge_source
 from keelson.operators.merge import MergeSpec
 from keelson.operators.summary import status_summary
 from keelson.sinks import labels as label_sink
-from keelson.sinks import lake_commit, tables
+from keelson.sinks import tables
+from keelson.sinks import versions as version_sink
 from keelson.sinks.merge_into import merge_into
-from keelson.sources import external, lake_log
+from keelson.sources import external, versions
 from keelson.sources.driver_tables import CUSTOMER_COLUMNS
 
 FINAL_MERGE = MergeSpec(
@@ -37,11 +38,11 @@ def write_lake_table(first: DataFrame, second: DataFrame, table_path: str, snaps
     """Overwrite commit, append commit, read back the latest version, export
     a Parquet snapshot of it into a folder named after that version (so a
     view over the snapshot always knows which version it shows)."""
-    v0 = lake_commit.commit_overwrite(first, table_path)
-    v1 = lake_commit.commit_append(second, table_path)
-    snap, files, version = lake_log.snapshot_state(first.sparkSession, table_path)
+    v0 = version_sink.commit_overwrite(first, table_path)
+    v1 = version_sink.commit_append(second, table_path)
+    snap, version = versions.snapshot_state(first.sparkSession, table_path)
     tables.export_snapshot(snap, snapshot_folder_for(snapshot_root, version))
-    return {"versions": (v0, v1), "version": version, "files": len(files)}
+    return {"versions": (v0, v1), "version": version}
 
 
 # -- B2 ----------------------------------------------------------------------
@@ -58,13 +59,13 @@ def publish_lake_view(spark: SparkSession, name: str, table_path: str, adls_uri:
 
 # -- B3 ----------------------------------------------------------------------
 def refresh_parquet_view(spark: SparkSession, name: str, table_path: str, snapshot_root: str) -> dict:
-    """Find the latest committed version by listing the log (raises when
+    """Find the latest committed version (raises when
     there is none), then (re)create the view over that version's Parquet
     snapshot. A snapshot that has not been exported yet raises instead of
     silently showing an older version."""
     from keelson.sinks import fs
 
-    version = lake_log.latest_version_by_listing(spark, table_path)
+    version = versions.latest_version(spark, table_path)
     folder = snapshot_folder_for(snapshot_root, version)
     if not fs.exists(spark, folder):
         raise FileNotFoundError(f"no snapshot exported for version {version} under {snapshot_root}")
@@ -83,7 +84,6 @@ class Warehouse:
     staging: str = "transactions_staging"
     customers: str = "customers"
     final: str = "final_table"
-    extra: dict = field(default_factory=dict)
 
     def name(self, table: str) -> str:
         return f"{self.database}.{table}"
@@ -114,7 +114,7 @@ def stage_and_merge(
     as_of: dt.datetime | None = None,
 ) -> dict:
     """S1 -> K4 -> K5 -> K6 -> J1 -> M1 -> K9."""
-    snap, _, version = lake_log.snapshot_state(spark, lake_path)
+    snap, version = versions.snapshot_state(spark, lake_path)
     staged = tables.full_refresh(snap, wh.name(wh.staging))
     setup_tables(spark, wh, customer_schema, final_schema, seed_customers)
     metrics = merge_into_final(spark, wh, as_of)

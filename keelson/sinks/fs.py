@@ -19,57 +19,9 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def create_exclusive(spark: SparkSession, path: str, text: str) -> None:
-    """Create ``path`` with ``text``; fail if it already exists."""
-    fs, p = _fs_and_path(spark, path)
-    if fs.exists(p):
-        raise FileExistsError(path)
-    out = fs.create(p, False)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-
-
-def list_files(spark: SparkSession, folder: str, suffix: str = "") -> list[tuple[str, int, int]]:
-    """(full path, size, modification time) of the files directly in ``folder``."""
-    fs, p = _fs_and_path(spark, folder)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        if st.isFile():
-            name = st.getPath().getName()
-            if name.endswith(suffix):
-                out.append((st.getPath().toString(), int(st.getLen()), int(st.getModificationTime())))
-    return sorted(out)
 
 
-def qualify(spark: SparkSession, path: str) -> str:
-    """Fully qualified URI for ``path`` (adds the default scheme)."""
-    fs, p = _fs_and_path(spark, path)
-    return fs.makeQualified(p).toString()
-
 
 def delete(spark: SparkSession, path: str, recursive: bool = True) -> bool:
     fs, p = _fs_and_path(spark, path)
     return bool(fs.delete(p, recursive))
-
-
-def read_text(spark: SparkSession, path: str) -> str | None:
-    """Contents of a small text file, or None when it does not exist."""
-    fs, p = _fs_and_path(spark, path)
-    if not fs.exists(p):
-        return None
-    jvm = spark.sparkContext._jvm
-    stream = fs.open(p)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        lines = []
-        line = reader.readLine()
-        while line is not None:
-            lines.append(line)
-            line = reader.readLine()
-        return "\n".join(lines)
-    finally:
-        stream.close()

@@ -9,13 +9,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keelson.sinks import tables
-from keelson.sources import lake_log
+from keelson.sources import versions
 
 
 def lake_view(spark: SparkSession, name: str, table_path: str) -> DataFrame:
-    """Create-or-replace a view over the latest version of a commit-log table."""
-    df = lake_log.snapshot(spark, table_path)
-    df.createOrReplaceTempView(name)
+    """Create-or-replace a view over a versioned table (S5). It is SQL over the
+    table's folders, so each query sees the version that is latest then; its
+    columns are those at creation."""
+    first, _ = versions.live_range(spark, table_path)
+    columns = ", ".join(f"`{c}`" for c in versions.schema_of(spark, table_path, first).names)
+    rows, commits = versions.rows_path(table_path), versions.commits_path(table_path)
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY VIEW {name} AS SELECT {columns} FROM parquet.`{rows}` "
+        f"WHERE {versions.VERSION} BETWEEN (SELECT max({versions.VERSION}) FROM parquet.`{commits}` WHERE kind = 'overwrite') "
+        f"AND (SELECT max({versions.VERSION}) FROM parquet.`{commits}`)"
+    )
     return spark.table(name)
 
 

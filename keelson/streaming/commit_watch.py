@@ -1,14 +1,13 @@
-"""Run a job whenever new commits land in a versioned table's log.
-
-The reference refreshes its external table on a schedule by listing the
-log for the latest version. Here the log itself is a streaming source:
-each micro-batch holds the actions of the commit files that appeared since
-the last batch, and ``foreachBatch`` hands the batch's highest version to
-a callback (for example :func:`keelson.plans.jobs.refresh_parquet_view` or
-the stage-and-merge job). Progress (which log files were seen) lives in the
-query's checkpoint under the shared checkpoint folder, so a restarted or
-rescheduled watcher resumes where it stopped; ``availableNow`` gives the
-"run on a schedule, process what is new, stop" behaviour.
+"""Run a job whenever new commits land in a versioned table.
+
+The reference refreshes its external table on a schedule by looking for the
+latest version. Here the table's commit records are a streaming source: each
+micro-batch holds the records that appeared since the last batch, and
+``foreachBatch`` hands the batch's highest version to a callback (for example
+:func:`keelson.plans.jobs.refresh_parquet_view` or the stage-and-merge job).
+Progress lives in the query's checkpoint under the shared checkpoint folder, so a
+restarted or rescheduled watcher resumes where it stopped; ``availableNow`` gives
+the "run on a schedule, process what is new, stop" behaviour.
 """
 
 from __future__ import annotations
@@ -18,20 +17,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.functions.expressions import COMMIT_NAME_PATTERN, version_from_name
 from keelson.session import work_dir
-from keelson.sources.lake_log import ACTION_SCHEMA, log_path
+from keelson.sources.versions import COMMIT_SCHEMA, VERSION, commits_path
 
 
 def commit_stream(spark: SparkSession, table_path: str) -> DataFrame:
-    """Streaming DataFrame of log actions with their commit ``version``."""
-    return (
-        spark.readStream.schema(ACTION_SCHEMA)
-        .option("pathGlobFilter", "*.json")
-        .json(log_path(table_path))
-        .withColumn("version", version_from_name(F.col("_metadata.file_name")))
-        .where(F.col("_metadata.file_name").rlike(COMMIT_NAME_PATTERN))
-    )
+    """Streaming DataFrame of commit records with their ``commit_version``."""
+    return spark.readStream.schema(COMMIT_SCHEMA).parquet(commits_path(table_path))
 
 
 def watch_commits(
@@ -51,7 +43,7 @@ def watch_commits(
     location = checkpoint_location or work_dir(spark, "commit-watch")
 
     def handle(batch: DataFrame, _epoch: int) -> None:
-        row = batch.agg(F.max("version").alias("v")).first()
+        row = batch.agg(F.max(VERSION).alias("v")).first()
         if row is not None and row["v"] is not None:
             on_new_version(int(row["v"]))
 

@@ -1,4 +1,3 @@
-import json
 import os
 import uuid
 
@@ -8,8 +7,10 @@ from pyspark.sql import functions as F
 from fixture_a import CUSTOMERS, CUSTOMER_SCHEMA, FIRST_COMMIT, SECOND_COMMIT, customers_df, txn_df
 from keelson.plans import jobs
 from keelson.session import checkpoint_dir, work_dir
-from keelson.sinks import labels, lake_commit, tables
-from keelson.sources import catalog, external, lake_log
+from keelson.sinks import labels, tables
+from keelson.sinks import versions as lake_commit
+from keelson.sources import catalog, external
+from keelson.sources import versions as lake_log
 
 
 def _local(p):
@@ -24,8 +25,6 @@ def test_overwrite_then_append_gives_eight_rows_seven_keys(spark):
     assert snap.count() == 8
     assert snap.select("transaction_id").distinct().count() == 7
     assert lake_log.latest_version(spark, path) == 1
-    assert lake_log.latest_version_by_listing(spark, path) == 1
-    assert lake_log.snapshot_file_count(spark, path) >= 2
     assert sorted(snap.columns) == sorted(txn_df(spark, FIRST_COMMIT).columns)
 
 
@@ -39,34 +38,6 @@ def test_later_overwrite_replaces_rows(spark):
     assert lake_log.latest_version(spark, path) == 2
 
 
-def test_commit_file_is_exclusive_and_log_lines_are_json(spark):
-    path = work_dir(spark, "t-lake")
-    lake_commit.commit_overwrite(txn_df(spark, FIRST_COMMIT), path)
-    log0 = os.path.join(_local(path), "_delta_log", f"{0:020d}.json")
-    with open(log0) as fh:
-        actions = [json.loads(line) for line in fh if line.strip()]
-    kinds = {next(iter(a)) for a in actions}
-    assert {"commitInfo", "protocol", "metaData", "add"} <= kinds
-    from keelson.sinks import fs
-
-    with pytest.raises(FileExistsError):
-        fs.create_exclusive(spark, f"{path}/_delta_log/{0:020d}.json", "{}")
-
-
-def test_listing_ignores_non_commit_names_and_empty_log_raises(spark):
-    path = work_dir(spark, "t-lake")
-    logdir = os.path.join(_local(path), "_delta_log")
-    os.makedirs(logdir)
-    for name in ("00000000000000000003.crc", "_last_checkpoint", "0000000000000000000x.json", "12.json"):
-        with open(os.path.join(logdir, name), "w") as fh:
-            fh.write("{}\n")
-    with pytest.raises(lake_log.NoCommitsError):
-        lake_log.latest_version_by_listing(spark, path)
-    missing = work_dir(spark, "t-missing")
-    with pytest.raises(lake_log.NoCommitsError):
-        lake_log.latest_version_by_listing(spark, missing)
-
-
 def test_append_with_other_schema_fails(spark):
     path = work_dir(spark, "t-lake")
     lake_commit.commit_overwrite(txn_df(spark, FIRST_COMMIT), path)
@@ -80,6 +51,10 @@ def test_views_over_lake_and_parquet(spark):
     lake_commit.commit_append(txn_df(spark, SECOND_COMMIT), path)
     external.lake_view(spark, "t_lake_view", path)
     assert spark.sql("SELECT count(*) AS n FROM t_lake_view").first()["n"] == 8
+    lake_commit.commit_append(txn_df(spark, SECOND_COMMIT[:2]), path)  # the view shows what is latest when it is queried
+    assert spark.sql("SELECT count(*) AS n FROM t_lake_view").first()["n"] == 10
+    lake_commit.commit_overwrite(txn_df(spark, FIRST_COMMIT + SECOND_COMMIT), path)
+    assert spark.sql("SELECT count(*) AS n FROM t_lake_view").first()["n"] == 8
     folder = work_dir(spark, "t-snap")
     tables.export_snapshot(lake_log.snapshot(spark, path), folder)
     external.parquet_view(spark, "t_parquet_view", folder)
@@ -193,43 +168,6 @@ def test_publish_lake_view_rewrites_uri(spark):
         jobs.publish_lake_view(spark, "t_lake_view2", f"{root}/lake", "https://not-adls/x", "myacct")
 
 
-def test_replay_starts_at_last_checkpoint(spark):
-    import pyarrow as pa
-    import pyarrow.parquet as pq
-
-    path = work_dir(spark, "t-lake")
-    lake_commit.commit_overwrite(txn_df(spark, FIRST_COMMIT), path)  # v0: 5 rows
-    lake_commit.commit_append(txn_df(spark, SECOND_COMMIT), path)  # v1: +3 rows
-    lake_commit.commit_append(txn_df(spark, SECOND_COMMIT[1:]), path)  # v2: +2 rows
-    logdir = os.path.join(_local(path), "_delta_log")
-    v0 = [json.loads(line) for line in open(os.path.join(logdir, f"{0:020d}.json")) if line.strip()]
-    # a checkpoint at v1 that (deliberately) holds only the v0 state: the JSON
-    # of v0 and v1 must then be ignored and only v2 replayed on top of it
-    rows = []
-    for a in v0:
-        if "add" in a:
-            rows.append({"add": {"path": a["add"]["path"], "size": a["add"]["size"], "modificationTime": 0, "dataChange": True}, "metaData": None, "protocol": None})
-        elif "metaData" in a:
-            m = a["metaData"]
-            rows.append({"add": None, "metaData": {"id": m["id"], "schemaString": m["schemaString"], "partitionColumns": []}, "protocol": None})
-        elif "protocol" in a:
-            rows.append({"add": None, "metaData": None, "protocol": a["protocol"]})
-    schema = pa.schema(
-        [
-            ("add", pa.struct([("path", pa.string()), ("size", pa.int64()), ("modificationTime", pa.int64()), ("dataChange", pa.bool_())])),
-            ("metaData", pa.struct([("id", pa.string()), ("schemaString", pa.string()), ("partitionColumns", pa.list_(pa.string()))])),
-            ("protocol", pa.struct([("minReaderVersion", pa.int32()), ("minWriterVersion", pa.int32())])),
-        ]
-    )
-    pq.write_table(pa.Table.from_pylist(rows, schema=schema), os.path.join(logdir, f"{1:020d}.checkpoint.parquet"))
-    with open(os.path.join(logdir, "_last_checkpoint"), "w") as fh:
-        fh.write(json.dumps({"version": 1, "size": len(rows)}) + "\n")
-    assert lake_log.snapshot(spark, path).count() == 7
-    assert lake_log.latest_version(spark, path) == 2
-    assert lake_commit.commit_append(txn_df(spark, SECOND_COMMIT[:1]), path) == 3
-    assert lake_log.snapshot(spark, path).count() == 8
-
-
 def test_merge_job_without_as_of_keeps_table_types(spark):
     from fixture_a import FINAL_SCHEMA
 
@@ -290,14 +228,6 @@ def test_a_failing_merge_leaves_no_scratch(spark):
     assert scratch_folders(spark) == before
 
 
-def test_zero_byte_commit_file_counts_for_listing(spark):
-    path = work_dir(spark, "t-lake")
-    lake_commit.commit_overwrite(txn_df(spark, FIRST_COMMIT), path)
-    open(os.path.join(_local(path), "_delta_log", f"{4:020d}.json"), "w").close()
-    assert lake_log.latest_version_by_listing(spark, path) == 4
-    assert lake_commit._next_version(spark, path) == 5
-
-
 def test_external_parquet_table_replaces_a_managed_table(spark):
     wh = jobs.Warehouse.create(spark, work_dir(spark, "t-wh"))
     name = wh.name("transactions_ext")
@@ -369,3 +299,16 @@ def test_append_of_another_type_is_refused(spark):
 def test_inline_rows_take_values_as_they_are(spark):
     (row,) = external.inline_rows(spark, [("current_timestamp", 0.5, F.lit(7))], ["it's", "f", "n"]).collect()
     assert tuple(row) == ("current_timestamp", 0.5, 7)
+
+
+def test_missing_table_and_rows_of_a_failed_commit(spark):
+    path = work_dir(spark, "t-lake")
+    with pytest.raises(lake_log.NoCommitsError):
+        lake_log.latest_version(spark, path)
+    with pytest.raises(lake_log.NoCommitsError):
+        lake_commit.commit_append(txn_df(spark, FIRST_COMMIT), path)
+    lake_commit.commit_overwrite(txn_df(spark, FIRST_COMMIT), path)
+    txn_df(spark, SECOND_COMMIT).write.parquet(f"{path}/rows/commit_version=1")  # no record follows
+    assert lake_log.snapshot(spark, path).count() == 5
+    assert lake_commit.commit_append(txn_df(spark, SECOND_COMMIT[:1]), path) == 1
+    assert lake_log.snapshot(spark, path).count() == 6

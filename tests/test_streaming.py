@@ -1,6 +1,6 @@
 from fixture_a import FIRST_COMMIT, SECOND_COMMIT, txn_df
 from keelson.session import work_dir
-from keelson.sinks import lake_commit
+from keelson.sinks import versions as lake_commit
 from keelson.streaming.commit_watch import watch_commits
 
 
