@@ -124,14 +124,15 @@ def _single_matches(target: DataFrame, src: DataFrame, spec: MergeSpec, cols: li
     return _applied(rows, spec, cols, F.when(F.col("_k").isNull(), KEEP).when(change, UPDATE).otherwise(NOOP))
 
 
-def _exact_matches(target: DataFrame, src: DataFrame, spec: MergeSpec, cols: list[str]) -> DataFrame:
-    """Target rows whose key has several source rows (numbered ``_sid``)."""
+def _with_differences(target: DataFrame, src: DataFrame, spec: MergeSpec) -> DataFrame:
+    """Target rows whose key the source (rows numbered ``_sid``) has, and for compare
+    column i the number ``_d{i}`` of source rows that differ there, with the row ``_o{i}`` if it is one."""
     k, cmp = spec.key, list(enumerate(spec.compare))
     totals = src.groupBy(F.col(k).alias("_k")).agg(
         *[F.count(c).alias(f"_n{i}") for i, c in cmp],
         *[F.bit_xor(F.when(F.col(c).isNotNull(), F.col("_sid"))).alias(f"_x{i}") for i, c in cmp],
     )
-    rows = target.join(totals, F.col(k) == F.col("_k"), "left").drop("_k")
+    rows = target.join(totals, F.col(k) == F.col("_k")).drop("_k")
     for i, c in cmp:
         same = src.where(F.col(c).isNotNull()).groupBy(F.col(k).alias("_k"), F.col(c).alias("_v"))
         same = same.agg(F.count(F.lit(1)).alias("_c"), F.bit_xor("_sid").alias("_e"))
@@ -140,6 +141,13 @@ def _exact_matches(target: DataFrame, src: DataFrame, spec: MergeSpec, cols: lis
         one = F.col(f"_x{i}").bitwiseXOR(F.coalesce("_e", F.lit(0).cast("long")))
         rows = rows.withColumn(f"_d{i}", differ).withColumn(f"_o{i}", F.when(F.col(f"_d{i}") == 1, one))
         rows = rows.drop("_k", "_v", "_c", "_e", f"_n{i}", f"_x{i}")
+    return rows
+
+
+def _exact_matches(target: DataFrame, src: DataFrame, spec: MergeSpec, cols: list[str]) -> DataFrame:
+    """Target rows whose key has several source rows (numbered ``_sid``)."""
+    cmp = list(enumerate(spec.compare))
+    rows = _with_differences(target, src, spec)
     found = F.array_distinct(F.array_compact(F.array(*[F.col(f"_o{i}") for i, _ in cmp])))
     most = F.greatest(*[F.col(f"_d{i}") for i, _ in cmp], F.lit(0))
     rows = rows.where(assert_that((most <= 1) & (F.size(found) <= 1), MULTI_MATCH_ERROR))
@@ -149,6 +157,23 @@ def _exact_matches(target: DataFrame, src: DataFrame, spec: MergeSpec, cols: lis
     return _applied(rows, spec, cols, F.when(F.col("_one").isNull(), NOOP).otherwise(UPDATE))
 
 
+def change_flags(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
+    """(key, changed): a row per target row whose key the source has; ``changed`` if
+    some source row of the key qualifies for the update (F2).
+
+    Counts the source's keys eagerly. Repeated keys go through the merge's counts, so
+    no pair of rows is made; rows with a NULL key match nothing."""
+    k = spec.key
+    src = source.select(k, *spec.compare)
+    most = src.where(F.col(k).isNotNull()).groupBy(k).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    if (most or 0) <= 1:
+        s = src.select(F.col(k).alias("_k"), F.struct(*spec.compare).alias("_s"))
+        rows = target.join(s, target[k] == s["_k"])
+        return rows.select(k, changed([F.col(c) for c in spec.compare], [F.col(f"_s.{c}") for c in spec.compare]).alias("changed"))
+    rows = _with_differences(target.select(k, *spec.compare), src.withColumn("_sid", F.lit(0).cast("long")), spec)
+    return rows.select(k, F.greatest(*[F.col(f"_d{i}") for i in range(len(spec.compare))], F.lit(0)).alias("_d")).select(k, (F.col("_d") > 0).alias("changed"))
+
+
 def action_counts(merged: DataFrame) -> DataFrame:
     """Rows per merge action (M6)."""
     return merged.groupBy(ACTION).agg(F.count(F.lit(1)).alias("rows"))

@@ -14,10 +14,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keelson import schemas
 from keelson.functions import expressions as X
 from keelson.operators import checks, summary
 from keelson.operators.enrich import enrich_left_join, merge_source
-from keelson.operators.merge import ACTION, INSERT, KEEP, NOOP, UPDATE, action_counts, merge_plan
+from keelson.operators.merge import ACTION, INSERT, KEEP, NOOP, UPDATE, action_counts, change_flags, merge_plan
 from keelson.plans import jobs
 from keelson.session import work_dir
 from keelson.sinks import tables
@@ -63,8 +64,8 @@ def _order_no(col: str = "transaction_id"):
     return F.substring(F.col(col), 5, 20).cast("bigint")
 
 
-def merge_duplicate_keys(spark, sf):
-    """The merge with duplicate keys on both sides: target rows of every
+def _repeated(spark, sf):
+    """Target and source with duplicate keys: target rows of every
     third order appear twice; orders divisible by 8 get a second source
     row whose compare columns are NULL (it never qualifies, but it makes
     the key's source rows differ, so the exact pair-free path runs). Orders
@@ -86,7 +87,12 @@ def merge_duplicate_keys(spark, sf):
     shift = src.where(_order_no() % 8 == 4).withColumn("amount", F.lit(None).cast("decimal(38,9)")).withColumn("status", F.lit(None).cast("string"))
     no_name = shift.withColumn("customer_name", F.lit(None).cast("string"))
     no_country = shift.withColumn("country", F.lit(None).cast("string"))
-    return merge_plan(tgt2, src.unionByName(dup).unionByName(no_name).unionByName(no_country), jobs.FINAL_MERGE).select(*D.FINAL_COLUMNS, ACTION)
+    return tgt2, src.unionByName(dup).unionByName(no_name).unionByName(no_country)
+
+
+def merge_duplicate_keys(spark, sf):
+    """The merge with duplicate keys on both sides."""
+    return merge_plan(*_repeated(spark, sf), jobs.FINAL_MERGE).select(*D.FINAL_COLUMNS, ACTION)
 
 
 def merge_action_counts(spark, sf):
@@ -98,8 +104,8 @@ def merge_affected_rows(spark, sf):
     wh = jobs.Warehouse.create(spark, work_dir(spark, "affected"))
     tables.full_refresh(D.merge_staging(spark, sf), wh.name(wh.staging))
     tables.full_refresh(D.known_customers(spark, sf), wh.name(wh.customers))
-    tables.create_table_if_not_exists(spark, wh.name(wh.final), D.existing_target(spark, sf).schema, path=f"{wh.root}/final-v0")
-    tables.insert_append(D.existing_target(spark, sf), wh.name(wh.final))
+    tables.create_table_if_not_exists(spark, wh.name(wh.final), schemas.FINAL_TABLE, path=f"{wh.root}/final-v0")
+    tables.insert_append(D.existing_target(spark, sf), wh.name(wh.final), schemas.required(schemas.FINAL_TABLE))
     m = jobs.merge_into_final(spark, wh, D.MERGE_AS_OF)
     return spark.createDataFrame([(int(m["affected_rows"]),)], "affected_rows bigint")
 
@@ -120,13 +126,12 @@ def enrich_left_join_q(spark, sf):
 
 
 def change_detect(spark, sf):
-    t = D.existing_target(spark, sf).alias("t")
-    s = _src(spark, sf).alias("s")
-    cmp = jobs.FINAL_MERGE.compare
-    return t.join(s, F.col("t.transaction_id") == F.col("s.transaction_id")).select(
-        F.col("t.transaction_id").alias("transaction_id"),
-        X.changed([F.col(f"t.{c}") for c in cmp], [F.col(f"s.{c}") for c in cmp]).alias("changed"),
-    )
+    return change_flags(D.existing_target(spark, sf), _src(spark, sf), jobs.FINAL_MERGE)
+
+
+def change_detect_repeated(spark, sf):
+    """The change test with repeated keys on both sides: a row per target row."""
+    return change_flags(*_repeated(spark, sf), jobs.FINAL_MERGE)
 
 
 def cast_numeric(spark, sf):
@@ -180,9 +185,9 @@ def seed_if_empty(spark, sf):
     wh = jobs.Warehouse.create(spark, work_dir(spark, "seed"))
     name = wh.name(wh.customers)
     cust = D.customers(spark, sf)
-    tables.create_table_if_not_exists(spark, name, cust.schema)
+    tables.create_table_if_not_exists(spark, name, schemas.CUSTOMERS)
     for _ in range(2):
-        tables.seed_if_empty(spark, tables.enforce_not_null(cust, ["customer_id"]), name, D.CUSTOMER_COLUMNS)
+        tables.seed_if_empty(spark, cust, name, schemas.CUSTOMERS.names, schemas.required(schemas.CUSTOMERS))
     return spark.table(name)
 
 
@@ -190,9 +195,9 @@ def insert_append(spark, sf):
     wh = jobs.Warehouse.create(spark, work_dir(spark, "append"))
     name = wh.name(wh.customers)
     cust = D.customers(spark, sf)
-    tables.create_table_if_not_exists(spark, name, cust.schema)
+    tables.create_table_if_not_exists(spark, name, schemas.CUSTOMERS)
     for _ in range(2):
-        tables.insert_append(cust, name, not_null=["customer_id"])
+        tables.insert_append(cust, name, schemas.required(schemas.CUSTOMERS))
     return spark.table(name)
 
 
@@ -309,11 +314,9 @@ def run_jobs(spark, sf):
         f"{root}/snapshot",
     )
     wh = jobs.Warehouse.create(spark, root)
-    tgt = D.existing_target(spark, sf)
-    tables.create_table_if_not_exists(spark, wh.name(wh.final), tgt.schema, path=f"{root}/final-v0")
-    tables.insert_append(tgt, wh.name(wh.final))
-    cust = D.known_customers(spark, sf)
-    jobs.stage_and_merge(spark, lake, wh, cust, cust.schema, tgt.schema, "dev", D.MERGE_AS_OF)
+    tables.create_table_if_not_exists(spark, wh.name(wh.final), schemas.FINAL_TABLE, path=f"{root}/final-v0")
+    tables.insert_append(D.existing_target(spark, sf), wh.name(wh.final), schemas.required(schemas.FINAL_TABLE))
+    jobs.stage_and_merge(spark, lake, wh, D.known_customers(spark, sf), "dev", D.MERGE_AS_OF)
     return wh
 
 
@@ -342,6 +345,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "enriched_star": enriched_star,
     "enrich_left_join": enrich_left_join_q,
     "change_detect": change_detect,
+    "change_detect_repeated": change_detect_repeated,
     "cast_numeric": cast_numeric,
     "to_date": to_date_q,
     "not_null_check": not_null_check,

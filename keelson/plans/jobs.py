@@ -10,6 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keelson import schemas
 from keelson.functions.expressions import azure_blob_uri
 from keelson.operators.enrich import merge_source
 from keelson.operators.merge import MergeSpec
@@ -19,7 +20,6 @@ from keelson.sinks import tables
 from keelson.sinks import versions as version_sink
 from keelson.sinks.merge_into import merge_into
 from keelson.sources import external, versions
-from keelson.sources.driver_tables import CUSTOMER_COLUMNS
 
 FINAL_MERGE = MergeSpec(
     key="transaction_id",
@@ -95,12 +95,14 @@ class Warehouse:
         return cls(database=db, root=root.rstrip("/"))
 
 
-def setup_tables(spark: SparkSession, wh: Warehouse, customer_schema, final_schema, seed: DataFrame) -> None:
-    """Create the master and the target if missing; seed the master if empty."""
-    tables.create_table_if_not_exists(spark, wh.name(wh.customers), customer_schema)
-    tables.seed_if_empty(spark, tables.enforce_not_null(seed, ["customer_id"]), wh.name(wh.customers), CUSTOMER_COLUMNS)
+def setup_tables(spark: SparkSession, wh: Warehouse, seed: DataFrame, env: str = "dev") -> None:
+    """Create the master and the target as declared and labelled if missing;
+    seed the master if empty."""
+    labels = label_sink.label_properties(label_sink.standard_labels(env))
+    tables.create_table_if_not_exists(spark, wh.name(wh.customers), schemas.CUSTOMERS, properties=labels)
+    tables.seed_if_empty(spark, seed, wh.name(wh.customers), schemas.CUSTOMERS.names, schemas.required(schemas.CUSTOMERS))
     final_loc = f"{wh.root}/{wh.final}/v-{uuid.uuid4().hex[:12]}"
-    tables.create_table_if_not_exists(spark, wh.name(wh.final), final_schema, path=final_loc)
+    tables.create_table_if_not_exists(spark, wh.name(wh.final), schemas.FINAL_TABLE, path=final_loc, properties=labels)
 
 
 def stage_and_merge(
@@ -108,15 +110,13 @@ def stage_and_merge(
     lake_path: str,
     wh: Warehouse,
     seed_customers: DataFrame,
-    customer_schema,
-    final_schema,
     env: str = "dev",
     as_of: dt.datetime | None = None,
 ) -> dict:
     """S1 -> K4 -> K5 -> K6 -> J1 -> M1 -> K9."""
     snap, version = versions.snapshot_state(spark, lake_path)
     staged = tables.full_refresh(snap, wh.name(wh.staging))
-    setup_tables(spark, wh, customer_schema, final_schema, seed_customers)
+    setup_tables(spark, wh, seed_customers, env)
     metrics = merge_into_final(spark, wh, as_of)
     done = label_sink.apply_labels(
         spark, [wh.name(t) for t in (wh.customers, wh.final, wh.staging)], label_sink.standard_labels(env)

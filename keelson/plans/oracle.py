@@ -94,7 +94,7 @@ FINAL_COLS = "transaction_id, customer_id, customer_name, country, amount, trans
 
 # Duplicate keys on both sides, evaluated pairwise: per target row, count the
 # source rows of its key for which the change test holds.
-DUP_MERGE = CTE.rstrip() + """, tgt2 AS (
+DUP_CTE = CTE.rstrip() + """, tgt2 AS (
   SELECT * FROM tgt
   UNION ALL SELECT * FROM tgt WHERE CAST(substr(transaction_id, 5) AS BIGINT) % 3 = 0
 ), src2 AS (
@@ -123,6 +123,9 @@ DUP_MERGE = CTE.rstrip() + """, tgt2 AS (
          any_value(s_ts) FILTER (WHERE chg) AS s_ts
   FROM pairs GROUP BY rid
 )
+"""
+
+DUP_MERGE = DUP_CTE + """
 SELECT t.transaction_id, t.customer_id,
        CASE WHEN p.q = 1 THEN p.s_name ELSE t.customer_name END AS customer_name,
        CASE WHEN p.q = 1 THEN p.s_country ELSE t.country END AS country,
@@ -164,6 +167,7 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT t.transaction_id, coalesce(t.status <> s.status OR t.customer_name <> s.customer_name "
         "OR t.amount <> s.amount, false) AS changed FROM tgt t JOIN src s ON t.transaction_id = s.transaction_id"
     ),
+    "change_detect_repeated": DUP_CTE + "SELECT t.transaction_id, p.q > 0 AS changed FROM t JOIN per_t p ON t.rid = p.rid",
     "cast_numeric": _q("SELECT transaction_id, CAST(amount AS DECIMAL(38,9)) AS amount FROM stg"),
     "to_date": _q("SELECT transaction_id, CAST(transaction_date AS DATE) AS transaction_date FROM stg"),
     "not_null_check": _q("SELECT transaction_id FROM stg WHERE transaction_id IS NOT NULL"),

@@ -32,10 +32,15 @@ def standard_labels(env: str) -> dict[str, str]:
     }
 
 
-def _quote(v: str) -> str:
+def quote(v: str) -> str:
     return v.replace("\\", "\\\\").replace("'", "\\'")
 
 
+def label_properties(labels: dict[str, str]) -> dict[str, str]:
+    """Labels as table properties, for tables that get them at creation."""
+    return {f"{LABEL_PREFIX}{k}": v for k, v in labels.items()}
+
+
 def current_labels(spark: SparkSession, table: str) -> dict[str, str]:
     rows = spark.sql(f"SHOW TBLPROPERTIES {table}").collect()
     return {r["key"][len(LABEL_PREFIX):]: r["value"] for r in rows if r["key"].startswith(LABEL_PREFIX)}
@@ -45,10 +50,10 @@ def set_labels(spark: SparkSession, table: str, labels: dict[str, str]) -> None:
     """Replace the label set of one table."""
     stale = [k for k in current_labels(spark, table) if k not in labels]
     if stale:
-        keys = ", ".join(f"'{LABEL_PREFIX}{_quote(k)}'" for k in stale)
+        keys = ", ".join(f"'{LABEL_PREFIX}{quote(k)}'" for k in stale)
         spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ({keys})")
     if labels:
-        props = ", ".join(f"'{LABEL_PREFIX}{_quote(k)}' = '{_quote(v)}'" for k, v in labels.items())
+        props = ", ".join(f"'{LABEL_PREFIX}{quote(k)}' = '{quote(v)}'" for k, v in labels.items())
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({props})")
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from keelson.functions.expressions import assert_not_null
 from keelson.sinks import fs
+from keelson.sinks.labels import quote
 
 log = logging.getLogger(__name__)
 
@@ -42,7 +43,7 @@ def create_table_if_not_exists(
     loc = f" LOCATION '{path}'" if path else ""
     props = ""
     if properties:
-        props = " TBLPROPERTIES (" + ", ".join(f"'{k}' = '{v}'" for k, v in properties.items()) + ")"
+        props = " TBLPROPERTIES (" + ", ".join(f"'{quote(k)}' = '{quote(v)}'" for k, v in properties.items()) + ")"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({_ddl_columns(schema)}) USING parquet{loc}{props}")
 
 
@@ -82,16 +83,13 @@ def insert_append(df: DataFrame, name: str, not_null: Sequence[str] = ()) -> Non
     enforce_not_null(df, list(not_null)).write.insertInto(name, overwrite=False)
 
 
-def seed_if_empty(spark: SparkSession, seed: DataFrame, name: str, columns: list[str]) -> bool:
+def seed_if_empty(spark: SparkSession, seed: DataFrame, name: str, columns: list[str], not_null: Sequence[str] = ()) -> None:
     """``INSERT INTO t (cols) SELECT ... WHERE NOT EXISTS (SELECT 1 FROM t LIMIT 1)`` (K6).
 
-    The existence test is a one-row probe of the table (``isEmpty`` stops at
-    the first row found); only when it finds nothing are the seed rows
-    inserted. Returns whether rows were inserted."""
-    if not spark.table(name).isEmpty():
-        return False
-    seed.select(*columns).write.insertInto(name, overwrite=False)
-    return True
+    One statement: the existence test is an uncorrelated one-row subquery of the
+    insert. A NULL in a ``not_null`` column of the inserted rows fails the write."""
+    rows = seed.select(*columns).where(~spark.table(name).limit(1).exists())
+    enforce_not_null(rows, list(not_null)).write.insertInto(name, overwrite=False)
 
 
 def export_snapshot(df: DataFrame, folder: str) -> None:

@@ -8,6 +8,9 @@ from decimal import Decimal
 
 from pyspark.sql import types as T
 
+from keelson.schemas import CUSTOMERS as CUSTOMER_SCHEMA
+from keelson.schemas import FINAL_TABLE as FINAL_SCHEMA  # noqa: F401
+
 TXN_SCHEMA = T.StructType(
     [
         T.StructField("transaction_id", T.StringType()),
@@ -31,15 +34,6 @@ SECOND_COMMIT = [
     ("TXN-007", "CUST-C", Decimal("75.25"), "2024-01-21", "completed"),
 ]
 
-CUSTOMER_SCHEMA = T.StructType(
-    [
-        T.StructField("customer_id", T.StringType(), False),
-        T.StructField("customer_name", T.StringType()),
-        T.StructField("email", T.StringType()),
-        T.StructField("country", T.StringType()),
-        T.StructField("updated_at", T.TimestampNTZType()),
-    ]
-)
 SEED_TIME = dt.datetime(2024, 1, 10, 0, 0, 0)
 CUSTOMERS = [
     ("CUST-A", "Alice Johnson", "alice@example.com", "Colombia", SEED_TIME),
@@ -48,19 +42,6 @@ CUSTOMERS = [
     ("CUST-D", "Diana Torres", "diana@example.com", "Peru", SEED_TIME),
 ]
 
-FINAL_SCHEMA = T.StructType(
-    [
-        T.StructField("transaction_id", T.StringType(), False),
-        T.StructField("customer_id", T.StringType()),
-        T.StructField("customer_name", T.StringType()),
-        T.StructField("country", T.StringType()),
-        T.StructField("amount", T.DecimalType(38, 9)),
-        T.StructField("transaction_date", T.DateType()),
-        T.StructField("status", T.StringType()),
-        T.StructField("last_updated", T.TimestampNTZType()),
-    ]
-)
-
 
 def txn_df(spark, rows):
     return spark.createDataFrame(rows, TXN_SCHEMA)

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixture_a import CUSTOMERS, CUSTOMER_SCHEMA, FIRST_COMMIT, SECOND_COMMIT, customers_df, txn_df
+from keelson import schemas
 from keelson.plans import jobs
 from keelson.session import checkpoint_dir, work_dir
 from keelson.sinks import labels, tables
@@ -127,16 +128,14 @@ def test_stage_and_merge_job_on_reference_fixture(spark):
     res = jobs.write_lake_table(txn_df(spark, FIRST_COMMIT), txn_df(spark, SECOND_COMMIT), lake, f"{root}/snap")
     assert res["version"] == 1
     wh = jobs.Warehouse.create(spark, root)
-    from fixture_a import FINAL_SCHEMA
-
-    out = jobs.stage_and_merge(spark, lake, wh, customers_df(spark), CUSTOMER_SCHEMA, FINAL_SCHEMA, "dev")
+    out = jobs.stage_and_merge(spark, lake, wh, customers_df(spark), "dev")
     assert out["staged_rows"] == 8
     assert out["merge"]["insert"] == 8 and out["merge"]["affected_rows"] == 8
     assert all(out["labelled"].values())
     summary = {r["status"]: r["total_records"] for r in jobs.final_summary(spark, wh).collect()}
     assert summary == {"completed": 6, "refunded": 1, "pending": 1}
     # rerun: staging identical; seed does not duplicate; TXN-003 rows swap status
-    out2 = jobs.stage_and_merge(spark, lake, wh, customers_df(spark), CUSTOMER_SCHEMA, FINAL_SCHEMA, "dev")
+    out2 = jobs.stage_and_merge(spark, lake, wh, customers_df(spark), "dev")
     assert spark.table(wh.name("customers")).count() == 4
     assert out2["merge"]["update"] == 2 and out2["merge"]["noop"] == 6
     info = {r["table_name"]: (r["table_type"], r["num_rows"]) for r in catalog.table_info(spark, [wh.name(t) for t in ("customers", "final_table", "transactions_staging")]).collect()}
@@ -174,7 +173,7 @@ def test_merge_job_without_as_of_keeps_table_types(spark):
     root = work_dir(spark, "t-job")
     jobs.write_lake_table(txn_df(spark, FIRST_COMMIT), txn_df(spark, SECOND_COMMIT), f"{root}/lake", f"{root}/snap")
     wh = jobs.Warehouse.create(spark, root)
-    jobs.stage_and_merge(spark, f"{root}/lake", wh, customers_df(spark), CUSTOMER_SCHEMA, FINAL_SCHEMA, "dev")
+    jobs.stage_and_merge(spark, f"{root}/lake", wh, customers_df(spark), "dev")
     final = spark.table(wh.name("final_table"))
     assert final.schema["last_updated"].dataType == FINAL_SCHEMA["last_updated"].dataType
     assert spark.read.parquet(tables.table_location(spark, wh.name("final_table"))).schema["last_updated"].dataType == FINAL_SCHEMA["last_updated"].dataType
@@ -289,6 +288,21 @@ def test_null_key_insert_fails(spark):
     assert spark.table(name).count() == 0
 
 
+def test_seed_refuses_null_keys_and_tables_are_labelled_at_creation(spark):
+    wh = jobs.Warehouse.create(spark, work_dir(spark, "t-wh"))
+    bad = customers_df(spark).withColumn("customer_id", F.when(F.col("customer_id") != "CUST-B", F.col("customer_id")))
+    with pytest.raises(Exception, match="customer_id"):
+        jobs.setup_tables(spark, wh, bad, "prod")
+    assert spark.table(wh.name("customers")).count() == 0
+    jobs.setup_tables(spark, wh, customers_df(spark), "prod")
+    jobs.setup_tables(spark, wh, customers_df(spark), "prod")
+    assert spark.table(wh.name("customers")).count() == 4 and spark.table(wh.name("final_table")).count() == 0
+    for t in ("customers", "final_table"):
+        assert labels.current_labels(spark, wh.name(t)) == labels.standard_labels("prod")
+    for t, schema in (("customers", schemas.CUSTOMERS), ("final_table", schemas.FINAL_TABLE)):
+        assert [(f.name, f.dataType) for f in spark.table(wh.name(t)).schema] == [(f.name, f.dataType) for f in schema]
+
+
 def test_append_of_another_type_is_refused(spark):
     path = work_dir(spark, "t-lake")
     lake_commit.commit_overwrite(txn_df(spark, FIRST_COMMIT), path)

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from fixture_a import FIRST_COMMIT, FINAL_SCHEMA, SECOND_COMMIT, customers_df, txn_df
 from keelson.operators.enrich import merge_source
-from keelson.operators.merge import ACTION, MergeSpec, action_counts, merge_plan
+from keelson.operators.merge import ACTION, MergeSpec, action_counts, change_flags, merge_plan
 
 SPEC = MergeSpec(
     "transaction_id",
@@ -253,3 +253,24 @@ def test_a_hot_key_of_identical_rows(spark):
     source = [("HOT", "p", "b", Decimal("1.00"), "s")] * 400 + [("HOT", "q", "b", Decimal("1.00"), "new")]
     got = merge_plan(spark.createDataFrame(target, P_SCHEMA), spark.createDataFrame(source, P_SCHEMA), P_SPEC)
     assert {r[ACTION]: r["rows"] for r in action_counts(got).collect()} == {"UPDATE": 500, "KEEP": 1}
+
+
+@pytest.mark.parametrize("repeat", [False, True])
+def test_change_flags_match_pairs_folded_by_target_row(spark, repeat):
+    rng = random.Random(5)
+    value = lambda: rng.choice([None, "a", "b"])
+    keys = [None, "k0"] + [f"k{i}" for i in range(1, 40)]
+    source = [(k, value(), value()) for k in keys for _ in range(rng.randint(1, 3) if repeat else 1)]
+    target = [(k, value(), value()) for k in [*keys, "other"] for _ in range(2)]
+    if repeat:  # a hot key
+        source += [("k0", "a", "a")] * 300
+    spec = MergeSpec("k", ("x", "y"), ("x", "y"))
+    schema = "k string, x string, y string"
+    got = change_flags(spark.createDataFrame(target, schema), spark.createDataFrame(source, schema), spec)
+    differ = lambda a, b: a is not None and b is not None and a != b
+    want = []
+    for k, x, y in target:
+        mine = [s for s in source if s[0] == k and k is not None]
+        if mine:
+            want.append((k, any(differ(x, s[1]) or differ(y, s[2]) for s in mine)))
+    assert Counter(tuple(r) for r in got.collect()) == Counter(want)

@@ -25,7 +25,7 @@ def test_watcher_sees_each_new_commit_once(spark):
 
 
 def test_watcher_drives_the_stage_and_merge_job(spark):
-    from fixture_a import CUSTOMER_SCHEMA, FINAL_SCHEMA, customers_df
+    from fixture_a import customers_df
     from keelson.plans import jobs
 
     root = work_dir(spark, "t-stream-job")
@@ -34,7 +34,7 @@ def test_watcher_drives_the_stage_and_merge_job(spark):
     runs = []
 
     def on_version(v):
-        runs.append((v, jobs.stage_and_merge(spark, lake, wh, customers_df(spark), CUSTOMER_SCHEMA, FINAL_SCHEMA, "dev")))
+        runs.append((v, jobs.stage_and_merge(spark, lake, wh, customers_df(spark), "dev")))
 
     lake_commit.commit_overwrite(txn_df(spark, FIRST_COMMIT), lake)
     lake_commit.commit_append(txn_df(spark, SECOND_COMMIT), lake)
