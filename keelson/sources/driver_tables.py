@@ -34,7 +34,6 @@ MERGE_AS_OF = dt.datetime(2024, 2, 1, 0, 0, 0)
 CUSTOMER_UPDATED_AT = dt.datetime(2024, 1, 1, 0, 0, 0)
 
 TRANSACTION_COLUMNS = ["transaction_id", "customer_id", "amount", "transaction_date", "status"]
-CUSTOMER_COLUMNS = ["customer_id", "customer_name", "email", "country", "updated_at"]
 FINAL_COLUMNS = [
     "transaction_id",
     "customer_id",
