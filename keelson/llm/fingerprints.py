@@ -26,6 +26,7 @@ from keelson.llm.text import shingle_sets, text_slices
 K = 128
 WIDTH = 5
 PART_BYTES = 16 << 20
+MAX_PARTS = 1 << 16  # boundaries that the driver and each task hold at most; beyond, parts grow
 _SPACE_SIZE = float(1 << 48)
 
 
@@ -164,12 +165,13 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     text; after the last comes the first). A lone document is its own next.
 
     Documents are dealt to ranges of id by boundaries found beforehand (one
-    key a ``PART_BYTES`` of text reaches the driver); each range also gets the
+    key a ``PART_BYTES`` of text, at most ``MAX_PARTS``, reaches the driver; a range is
+    sorted with spilling and read as a stream, so it may grow); each range also gets the
     first document of the next, so texts move once and no range waits for another."""
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.coalesce(F.xxhash64(text), F.lit(0)).alias("tie"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_parts = size // PART_BYTES + 1
+    n_parts = min(MAX_PARTS, size // PART_BYTES + 1)
     order = [F.col("id").asc_nulls_first(), F.col("tie")]
     ranged = rows.select("id", "tie").repartitionByRange(n_parts, *order).withColumn("part", F.spark_partition_id())
     firsts = ranged.groupBy("part").agg(F.min(F.struct(F.col("id").isNotNull().alias("named"), F.coalesce("id", F.lit(0)).alias("id"), "tie")).alias("k"))
