@@ -1,7 +1,7 @@
 """Benchmark decontamination by SimHash over item-sized windows.
 
 A benchmark item is a sequence of five-word shingles, weighted by rarity among
-the items. Its 64-bit SimHash is compared with that of every document window
+all items. Its 64-bit SimHash is compared with that of every document window
 of the item's length in words. Only windows that hold a shingle of an item of
 their size are fingerprinted: no other can verify. A multi-index finds the
 items within ``RADIUS`` of a window: the fingerprint is cut into blocks, and two
@@ -10,7 +10,8 @@ so each block value lists the items that near. Candidates are verified by the
 exact weighted Jaccard similarity of the distinct shingles.
 
 Items are taken in blocks of bounded size, one pass over the documents a
-block, so what is broadcast doesn't grow with the benchmark. Null or empty texts
+block, so what is broadcast doesn't grow with the benchmark; rarity is counted
+over the whole benchmark beforehand, so results don't depend on the blocks. Null or empty texts
 match nothing; an item of fewer than five words matches only texts that
 consist of just these words.
 """
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.llm.text import buffers, shingle_hashes, text_slices, word_hashes
+from keelson.llm.text import buffers, shingle_hashes, shingle_sets, text_slices, word_hashes
 
 WIDTH = 5
 SIMILARITY = 0.8
@@ -34,6 +35,7 @@ RADIUS = 19  # of 64 bits; a window with weighted Jaccard 0.8 differs in about 1
 BLOCKS = 4
 BLOCK_BITS = 64 // BLOCKS
 MAX_ITEM_BYTES = 4 << 20  # item texts indexed at once
+WINDOWS_AT_ONCE = 1 << 14  # fingerprinted together, so a very long text needs no more memory
 _FILTER_BITS = 22
 
 
@@ -98,13 +100,18 @@ def _length_index(items: np.ndarray, prints: np.ndarray) -> LengthIndex:
     return LengthIndex(items, prints, starts, near)
 
 
-def build_index(ids: list, texts: list[str | None]) -> ItemIndex:
+def build_index(ids: list, texts: list[str | None], n_items: int, repeated: dict[int, int]) -> ItemIndex:
+    """Index a block of the ``n_items`` items; ``repeated`` has the item counts of
+    the block's shingles (as signed values) that more than one item holds."""
     words, word_at, _ = word_hashes(*buffers(pa.array(texts, pa.large_string())))
     hashes, at = shingle_hashes(words, word_at, WIDTH)
     runs = [hashes[a:b] for a, b in zip(at[:-1], at[1:])]
     sets = [np.unique(r) for r in runs]
-    known, df = np.unique(np.concatenate(sets) if sets else hashes, return_counts=True)
-    weights = (1 + np.log(len(ids) / df)) / (1 + np.log(max(1, len(ids))))
+    known = np.unique(np.concatenate(sets) if sets else hashes)
+    df = np.ones(len(known))
+    if repeated:
+        df[np.searchsorted(known, np.array(list(repeated), np.int64).view(np.uint64))] = list(repeated.values())
+    weights = (1 + np.log(n_items / df)) / (1 + np.log(n_items))
     maybe = np.zeros(1 << _FILTER_BITS, dtype=bool)
     maybe[(known & np.uint64((1 << _FILTER_BITS) - 1)).astype(np.int64)] = True
     index = ItemIndex(ids, known, weights, 1.0, maybe, [], sets, {})
@@ -158,10 +165,10 @@ def matches(index: ItemIndex, texts: pa.Array) -> Iterator[tuple[int, int, float
             width, last = min(size, n), max(0, n - size)
             p = np.array(positions)
             lo, hi = np.clip(p - size + 1, 0, last), np.minimum(p, last)
-            for a, b in _merged(lo, hi):
+            of_length = index.by_length[size]
+            for a, b in _chunked(_merged(lo, hi)):
                 run = hashes[first + a : first + b + width]
                 prints = window_prints(run, index.weight(run), width)
-                of_length = index.by_length[size]
                 for w, i in zip(*(x.tolist() for x in _candidates(of_length, prints))):
                     item = int(of_length.items[i])
                     sim = similarity(index, np.unique(run[w : w + width]), index.sets[item])
@@ -199,19 +206,51 @@ def _merged(lo: np.ndarray, hi: np.ndarray) -> Iterator[tuple[int, int]]:
         yield a, b
 
 
+def _chunked(spans: Iterator[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    for a, b in spans:
+        for start in range(a, b + 1, WINDOWS_AT_ONCE):
+            yield start, min(b, start + WINDOWS_AT_ONCE - 1)
+
+
+def _item_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        start = 0
+        for texts in text_slices(batch.column("text")):
+            part = batch.slice(start, len(texts))
+            start += len(texts)
+            hashes, at = shingle_sets(texts, WIDTH)
+            of = pa.array(np.repeat(np.arange(len(texts)), np.diff(at)))
+            yield pa.RecordBatch.from_arrays(
+                [part.column("key").take(of), part.column("rows").take(of), pa.array(hashes.view(np.int64))], names=["key", "rows", "shingle"]
+            )
+
+
+def _with_repeated(items: DataFrame) -> DataFrame:
+    """Adds to each item the shingles that it shares with others, as (shingle, n):
+    n items hold it."""
+    keyed = items.withColumn("key", F.xxhash64("text"))
+    texts = keyed.filter("text is not null").groupBy("key").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("rows"))
+    shingles = texts.mapInArrow(_item_shingles, "key long, rows long, shingle long")
+    counts = shingles.groupBy("shingle").agg(F.sum("rows").alias("n")).filter("n > 1")
+    shared = shingles.join(counts, "shingle").groupBy("key").agg(F.collect_list(F.struct("shingle", "n")).alias("repeated"))
+    return keyed.join(shared, "key", "left").drop("key")
+
+
 def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[ItemIndex]:
     """Indexes of the items, ``MAX_ITEM_BYTES`` of text at a time."""
-    ids, texts, size = [], [], 0
-    rows = benchmark.select(F.col(id_col), F.col(text_col).cast("string")).orderBy(id_col, text_col)
-    for item, text in rows.toLocalIterator():
+    ids, texts, repeated, size = [], [], {}, 0
+    items = benchmark.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    n_items = items.count()
+    for item, text, shared in _with_repeated(items).orderBy("id", "text").toLocalIterator():
         n = len((text or "").encode())
         if texts and size + n > MAX_ITEM_BYTES:
-            yield build_index(ids, texts)
-            ids, texts, size = [], [], 0
+            yield build_index(ids, texts, n_items, repeated)
+            ids, texts, repeated, size = [], [], {}, 0
         ids.append(item), texts.append(text)
+        repeated.update(shared or [])
         size += n
     if texts:
-        yield build_index(ids, texts)
+        yield build_index(ids, texts, n_items, repeated)
 
 
 def find_leaks(

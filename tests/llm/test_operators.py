@@ -330,8 +330,9 @@ def test_decontamination_of_edited_passages_and_odd_rows(spark, monkeypatch):
     bench = spark.createDataFrame(items, "item_id long, text string")
     docs = frame(spark, [(*r, "en", "s") for r in rows])
     want = plain_leaks(rows, items)
-    for size in (decontaminate.MAX_ITEM_BYTES, 1 << 30):
+    for size, windows in ((decontaminate.MAX_ITEM_BYTES, decontaminate.WINDOWS_AT_ONCE), (1, 7)):  # 1: a block an item
         monkeypatch.setattr(decontaminate, "MAX_ITEM_BYTES", size)
+        monkeypatch.setattr(decontaminate, "WINDOWS_AT_ONCE", windows)
         assert {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(spark, docs, bench).collect()} == want
     assert (1, 1) in want and (5, 4) in want and (6, 4) not in want
     assert sorted(r["doc_id"] for r in decontaminate.clean(spark, docs, bench).collect()) == sorted(set(i for i, _ in rows) - {d for d, _ in want} | {7})
@@ -419,6 +420,9 @@ def test_pipeline_stages_on_odd_rows(spark, rows):
         docs = stage(spark, docs, SF_CHECK)
         assert docs.columns == frame(spark, []).columns
         docs = corpus_pipeline.materialise(spark, docs, "test-stage")
-    left = corpus_pipeline.STAGES[-1][1](spark, docs, SF_CHECK)
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, SF_CHECK)
+    assert sorted(last.columns) == sorted(docs.columns)  # size, shard and slot are the stage's
+    left = corpus_pipeline.materialise(spark, last, "test-stage")
+    assert dict(left.dtypes)["size"] == "bigint"
     texts = {r[1] for r in rows if any(c.isalpha() for c in r[1] or "")}
     assert left.count() == len(texts)
