@@ -13,7 +13,8 @@ Items are taken in blocks of bounded size, one pass over the documents a
 block, so what is broadcast doesn't grow with the benchmark; rarity is counted
 over the whole benchmark beforehand, so results don't depend on the blocks. Null or empty texts
 match nothing; an item of fewer than five words matches only texts that
-consist of just these words.
+consist of just these words. Case is folded in items and texts by Spark's Unicode
+case mapping; the shingle hashes by themselves lower-case A-Z only.
 """
 
 from __future__ import annotations
@@ -39,6 +40,13 @@ WINDOWS_AT_ONCE = 1 << 14  # fingerprinted together, so a very long text needs n
 _FILTER_BITS = 22
 
 
+def folded(text: Column) -> Column:
+    """Text in lower case, with ss for ß as its capitals are SS. Words stay in their places.
+
+    Not ``lower(upper(...))``, which the optimizer takes for ``lower(...)``."""
+    return F.replace(F.lower(text.cast("string")), F.lit("ß"), F.lit("ss"))
+
+
 @dataclass
 class LengthIndex:
     """The items of one length in words."""
@@ -101,7 +109,7 @@ def _length_index(items: np.ndarray, prints: np.ndarray) -> LengthIndex:
 
 
 def build_index(ids: list, texts: list[str | None], n_items: int, repeated: dict[int, int]) -> ItemIndex:
-    """Index a block of the ``n_items`` items; ``repeated`` has the item counts of
+    """Index a block of the ``n_items`` items, with folded texts; ``repeated`` has the item counts of
     the block's shingles (as signed values) that more than one item holds."""
     words, word_at, _ = word_hashes(*buffers(pa.array(texts, pa.large_string())))
     hashes, at = shingle_hashes(words, word_at, WIDTH)
@@ -143,7 +151,7 @@ def _candidates(index: LengthIndex, prints: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def matches(index: ItemIndex, texts: pa.Array) -> Iterator[tuple[int, int, float, int]]:
-    """(text, item, best similarity, first word of that window) of each match."""
+    """(text, item, best similarity, first word of that window) of each match of the folded texts."""
     words, word_at, _ = word_hashes(*buffers(texts))
     hashes, at = shingle_hashes(words, word_at, WIDTH)
     if len(index.shingles) == 0:
@@ -239,7 +247,7 @@ def _with_repeated(items: DataFrame) -> DataFrame:
 def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[ItemIndex]:
     """Indexes of the items, ``MAX_ITEM_BYTES`` of text at a time."""
     ids, texts, repeated, size = [], [], {}, 0
-    items = benchmark.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    items = benchmark.select(F.col(id_col).alias("id"), folded(F.col(text_col)).alias("text"))
     n_items = items.count()
     for item, text, shared in _with_repeated(items).orderBy("id", "text").toLocalIterator():
         n = len((text or "").encode())
@@ -279,7 +287,7 @@ def find_leaks(
                         names=["doc_id", "item_id", "similarity", "first_word"],
                     )
 
-        rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+        rows = docs.select(F.col(id_col).cast("long").alias("id"), folded(F.col(text_col)).alias("text"))
         part = rows.mapInArrow(run, "doc_id long, item_id long, similarity double, first_word long")
         found = part if found is None else found.unionByName(part)
     return spark.createDataFrame([], "doc_id long, item_id long, similarity double, first_word long") if found is None else found
@@ -299,7 +307,7 @@ def leaks(spark: SparkSession, index: ItemIndex, text: Column) -> Column:
                 start += len(part)
             yield pa.array(counts, pa.int32())
 
-    return udf(text.cast("string"))
+    return udf(folded(text))
 
 
 def clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:

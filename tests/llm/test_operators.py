@@ -339,6 +339,26 @@ def test_decontamination_of_edited_passages_and_odd_rows(spark, monkeypatch):
     assert decontaminate.find_leaks(spark, docs, bench.limit(0)).count() == 0 and decontaminate.find_leaks(spark, docs.limit(0), bench).count() == 0
 
 
+def test_decontamination_ignores_case_in_any_script(spark):
+    items = [
+        (1, "Élan vital où l'âme êta déjà naïve près d'une forêt brûlée çà et là vers Orléans été"),
+        (2, "Σωκράτης και ο λόγος της πόλεως είναι ο βίος των ανθρώπων που ζουν εκεί"),
+        (3, "Мама мыла раму и потом пошла в лес за грибами вместе с детьми"),
+        (4, "plain words of an item that has only letters without any accent in it"),
+    ]
+    rows = [(i, f"pre {t.upper()} post") for i, t in items] + [(10 + i, t.lower()) for i, t in items] + [(20, "ÉLAN VITAL OÙ L'ÂME autre chose ici")]
+    lower = lambda rs: [(i, t.lower()) for i, t in rs]
+    want = plain_leaks(lower(rows), lower(items))
+    assert want == {(d + i, i) for i, _ in items for d in (0, 10)}
+    docs, bench = frame(spark, [(*r, "de", "s") for r in rows]), spark.createDataFrame(items, "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(spark, docs, bench).collect()} == want
+    assert [r["doc_id"] for r in decontaminate.clean(spark, docs, bench).collect()] == [20]
+    # capitals of ß are SS
+    item = "Die Straße am Fluß heißt große Grußstraße und süße Soße fließt außen"
+    sharp, loud = spark.createDataFrame([(1, item)], "item_id long, text string"), frame(spark, [(1, item.upper(), "de", "s")])
+    assert decontaminate.find_leaks(spark, loud, sharp).count() == 1
+
+
 def test_multi_index_finds_every_fingerprint_within_the_radius():
     rng = np.random.default_rng(3)
     prints = rng.integers(0, 2**63, 40, dtype=np.uint64)
