@@ -289,6 +289,50 @@ def test_mixing_with_weights_a_hot_source_and_odd_rows(spark):
     assert mixing.mix(spark, frame(spark, [])).count() == 0
 
 
+def mixed_sources(spark, counts, weights, **how):
+    """The mixed order of the sources, a block a row."""
+    docs = spark.createDataFrame([(s, n) for s, n in counts.items()], "source string, n int")
+    docs = docs.select("source", F.explode(F.sequence(F.lit(1), "n")).alias("doc_id")).withColumn("text", F.lit("t"))
+    given = None if weights is None else spark.createDataFrame(list(weights.items()), "source string, weight double")
+    mixed = mixing.mix(spark, docs, given, block_rows=1, **how)
+    out = mixed.select("row.source", "source_block", "round", "release", "deadline", "block_position", "row_in_block").collect()
+    check_mix(out, mixing.SLOTS, 1)
+    assert Counter(r["source"] for r in out) == Counter(counts)
+    return [r["source"] for r in sorted(out, key=lambda r: r["block_position"])]
+
+
+def off_target(order, targets):
+    """The largest distance of a source from its target, in blocks, over all prefixes."""
+    done, worst = Counter(), Counter()
+    for t, s in enumerate(order):
+        worst[s] = max(worst[s], abs(done[s] - targets[s] * t), abs(done[s] + 1 - targets[s] * (t + 1)))
+        done[s] += 1
+    return {s: max(worst[s], abs(done[s] - targets[s] * len(order))) for s in targets}
+
+
+def test_mixing_meets_the_targets_of_thousands_of_sources(spark):
+    small = [f"s{i}" for i in range(2000)]
+    targets = {"hot": 0.5, **dict.fromkeys(small, 0.00025)}
+    off = off_target(mixed_sources(spark, {"hot": 4000, **dict.fromkeys(small, 2)}, targets)[:4000], targets)
+    assert off.pop("hot") < 4 and max(off.values()) < 1.5
+    # by row counts: a third of the rows in one source
+    counts = {"hot": 1000, **dict.fromkeys(small, 1)}
+    total = sum(n**0.5 for n in counts.values())
+    targets = {s: n**0.5 / total for s, n in counts.items()}
+    off = off_target(mixed_sources(spark, counts, None)[:1500], targets)
+    assert off.pop("hot") < 4 and max(off.values()) < 1.5
+
+
+def test_mixing_with_a_tiny_a_zero_and_a_missing_weight(spark):
+    counts = {"a": 4000, "b": 4000, "tiny": 4, "zero": 30, "below": 30, "missing": 4}
+    weights = {"a": 0.5, "b": 0.4998, "tiny": 0.0001, "zero": 0.0, "below": -1.0}
+    order = mixed_sources(spark, counts, weights)
+    targets = {s: max(0.0, weights.get(s, 0.0001)) for s in counts}
+    assert max(off_target(order[:7900], targets).values()) < 3
+    assert set(order[-60:]) == {"zero", "below"} and abs(Counter(order[-30:])["zero"] - 15) <= 1
+    assert set(mixed_sources(spark, {"a": 3, "b": 3}, {"a": 0.0})[:3]) == {"a", "b"}
+
+
 # -- op 9 -------------------------------------------------------------------------
 def plain_leaks(rows, items):
     """Item-sized windows compared one by one."""
