@@ -429,12 +429,14 @@ def jaccard_groups(
         "node",
         "n",
         "tokens",
+        "cuts",
     )
     volume = sets.agg(F.sum(F.octet_length("tokens"))).first()[0] or 0
     bins = max(16, volume // (8 << 20))
+    whole = F.col("cuts") == 1  # small components share a bin; a tile of a larger one is a group by itself
     links = (
-        tiles.withColumn("bin", F.pmod(F.xxhash64("comp", "i", "j"), F.lit(bins)))
-        .groupBy("bin")
+        tiles.withColumn("bin", F.when(whole, F.pmod(F.xxhash64("comp"), F.lit(bins)))).withColumn("large", F.when(~whole, F.col("comp")))
+        .groupBy("bin", "large", "i", "j")
         .applyInArrow(_join_tiles(percent), "a long, b long, links long")
     )
     links = materialise(spark, links, "ngram-links")

@@ -45,6 +45,26 @@ def test_near_copies_and_a_shared_passage(spark, seed, monkeypatch):
     assert result(spark, rows) == sorted(brute.jaccard_groups(rows), key=repr)
 
 
+def test_a_task_loads_one_tile_of_a_large_component_at_once(spark, monkeypatch):
+    real = ngram_join._join_tiles
+
+    def one_at_once(percent):
+        join = real(percent)
+
+        def run(table):
+            tiles = set(zip(table["comp"].to_pylist(), table["i"].to_pylist(), table["j"].to_pylist()))
+            if len(tiles) > 1 and any(j for _, _, j in tiles):
+                raise ValueError(f"{len(tiles)} tiles")
+            return join(table)
+
+        return run
+
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 300)  # more tiles than bins
+    monkeypatch.setattr(ngram_join, "_join_tiles", one_at_once)
+    rows = near_copies(random.Random(3), 150, 120, 80)
+    assert result(spark, rows) == sorted(brute.jaccard_groups(rows), key=repr)
+
+
 def test_edge_cases(spark):
     long = " ".join(f"x{i}" for i in range(30_000))
     rows = [
