@@ -9,7 +9,7 @@ fingerprints within the radius agree in some block up to ``RADIUS // BLOCKS`` bi
 so each block value lists the items that near. Candidates are verified by the
 exact weighted Jaccard similarity of the distinct shingles.
 
-Items are taken in blocks of bounded size, one pass over the documents a
+Items are taken in blocks of bounded text and index size, one pass over the documents a
 block, so what is broadcast doesn't grow with the benchmark; rarity is counted
 over the whole benchmark beforehand, so results don't depend on the blocks. Null or empty texts
 match nothing; an item of fewer than five words matches only texts that
@@ -19,8 +19,10 @@ case mapping; the shingle hashes by themselves lower-case A-Z only.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 from itertools import combinations
 
 import numpy as np
@@ -36,6 +38,7 @@ RADIUS = 19  # of 64 bits; a window with weighted Jaccard 0.8 differs in about 1
 BLOCKS = 4
 BLOCK_BITS = 64 // BLOCKS
 MAX_ITEM_BYTES = 4 << 20  # item texts indexed at once
+MAX_INDEX_BYTES = 96 << 20  # of the lists of near items, broadcast at once
 WINDOWS_AT_ONCE = 1 << 14  # fingerprinted together, so a very long text needs no more memory
 _FILTER_BITS = 22
 
@@ -89,6 +92,7 @@ def window_prints(shingles: np.ndarray, weights: np.ndarray, size: int) -> np.nd
     return ((total > -1e-6).astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
 
 
+@cache
 def _near_values() -> np.ndarray:
     flips = [0]
     for k in range(1, RADIUS // BLOCKS + 1):
@@ -244,19 +248,27 @@ def _with_repeated(items: DataFrame) -> DataFrame:
     return keyed.join(shared, "key", "left").drop("key")
 
 
+def _block_full(texts: int, size: int, lengths: set[int]) -> bool:
+    """Whether items of these lengths are too many for one index: an item is listed under
+    all near values of each block, a length has a start for each value."""
+    index = 4 * BLOCKS * (texts * len(_near_values()) + len(lengths) * (1 << BLOCK_BITS))
+    return size > MAX_ITEM_BYTES or index > MAX_INDEX_BYTES
+
+
 def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[ItemIndex]:
-    """Indexes of the items, ``MAX_ITEM_BYTES`` of text at a time."""
-    ids, texts, repeated, size = [], [], {}, 0
+    """Indexes of the items, ``MAX_ITEM_BYTES`` of text and ``MAX_INDEX_BYTES`` of index at a time."""
+    ids, texts, repeated, size, lengths = [], [], {}, 0, set()
     items = benchmark.select(F.col(id_col).alias("id"), folded(F.col(text_col)).alias("text"))
     n_items = items.count()
     for item, text, shared in _with_repeated(items).orderBy("id", "text").toLocalIterator():
-        n = len((text or "").encode())
-        if texts and size + n > MAX_ITEM_BYTES:
+        n, length = len((text or "").encode()), max(WIDTH, len(re.findall(r"[^\x20\x09-\x0D]+", text or "")))
+        if texts and _block_full(len(texts) + 1, size + n, lengths | {length}):
             yield build_index(ids, texts, n_items, repeated)
-            ids, texts, repeated, size = [], [], {}, 0
+            ids, texts, repeated, size, lengths = [], [], {}, 0, set()
         ids.append(item), texts.append(text)
         repeated.update(shared or [])
         size += n
+        lengths.add(length)
     if texts:
         yield build_index(ids, texts, n_items, repeated)
 

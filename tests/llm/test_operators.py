@@ -383,6 +383,14 @@ def test_decontamination_of_edited_passages_and_odd_rows(spark, monkeypatch):
     assert decontaminate.find_leaks(spark, docs, bench.limit(0)).count() == 0 and decontaminate.find_leaks(spark, docs.limit(0), bench).count() == 0
 
 
+def test_item_blocks_are_bounded_by_their_index(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "MAX_INDEX_BYTES", 5 << 20)
+    items = spark.range(120).selectExpr("id AS item_id", "concat('a b c d e f x', id, if(id % 2 = 0, ' y', '')) AS text")
+    blocks = list(decontaminate.item_blocks(items))
+    held = [sum(a.nbytes for x in b.by_length.values() for a in x.starts + x.near) for b in blocks]
+    assert len(blocks) > 1 and max(held) < (5 << 20) + 100 and sorted(i for b in blocks for i in b.ids) == list(range(120))
+
+
 def test_decontamination_ignores_case_in_any_script(spark):
     items = [
         (1, "Élan vital où l'âme êta déjà naïve près d'une forêt brûlée çà et là vers Orléans été"),
