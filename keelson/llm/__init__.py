@@ -1,4 +1,4 @@
-"""Training-data operators: ten corpus operators, each in a module of its own,
+"""Training-data operators: corpus operators, each in a module of its own,
 with the registered queries in ``queries`` and their DuckDB SQL in ``oracle``.
 
 Nothing else in the package imports this subpackage. Modules that run Python

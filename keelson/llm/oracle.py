@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from keelson.llm import licenses
+from keelson.llm import filter_audit, licenses
 
 
 def _quoted(text: str) -> str:
@@ -45,4 +45,4 @@ FROM d LEFT JOIN most USING (row_id) LEFT JOIN found USING (row_id)
 """
 
 
-ORACLE_SQL = {"op3_licenses": license_sql()}
+ORACLE_SQL = {"op3_licenses": license_sql(), "op11_filter_audit": filter_audit.SQL}

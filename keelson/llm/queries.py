@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from keelson.llm import (
     decontaminate,
+    filter_audit,
     fingerprints,
     langid,
     licenses,
@@ -26,4 +27,5 @@ QUERIES = {
     "op8_mixing": mixing.query,
     "op9_decontamination": decontaminate.query,
     "op10_fingerprints": fingerprints.query,
+    "op11_filter_audit": filter_audit.query,
 }

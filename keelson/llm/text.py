@@ -74,11 +74,13 @@ def slices(batch: pa.RecordBatch, text_col: str, max_bytes: int = SLICE_BYTES, m
         start = end
 
 
-def word_hashes(raw: np.ndarray, offsets: np.ndarray, plain: bool = False, prefix: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_hashes(
+    raw: np.ndarray, offsets: np.ndarray, plain: bool = False, prefix: int | None = None, fold: bool = True
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hashes of all words, n+1 word offsets of the texts, byte starts of the words).
 
     ``plain``: ASCII punctuation separates words too. ``prefix``: hash only
-    that many leading bytes of each word."""
+    that many leading bytes of each word. ``fold``: A-Z reads as a-z."""
     inside = ~(_NOT_ALNUM if plain else _SPACE)[raw]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
@@ -92,7 +94,7 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray, plain: bool = False, prefi
     at = chars - starts[word_of]
     if prefix is not None:
         chars, at = chars[at < prefix], at[at < prefix]
-    terms = _BYTE_VALUE_LOWER[raw[chars]] * _base_powers(int(at.max()) + 1)[at]
+    terms = (_BYTE_VALUE_LOWER if fold else _BYTE_VALUE)[raw[chars]] * _base_powers(int(at.max()) + 1)[at]
     hashes = np.add.reduceat(terms, np.flatnonzero(at == 0))
     return mix64(hashes), np.searchsorted(starts, offsets), starts
 
