@@ -7,11 +7,13 @@ from keelson.llm import (
     filter_audit,
     fingerprints,
     langid,
+    learned_partitions,
     licenses,
     mixing,
     ngram_join,
     sampling,
     sharding,
+    token_alignment,
     toxicity,
     url_filter,
 )
@@ -28,4 +30,6 @@ QUERIES = {
     "op9_decontamination": decontaminate.query,
     "op10_fingerprints": fingerprints.query,
     "op11_filter_audit": filter_audit.query,
+    "op12_learned_partitions": learned_partitions.query,
+    "op13_token_alignment": token_alignment.query,
 }
