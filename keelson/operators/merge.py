@@ -15,12 +15,19 @@ Semantics (target ``T``, source ``S``, equality on one key column):
 
 Plan (no pair of rows sharing a key is ever materialised):
 
-1. Source rows are counted per key, on the key column alone. The source must be
-   deterministic (it is evaluated for the count and for the joins).
-2. Without repeated source keys: the target left-joins the source, and the source
-   rows without a target key are inserted. Nothing is copied, and columns that the
-   caller doesn't use are pruned.
-3. With repeated keys: the source is written once to the shared folder with a row
+1. The keys of both sides are looked at once, on the key column alone and side by side:
+   source rows a key, and the target's row count and hot keys (a sketch of bounded size
+   that combines map-side). The source must be deterministic.
+2. Without repeated source keys: one full outer join, that is one exchange a side. Target
+   rows without a key are kept without a shuffle. The join can't split a hot key,
+   so target rows of hot keys (``HOT_ROWS`` rows and more, at most ``MAX_HOT`` keys) meet
+   their source rows in a broadcast of at most one row a hot key.
+3. If the source has at most half as many rows as the target, a Bloom filter of its
+   keys rules target rows out beforehand: they are kept without a shuffle, so what is
+   shuffled is in proportion to the source. The filter is a table of 64-bit words, one
+   lookup a row, sized from the count; beyond ``MAX_FILTER_KEYS`` keys (64 MB of words)
+   there is none. It only spares work: rows it lets through are joined exactly.
+4. With repeated keys: the source is written once to the shared folder with a row
    number, and the target rows of repeated keys go another way. Per key and
    compare column the non-NULL values are counted, and per (key, column, value)
    too, each with the XOR of the row numbers. For a target value ``v`` the
@@ -28,17 +35,16 @@ Plan (no pair of rows sharing a key is ever materialised):
    in that column, and if that is one, the XOR of the two sums is its row number.
    A target row has more than one qualifying source row exactly if some column
    has two differing rows or two columns have different ones. The work is linear in
-   rows and compare columns.
-
-All joins are many-to-one equi-joins, so a hot key is split by AQE's skew handling,
-and all aggregates combine map-side.
+   rows and compare columns; all joins are many-to-one equi-joins, so a hot key is split
+   by AQE's skew handling, and all aggregates combine map-side.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keelson.functions.expressions import assert_that, changed
@@ -47,6 +53,9 @@ from keelson.session import work_dir
 ACTION = "action"
 INSERT, UPDATE, NOOP, KEEP = "INSERT", "UPDATE", "NOOP", "KEEP"
 
+HOT_ROWS = 1 << 20  # target rows of one key that are too many for a task
+MAX_HOT = 1000  # hot keys looked for; a key with fewer than a 10,000th of all rows isn't looked for
+MAX_FILTER_KEYS = 1 << 24
 MULTI_MATCH_ERROR = "MERGE must match at most one qualifying source row for each target row"
 
 
@@ -60,16 +69,16 @@ class MergeSpec:
 def merge_plan(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
     """Rows of the merged table (target column order) plus ``action``.
 
-    With repeated source keys the plan reads scratch folders under the shared
+    With repeated source keys, or a key filter, the plan reads scratch folders under the shared
     checkpoint folder; :func:`keelson.sinks.merge_into.merge_into` removes them
     once the merged table is written."""
     return plan_merge(target, source, spec, [])
 
 
-def plan_merge(target: DataFrame, source: DataFrame, spec: MergeSpec, scratch: list[str]) -> DataFrame:
+def plan_merge(target: DataFrame, source: DataFrame, spec: MergeSpec, scratch: list[str], facts: KeyFacts | None = None, max_filter_keys: int = MAX_FILTER_KEYS) -> DataFrame:
     """:func:`merge_plan`; adds the scratch folders it writes to ``scratch``.
 
-    Counts the source's keys eagerly; a NULL-key insert raises right away."""
+    Looks at the keys eagerly, unless given their facts; a NULL-key insert raises right away."""
     cols, k = target.columns, spec.key
     missing = set(cols) - set(source.columns)
     if missing:
@@ -81,23 +90,103 @@ def plan_merge(target: DataFrame, source: DataFrame, spec: MergeSpec, scratch: l
             raise ValueError(f"unknown column {c!r}")
 
     src = source.select(*cols)
-    per_key = src.groupBy(k).agg(F.count(F.lit(1)).alias("_n"))
-    null_key = F.col(k).isNull()
-    facts = per_key.agg(F.sum(F.when(null_key, F.col("_n"))).alias("nulls"), F.max(F.when(~null_key, F.col("_n"))).alias("most")).first()
-    if facts["nulls"]:
-        raise ValueError(f"NOT NULL constraint violated: {k} of an inserted row ({facts['nulls']} rows)")
-
-    if (facts["most"] or 0) <= 1:
-        matched = _single_matches(target, src, spec, cols)
-    else:
-        src = _scratch(src.withColumn("_sid", F.monotonically_increasing_id()), "merge-source", scratch)
-        repeated = src.groupBy(k).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(k)
-        repeated = _scratch(repeated, "merge-repeated", scratch)
-        exact = _exact_matches(target.join(repeated, k, "left_semi").select(*cols), src.join(repeated, k, "left_semi"), spec, cols)
-        single = _single_matches(target.join(repeated, k, "left_anti").select(*cols), src.join(repeated, k, "left_anti"), spec, cols)
-        matched = single.unionByName(exact)
-    inserts = src.join(target.select(k).distinct(), k, "left_anti").select(*cols, F.lit(INSERT).alias(ACTION))
-    return matched.unionByName(inserts)
+    facts = facts or key_facts(target, src, k)
+    if facts.source_nulls:
+        raise ValueError(f"NOT NULL constraint violated: {k} of an inserted row ({facts.source_nulls} rows)")
+    if facts.source_most <= 1:
+        filtered = 2 * facts.source_rows <= facts.target_rows and facts.source_rows <= max_filter_keys
+        if filtered:
+            src = _scratch(src, "merge-source", scratch)
+        return _merge_unique(target, src, spec, facts, filtered)
+    src = _scratch(src.withColumn("_sid", F.monotonically_increasing_id()), "merge-source", scratch)
+    repeated = src.groupBy(k).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(k)
+    repeated = _scratch(repeated, "merge-repeated", scratch)
+    exact = _exact_matches(target.join(repeated, k, "left_semi").select(*cols), src.join(repeated, k, "left_semi"), spec, cols)
+    single = _single_matches(target.join(repeated, k, "left_anti").select(*cols), src.join(repeated, k, "left_anti"), spec, cols)
+    inserts = src.join(target.select(k), k, "left_anti").select(*cols, F.lit(INSERT).alias(ACTION))
+    return single.unionByName(exact).unionByName(inserts)
+
+
+@dataclass(frozen=True)
+class KeyFacts:
+    source_rows: int
+    source_nulls: int
+    source_most: int  # rows of the source's most frequent key
+    target_rows: int
+    target_nulls: int
+    hot: tuple  # target keys with very many rows
+
+
+def key_facts(target: DataFrame, source: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> KeyFacts:
+    """What the merge needs to know of the keys; both sides are read at the same time."""
+
+    def of_source():
+        null = F.col(key).isNull()
+        rows = source.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        return rows.agg(F.sum("_n").alias("rows"), F.sum(F.when(null, F.col("_n"))).alias("nulls"), F.max(F.when(~null, F.col("_n"))).alias("most")).first()
+
+    def of_target():
+        sketch = F.expr(f"approx_top_k(`{key}`, {MAX_HOT}, {10 * MAX_HOT})")
+        return target.select(key).agg(F.count(F.lit(1)).alias("rows"), F.count(key).alias("keyed"), sketch.alias("top")).first()
+
+    with ThreadPoolExecutor(2) as pool:
+        s, t = pool.submit(of_source), pool.submit(of_target)
+        s, t = s.result(), t.result()
+    hot = tuple(r["item"] for r in t["top"] or [] if r["item"] is not None and r["count"] >= hot_rows)
+    return KeyFacts(s["rows"] or 0, s["nulls"] or 0, s["most"] or 0, t["rows"], t["rows"] - t["keyed"], hot)
+
+
+def _key_words(src: DataFrame, key: str, n_keys: int) -> tuple[DataFrame, Column, Column]:
+    """(the words of a Bloom filter of the keys, a key's word, a key's bits): 16 bits a
+    key, four of them set, all in one word."""
+    n_words = 1 << max(0, (max(1, n_keys) - 1).bit_length() - 2)
+    h = F.xxhash64(key)
+    word = h.bitwiseAND(n_words - 1)
+    bits = F.lit(0).cast("long")
+    for shift in (24, 30, 36, 42):
+        place = F.shiftrightunsigned(h, shift).bitwiseAND(63).cast("int")
+        bits = bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), place))
+    words = src.select(word.alias("_word"), bits.alias("_bits")).groupBy("_word").agg(F.bit_or("_bits").alias("_bits"))
+    return words, word, bits
+
+
+def _merge_unique(target: DataFrame, src: DataFrame, spec: MergeSpec, facts: KeyFacts, filtered: bool) -> DataFrame:
+    """The merge with at most one source row a key."""
+    cols, k = target.columns, spec.key
+    parts = []
+
+    def keep(rows: DataFrame) -> None:
+        parts.append(rows.select(*cols, F.lit(KEEP).alias(ACTION)))
+
+    if facts.target_nulls:
+        keep(target.where(F.col(k).isNull()))
+        target = target.where(F.col(k).isNotNull())
+    if facts.hot:
+        # at most one source row a hot key; a hot key is matched, so none is inserted here
+        is_hot = F.col(k).isin(list(facts.hot))
+        parts.append(_single_matches(target.where(is_hot), F.broadcast(src.where(is_hot)), spec, cols))
+        target, src = target.where(~is_hot), src.where(~is_hot)
+    if filtered:
+        words, word, bits = _key_words(src, k, facts.source_rows)
+        probed = target.join(F.broadcast(words), word == F.col("_word"), "left")
+        may_match = F.coalesce(F.col("_bits").bitwiseAND(bits) == bits, F.lit(False))
+        keep(probed.where(~may_match))
+        target = probed.where(may_match).select(*cols)
+    out = _outer_matches(target, src, spec, cols)
+    for p in parts:
+        out = out.unionByName(p)
+    return out
+
+
+def _outer_matches(target: DataFrame, src: DataFrame, spec: MergeSpec, cols: list[str]) -> DataFrame:
+    """Target rows with a key against at most one source row a key, and the source rows left over."""
+    s = src.select(*[F.col(c).alias(f"_s_{c}") for c in cols])
+    rows = target.withColumn("_t", F.lit(True)).join(s, target[spec.key] == s[f"_s_{spec.key}"], "full_outer")
+    change = changed([F.col(c) for c in spec.compare], [F.col(f"_s_{c}") for c in spec.compare])
+    action = F.when(F.col("_t").isNull(), INSERT).when(F.col(f"_s_{spec.key}").isNull(), KEEP).when(change, UPDATE).otherwise(NOOP)
+    rows = rows.withColumn(ACTION, action)
+    new, old = F.col(ACTION) == INSERT, F.col(ACTION).isin(INSERT, UPDATE)
+    return rows.select(*[F.when(old if c in spec.update else new, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) for c in cols], ACTION)
 
 
 def _scratch(df: DataFrame, label: str, scratch: list[str]) -> DataFrame:

@@ -16,10 +16,19 @@ from pyspark.sql import functions as F
 
 from keelson.operators.merge import ACTION, INSERT, UPDATE, MergeSpec, plan_merge
 from keelson.sinks import fs, tables
+from keelson.sinks.retire import KEEP_SECONDS, replaced
 
 ACTIONS = ("INSERT", "UPDATE", "NOOP", "KEEP")
 
 
+def action_metrics() -> list:
+    """``affected_rows`` (inserted and updated) and a count per action."""
+    return [
+        F.sum(F.when(F.col(ACTION).isin(INSERT, UPDATE), 1).otherwise(0)).alias("affected_rows"),
+        *[F.sum(F.when(F.col(ACTION) == a, 1).otherwise(0)).alias(a.lower()) for a in ACTIONS],
+    ]
+
+
 def merge_into(
     spark: SparkSession,
     table: str,
@@ -27,18 +36,16 @@ def merge_into(
     spec: MergeSpec,
     location: str | None = None,
     remove_previous: bool = False,
+    keep_seconds: float = KEEP_SECONDS,
 ) -> dict:
     """Merge ``source`` into the catalog table ``table``; returns the observed
     counts: ``rows`` written, ``affected_rows`` (inserted + updated) and one
     count per action. ``location`` is the folder for the new version
-    (default: a new sibling of the table's current folder). With
-    ``remove_previous`` the folder of the replaced version is deleted after
-    the switch (off by default: running readers may still use it)."""
+    (default: a new sibling of the table's current folder). The folder of the
+    replaced version is kept for ``keep_seconds``, as running readers may still use it,
+    and removed by a later merge; with ``remove_previous`` it is deleted at once."""
     fields = spark.table(table).schema.fields
-    metrics = [
-        F.sum(F.when(F.col(ACTION).isin(INSERT, UPDATE), 1).otherwise(0)).alias("affected_rows"),
-        *[F.sum(F.when(F.col(ACTION) == a, 1).otherwise(0)).alias(a.lower()) for a in ACTIONS],
-    ]
+    metrics = action_metrics()
     previous = tables.table_location(spark, table).rstrip("/")
     if location is None:
         location = f"{previous.rsplit('/', 1)[0]}/v-{uuid.uuid4().hex[:12]}"
@@ -50,6 +57,5 @@ def merge_into(
     finally:
         for path in scratch:
             fs.delete(spark, path)
-    if remove_previous:
-        fs.delete(spark, previous)
+    replaced(spark, previous, 0 if remove_previous else keep_seconds)
     return {k: int(v or 0) for k, v in out.items()}

@@ -240,14 +240,14 @@ def test_external_parquet_table_replaces_a_managed_table(spark):
     assert spark.table(name).count() == 8
 
 
-def test_replace_contents_writes_aside_and_repoints(spark):
+def test_swap_writes_aside_and_repoints(spark):
     wh = jobs.Warehouse.create(spark, work_dir(spark, "t-wh"))
     name = wh.name("t_replace")
     tables.create_table_if_not_exists(spark, name, txn_df(spark, FIRST_COMMIT).schema, path=f"{wh.root}/rep/v0")
     tables.insert_append(txn_df(spark, FIRST_COMMIT), name)
     before = tables.table_location(spark, name)
     grown = spark.table(name).unionByName(txn_df(spark, SECOND_COMMIT))  # reads the table it replaces
-    m = tables.replace_contents(grown, name, f"{wh.root}/rep/v1")
+    m = tables.write_observed_and_swap(grown, None, name, f"{wh.root}/rep/v1", [])
     assert m["rows"] == 8 and spark.table(name).count() == 8
     assert tables.table_location(spark, name) != before
 
@@ -265,7 +265,7 @@ def test_inline_rows_quote_nulls_and_types(spark):
     assert got[0]["ts"] == dt.datetime(2024, 1, 2, 3, 4, 5)
 
 
-def test_full_refresh_keeps_labels_and_removes_the_old_folder(spark):
+def test_full_refresh_keeps_labels_and_retires_the_old_folder(spark):
     from keelson.sinks import fs
 
     wh = jobs.Warehouse.create(spark, work_dir(spark, "t-wh"))
@@ -275,6 +275,8 @@ def test_full_refresh_keeps_labels_and_removes_the_old_folder(spark):
     before = tables.table_location(spark, name)
     assert tables.full_refresh(txn_df(spark, SECOND_COMMIT), name) == 3
     assert spark.table(name).count() == 3 and labels.current_labels(spark, name) == {"environment": "dev"}
+    assert fs.exists(spark, before)
+    tables.full_refresh(txn_df(spark, SECOND_COMMIT), name, keep_seconds=0)
     assert not fs.exists(spark, before)
 
 
