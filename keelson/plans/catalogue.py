@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 
 from keelson import schemas
 from keelson.functions import expressions as X
-from keelson.operators import checks, summary
+from keelson.operators import checks, rollup, summary
 from keelson.operators.enrich import enrich_left_join, merge_source
 from keelson.operators.merge import ACTION, INSERT, KEEP, NOOP, UPDATE, action_counts, change_flags, merge_plan
 from keelson.plans import jobs
 from keelson.session import work_dir
-from keelson.sinks import tables
+from keelson.sinks import bucketed, publish, tables
 from keelson.sinks import versions as version_sink
+from keelson.sinks.merge_partitions import merge_into_partitions
 from keelson.sources import external, versions
 from keelson.sources import driver_tables as D
 
@@ -110,6 +111,34 @@ def merge_affected_rows(spark, sf):
     return spark.createDataFrame([(int(m["affected_rows"]),)], "affected_rows bigint")
 
 
+def merge_delta(spark, sf):
+    """A small source, the staged transactions that are pending: target rows that its key
+    filter rules out are kept without a shuffle."""
+    src = merge_source(D.staging(spark, sf), D.known_customers(spark, sf), D.MERGE_AS_OF)
+    return merge_plan(D.existing_target(spark, sf), src.where(F.col("status") == "pending"), jobs.FINAL_MERGE)
+
+
+def merge_partitioned(spark, sf):
+    """The merge into a table partitioned by quarter: only quarters with a change are rewritten."""
+    quarter = F.concat(F.year("transaction_date"), F.lit("Q"), F.quarter("transaction_date"))
+    target = D.existing_target(spark, sf).withColumn("quarter", quarter)
+    wh = jobs.Warehouse.create(spark, work_dir(spark, "partitioned"))
+    name = wh.name(wh.final)
+    tables.create_table_if_not_exists(spark, name, target.schema, path=f"{wh.root}/final", partitioned_by=["quarter"])
+    tables.insert_append(target.hint("rebalance", "quarter"), name, schemas.required(schemas.FINAL_TABLE))
+    merge_into_partitions(spark, name, _src(spark, sf).withColumn("quarter", quarter), jobs.FINAL_MERGE)
+    return spark.table(name).select(*D.FINAL_COLUMNS)
+
+
+def merge_bucketed(spark, sf):
+    """Staging and target bucketed by the merge key, the master by its own."""
+    wh = jobs.Warehouse.create(spark, work_dir(spark, "bucketed"))
+    jobs.stage_bucketed(spark, wh, D.merge_staging(spark, sf), D.known_customers(spark, sf))
+    bucketed.replace_rows(D.existing_target(spark, sf), wh.name(wh.final))
+    jobs.merge_bucketed(spark, wh, D.MERGE_AS_OF)
+    return spark.table(wh.name(wh.final))
+
+
 # -- enrichment, projections, predicates (J1, P1-P5, F2, C1, C2) ------------------
 def merge_source_q(spark, sf):
     return merge_source(D.staging(spark, sf), D.known_customers(spark, sf), D.MERGE_AS_OF)
@@ -180,6 +209,16 @@ def sample_rows(spark, sf):
     return summary.sample_rows(D.staging(spark, sf), 10, ["transaction_id"])
 
 
+def summary_by_version(spark, sf):
+    """A2 kept up by version: an overwrite, summed up, then a second one and an append."""
+    path = work_dir(spark, "lake")
+    version_sink.commit_overwrite(D.staging(spark, sf, where=_odd(F.col("o_orderkey"))), path)
+    rollup.catch_up(spark, path, jobs.STATUS_ROLLUP)
+    version_sink.commit_overwrite(D.staging(spark, sf, where=_even(F.col("o_orderkey"))), path)
+    version_sink.commit_append(D.staging(spark, sf, where=_odd(F.col("o_orderkey"))), path)
+    return rollup.summary(spark, path, jobs.STATUS_ROLLUP).select("status", "total", F.col("sum_amount").alias("total_amount"))
+
+
 # -- writes (K3, K4, K6, K7) ------------------------------------------------------
 def seed_if_empty(spark, sf):
     wh = jobs.Warehouse.create(spark, work_dir(spark, "seed"))
@@ -215,6 +254,14 @@ def snapshot_export(spark, sf):
     return spark.read.parquet(folder)
 
 
+def export_range_scan(spark, sf):
+    """A sorted export, scanned for one year."""
+    folder = work_dir(spark, "export")
+    tables.export_sorted(D.staging(spark, sf), folder, "transaction_date", rows_per_file=20_000)
+    view = external.parquet_view(spark, "transactions_sorted", folder)
+    return view.where(F.col("transaction_date").between("1995-01-01", "1995-12-31"))
+
+
 def external_parquet_scan(spark, sf):
     folder = work_dir(spark, "export")
     tables.export_snapshot(D.staging(spark, sf), folder)
@@ -263,6 +310,18 @@ def external_lake_scan(spark, sf):
     return external.lake_view(spark, "transactions_lake", _two_commits(spark, sf))
 
 
+def external_lake_catalog(spark, sf):
+    """The live commits as catalog partitions, published after each commit."""
+    wh = jobs.Warehouse.create(spark, work_dir(spark, "published"))
+    path, view = work_dir(spark, "lake"), wh.name("transactions")
+    version_sink.commit_overwrite(D.staging(spark, sf, where=_odd(F.col("o_orderkey"))).drop("status"), path)
+    publish.publish(spark, view, path)
+    version_sink.commit_overwrite(D.staging(spark, sf, where=_even(F.col("o_orderkey"))), path)
+    publish.publish(spark, view, path)
+    version_sink.commit_append(D.staging(spark, sf, where=_odd(F.col("o_orderkey"))), path)
+    return publish.published(spark, view, path)
+
+
 def union_versions(spark, sf):
     path = _two_commits(spark, sf)
     return summary.union_versions(versions.versions(spark, path, 0, 0), versions.versions(spark, path, 1, 1))
@@ -339,6 +398,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_noop": _by_action(NOOP),
     "merge_kept": _by_action(KEEP),
     "merge_duplicate_keys": merge_duplicate_keys,
+    "merge_delta": merge_delta,
+    "merge_partitioned": merge_partitioned,
+    "merge_bucketed": merge_bucketed,
     "merge_action_counts": merge_action_counts,
     "merge_affected_rows": merge_affected_rows,
     "merge_source": merge_source_q,
@@ -352,18 +414,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pk_duplicates": pk_duplicates,
     "status_summary": status_summary,
     "status_totals": status_totals,
+    "summary_by_version": summary_by_version,
     "row_count": row_count,
     "sample_rows": sample_rows,
     "seed_if_empty": seed_if_empty,
     "insert_append": insert_append,
     "staging_full_refresh": staging_full_refresh,
     "snapshot_export": snapshot_export,
+    "export_range_scan": export_range_scan,
     "external_parquet_scan": external_parquet_scan,
     "external_table_refresh": external_table_refresh,
     "commit_append": commit_append,
     "snapshot_latest": snapshot_latest,
     "commit_overwrite": commit_overwrite,
     "external_lake_scan": external_lake_scan,
+    "external_lake_catalog": external_lake_catalog,
     "union_versions": union_versions,
     "version_from_name": version_from_name,
     "path_basename": path_basename,

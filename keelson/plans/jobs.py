@@ -14,9 +14,10 @@ from keelson import schemas
 from keelson.functions.expressions import azure_blob_uri
 from keelson.operators.enrich import merge_source
 from keelson.operators.merge import MergeSpec
+from keelson.operators.rollup import Rollup
 from keelson.operators.summary import status_summary
 from keelson.sinks import labels as label_sink
-from keelson.sinks import tables
+from keelson.sinks import bucketed, tables
 from keelson.sinks import versions as version_sink
 from keelson.sinks.merge_into import merge_into
 from keelson.sources import external, versions
@@ -27,6 +28,8 @@ FINAL_MERGE = MergeSpec(
     update=("customer_name", "country", "amount", "status", "last_updated"),
 )
 
+STATUS_ROLLUP = Rollup("by_status", by=("status",), sums=("amount",))
+
 
 # -- B1 ----------------------------------------------------------------------
 def snapshot_folder_for(snapshot_root: str, version: int) -> str:
@@ -134,6 +137,26 @@ def merge_into_final(spark: SparkSession, wh: Warehouse, as_of: dt.datetime | No
     return merge_into(spark, wh.name(wh.final), source, spec, location=f"{wh.root}/{wh.final}/v-{uuid.uuid4().hex[:12]}")
 
 
+# -- B4 over co-located tables -----------------------------------------------------
+def stage_bucketed(spark: SparkSession, wh: Warehouse, staged: DataFrame, master: DataFrame, buckets: int = 8, env: str = "dev") -> int:
+    """Staging and target bucketed by the merge key, the master by the key of its join;
+    returns the rows staged. ``buckets`` is for the largest table (see
+    :mod:`keelson.sinks.bucketed`)."""
+    labels = label_sink.label_properties(label_sink.standard_labels(env))
+    rows = bucketed.full_refresh_bucketed(staged, wh.name(wh.staging), FINAL_MERGE.key, buckets)
+    bucketed.full_refresh_bucketed(master, wh.name(wh.customers), "customer_id", buckets)
+    bucketed.create_bucketed_table(spark, wh.name(wh.final), schemas.FINAL_TABLE, FINAL_MERGE.key, buckets, f"{wh.root}/{wh.final}/v-{uuid.uuid4().hex[:12]}", labels)
+    return rows
+
+
+def merge_bucketed(spark: SparkSession, wh: Warehouse, as_of: dt.datetime | None = None) -> dict:
+    """The merge step over bucketed tables: the staged rows keep their buckets where the
+    master is broadcast, and meet the target without an exchange. A master
+    too large for that is joined by its own buckets, and only the staged rows move."""
+    source = merge_source(spark.table(wh.name(wh.staging)), spark.table(wh.name(wh.customers)), as_of)
+    return bucketed.merge_into_bucketed(spark, wh.name(wh.final), source, FINAL_MERGE)
+
+
 def final_summary(spark: SparkSession, wh: Warehouse) -> DataFrame:
     """The verification query over the final table (A1)."""
     return status_summary(spark.table(wh.name(wh.final)))

@@ -142,6 +142,25 @@ FROM src2 s WHERE NOT EXISTS (SELECT 1 FROM tgt2 WHERE tgt2.transaction_id = s.t
 """
 
 
+# The merge of the pending source rows, by correlated lookups on unique keys.
+DELTA_MERGE = CTE.rstrip() + """, delta AS (
+  SELECT *, 1 AS present FROM src_all WHERE status = 'pending'
+), j AS (
+  SELECT t.*, d.present AS hit, d.customer_name AS d_name, d.country AS d_country, d.amount AS d_amount, d.status AS d_status, d.last_updated AS d_ts,
+         coalesce(t.status <> d.status OR t.customer_name <> d.customer_name OR t.amount <> d.amount, false) AS chg
+  FROM tgt t LEFT JOIN delta d ON t.transaction_id = d.transaction_id
+)
+SELECT transaction_id, customer_id, CASE WHEN chg THEN d_name ELSE customer_name END AS customer_name,
+       CASE WHEN chg THEN d_country ELSE country END AS country, CASE WHEN chg THEN d_amount ELSE amount END AS amount, transaction_date,
+       CASE WHEN chg THEN d_status ELSE status END AS status, CASE WHEN chg THEN d_ts ELSE last_updated END AS last_updated,
+       CASE WHEN hit IS NULL THEN 'KEEP' WHEN chg THEN 'UPDATE' ELSE 'NOOP' END AS action
+FROM j
+UNION ALL
+SELECT transaction_id, customer_id, customer_name, country, amount, transaction_date, status, last_updated, 'INSERT'
+FROM delta WHERE transaction_id NOT IN (SELECT transaction_id FROM tgt)
+"""
+
+
 def _q(body: str) -> str:
     return CTE + body
 
@@ -153,6 +172,9 @@ ORACLE_SQL: dict[str, str] = {
     "merge_noop": _q(f"SELECT {FINAL_COLS} FROM merged WHERE action = 'NOOP'"),
     "merge_kept": _q(f"SELECT {FINAL_COLS} FROM merged WHERE action = 'KEEP'"),
     "merge_duplicate_keys": DUP_MERGE,
+    "merge_delta": DELTA_MERGE,
+    "merge_partitioned": _q(f"SELECT {FINAL_COLS} FROM merged"),
+    "merge_bucketed": _q(f"SELECT {FINAL_COLS} FROM merged"),
     "merge_action_counts": _q("SELECT action, COUNT(*) AS rows FROM merged GROUP BY action"),
     "merge_affected_rows": _q("SELECT COUNT(*) AS affected_rows FROM merged WHERE action IN ('INSERT', 'UPDATE')"),
     "merge_source": _q("SELECT * FROM src_all"),
@@ -180,6 +202,7 @@ ORACLE_SQL: dict[str, str] = {
         "FROM merged GROUP BY status ORDER BY total_records DESC, status"
     ),
     "status_totals": _q("SELECT status, COUNT(*) AS total, SUM(amount) AS total_amount FROM merged GROUP BY status"),
+    "summary_by_version": _q("SELECT status, COUNT(*) AS total, SUM(CAST(amount AS DECIMAL(38,9))) AS total_amount FROM stg GROUP BY status"),
     "row_count": _q(
         "SELECT 'orders' AS table_name, COUNT(*) AS row_count FROM orders "
         "UNION ALL SELECT 'customer', COUNT(*) FROM customer "
@@ -193,12 +216,14 @@ ORACLE_SQL: dict[str, str] = {
     "insert_append": _q("SELECT * FROM cust UNION ALL SELECT * FROM cust"),
     "staging_full_refresh": _q("SELECT * FROM stg"),
     "snapshot_export": _q("SELECT * FROM stg"),
+    "export_range_scan": _q("SELECT * FROM stg WHERE transaction_date BETWEEN '1995-01-01' AND '1995-12-31'"),
     "external_parquet_scan": _q("SELECT * FROM stg"),
     "external_table_refresh": _q("SELECT * FROM stg"),
     "commit_append": _q("SELECT * FROM stg"),
     "snapshot_latest": _q("SELECT * FROM stg"),
     "commit_overwrite": _q("SELECT * FROM stg_odd"),
     "external_lake_scan": _q("SELECT * FROM stg"),
+    "external_lake_catalog": _q("SELECT * FROM stg"),
     "union_versions": _q("SELECT * FROM stg_even UNION ALL SELECT * FROM stg_odd"),
     "version_from_name": (
         "SELECT name, CASE WHEN regexp_matches(name, '^([0-9]{20})\\.json$') "

@@ -54,11 +54,16 @@ def schema_of(spark: SparkSession, path: str, version: int) -> T.StructType:
     return spark.read.parquet(f"{rows_path(path)}/{VERSION}={version}").schema
 
 
+def with_version(spark: SparkSession, path: str, first: int) -> DataFrame:
+    """Rows of all commits with their ``commit_version``, as the columns of version ``first``."""
+    schema = schema_of(spark, path, first)
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField(VERSION, T.LongType())])).parquet(rows_path(path))
+
+
 def versions(spark: SparkSession, path: str, first: int, last: int) -> DataFrame:
     """Rows of the commits ``first`` to ``last``, by partition pruning."""
-    schema = schema_of(spark, path, first)
-    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField(VERSION, T.LongType())])).parquet(rows_path(path))
-    return rows.where(F.col(VERSION).between(first, last)).select(*schema.names)
+    rows = with_version(spark, path, first)
+    return rows.where(F.col(VERSION).between(first, last)).drop(VERSION)
 
 
 def snapshot_state(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
