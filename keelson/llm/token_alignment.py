@@ -33,10 +33,10 @@ a document. An empty table gives an empty result. Only the columns named are rea
 from __future__ import annotations
 
 import hashlib
-import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,11 +48,14 @@ from keelson.session import materialise
 
 TOKENIZERS = "/opt/tokenizers"
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
+SPECIAL = ("<|endoftext|>",)  # A's special tokens: text that reads like one is ordinary text
+# Fixed value: how a byte-level vocabulary of this kind cuts text into words.
+A_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SLICE_BYTES = 1 << 20
 BLOCK_BYTES = 16 << 20  # text of a block, about
 BLOCK_DOCS = 1 << 16  # a document's number in its block has 16 bits
 PAGE = 1 << 21  # postings of a block's page, and of a block, about
-MAX_TYPES = 150_000  # text pieces that a task remembers, and their links
+MAX_TYPES = 300_000  # text pieces that a task remembers, and their links
 MAX_LINKS = 3_000_000
 _CUT = re.compile(r"(?<=[^\s▁])(?= )")
 _SHIFT = 16  # bits of a document's number, and of a B id
@@ -70,15 +73,21 @@ class Tokenizers:
     """Both tokenizers, the bytes of each of their ids, and their ids in decimal."""
 
     def __init__(self, folder: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import json
+
         import sentencepiece
-        from tokenizers import Tokenizer
+        import tiktoken
 
-        self.a = Tokenizer.from_file(f"{folder}/{A_FILE}")
-        self.a.encode_special_tokens = True
+        with open(f"{folder}/{A_FILE}", encoding="utf-8") as f:
+            model = json.load(f)["model"]
         self.b = sentencepiece.SentencePieceProcessor(model_file=f"{folder}/{B_FILE}")
         letters = _byte_of_letter()
-        self.a_bytes = {i: bytes(letters[c] for c in t) for t, i in self.a.get_vocab(with_added_tokens=False).items()}
+        merged = {"".join(m) if isinstance(m, list) else m.replace(" ", ""): n for n, m in enumerate(model["merges"])}
+        # A merges by rank, and its ids are the ranks: every token is a letter or the next merge
+        if any(len(t) > 1 and t not in merged for t in model["vocab"] if t not in SPECIAL) or any(model["vocab"][t] != n + 256 for t, n in merged.items()):
+            raise ValueError(f"{A_FILE}: ids aren't in the order of the merges")
+        self.a_bytes = {i: bytes(letters[c] for c in t) for t, i in model["vocab"].items() if t not in SPECIAL}
+        self.a = tiktoken.Encoding("a", pat_str=A_PATTERN, mergeable_ranks={b: i for i, b in self.a_bytes.items()}, special_tokens={})
         self.b_bytes = {}
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
@@ -86,10 +95,18 @@ class Tokenizers:
         if len(self.b_bytes) > 1 << _SHIFT:
             raise ValueError("ids of the second tokenizer must fit 16 bits")
         self.lone_space = self.b.encode("a ")[len(self.b.encode("a")) :]
+        self.n_a = 1 + max(self.a_bytes)
+        n_b = len(self.b_bytes)
+        self.a_list = [self.a_bytes.get(i, b"") for i in range(self.n_a)]
+        self.b_list = [self.b_bytes[i] for i in range(n_b)]
+        self.a_size, self.b_size = (np.array([len(x) for x in each], np.int64) for each in (self.a_list, self.b_list))
+        # decimal ids followed by what separates them: A , | then B , ; and a line end after a piece
+        self.shown = [b"%d%s" % (i, end) for n, ends in ((self.n_a, (b",", b"|")), (n_b, (b",", b";", b"\n"))) for end in ends for i in range(n)]
 
     def encode(self, pieces: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of A and B of each piece; a piece starts with a space."""
-        a = [e.ids for e in self.a.encode_batch_fast(pieces, add_special_tokens=False)]
+        encode = self.a.encode_ordinary
+        a = [encode(p) for p in pieces]
         b = self.b.encode([p[1:] for p in pieces], num_threads=1)
         return a, [self.lone_space if p == " " else ids for p, ids in zip(pieces, b)]
 
@@ -103,30 +120,19 @@ def tokenizers(folder: str = TOKENIZERS) -> Tokenizers:
     return _loaded[folder]
 
 
-def groups_of(a_ids: list[int], b_ids: list[int], a_bytes: dict[int, bytes], b_bytes: dict[int, bytes]) -> list[tuple[list[int], list[int]]]:
-    """Groups of two token sequences over the same bytes, cut where tokens of both end."""
-    out = []
-    i = j = start_i = start_j = a_end = b_end = 0
-    while i < len(a_ids) or j < len(b_ids):
-        if j == len(b_ids) or (i < len(a_ids) and a_end <= b_end):
-            a_end += len(a_bytes[a_ids[i]])
-            i += 1
-        else:
-            b_end += len(b_bytes[b_ids[j]])
-            j += 1
-        if a_end == b_end and i > start_i and j > start_j:
-            out.append((a_ids[start_i:i], b_ids[start_j:j]))
-            start_i, start_j = i, j
-    return out
-
-
-def group_links(a_ids: list[int], b_ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
+def group_links(a_ids: np.ndarray, b_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(packed pairs, their link counts) of one group."""
-    a, n_a = np.unique(np.array(a_ids, np.int64), return_counts=True)
-    b, n_b = np.unique(np.array(b_ids, np.int64), return_counts=True)
+    a, n_a = np.unique(a_ids, return_counts=True)
+    b, n_b = np.unique(b_ids, return_counts=True)
     return ((a << _SHIFT)[:, None] | b[None]).ravel(), (n_a[:, None] * n_b[None]).ravel()
 
 
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, ... (sizes[0] numbers), then those of the next start."""
+    before = np.cumsum(sizes) - sizes
+    return np.arange(int(sizes.sum())) + np.repeat(starts - before, sizes)
+
+
 class Pieces:
     """Tokenized text pieces by number: their figures, written groups and links."""
 
@@ -137,36 +143,82 @@ class Pieces:
     def clear(self) -> None:
         self.number: dict[str, int] = {}
         self.written: list[bytes] = []
-        self.figures: list[tuple[int, int, int, int, bool]] = []  # n_a, n_b, n_groups, n_links, joined bytes fit
-        self.pairs: list[np.ndarray] = []
-        self.links: list[np.ndarray] = []
-        self.n_links = 0
+        self.figures = np.zeros((0, 5), np.int64)  # n_a, n_b, n_groups, n_links, whether the joined bytes fit
+        self.starts = np.zeros(1, np.int64)  # of each piece's links
+        self.pairs = np.zeros(0, np.int64)
+        self.links = np.zeros(0, np.int64)
 
     def add(self, pieces: list[str]) -> None:
-        tok = self.tok
-        for piece, a, b in zip(pieces, *tok.encode(pieces)):
-            raw = piece.encode("utf-8")
-            fits = b"".join([tok.a_bytes.get(i, b"") for i in a]) == raw and b"".join([tok.b_bytes[i] for i in b]) == raw
-            pairs, links, written, n = np.zeros(0, np.int64), np.zeros(0, np.int64), b"", 0
-            groups = groups_of(a, b, tok.a_bytes, tok.b_bytes) if fits else []
-            if groups:
-                if all(len(x) == 1 == len(y) for x, y in groups):
-                    found = [(x[0] << _SHIFT | y[0], 1) for x, y in groups]
-                elif all(len(x) * len(y) <= 16 for x, y in groups):
-                    found = [(p << _SHIFT | q, 1) for x, y in groups for p in x for q in y]
-                else:
-                    each = [group_links(x, y) for x, y in groups]
-                    found = np.stack([np.concatenate([e[0] for e in each]), np.concatenate([e[1] for e in each])], axis=1)
-                found = np.asarray(found, np.int64)
-                pairs, links = _added(found[:, 0], found[:, 1])
-                n = sum(len(x) * len(y) for x, y in groups)
-                written = ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups).encode("ascii")
-            self.number[piece] = len(self.written)
-            self.written.append(written)
-            self.figures.append((len(a), len(b), len(groups), n, fits))
-            self.pairs.append(pairs)
-            self.links.append(links)
-            self.n_links += len(pairs)
+        """Tokenize new pieces, a few thousand at a time."""
+        found = [self._read(pieces[s : s + 4096]) for s in range(0, len(pieces), 4096)]
+        for p in pieces:
+            self.number[p] = len(self.number)
+        for f in found:
+            self.written += f[1]
+        self.figures = np.concatenate([self.figures, *[f[0] for f in found]])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate([f[2] for f in found]))])
+        self.pairs = np.concatenate([self.pairs, *[f[3] for f in found]])
+        self.links = np.concatenate([self.links, *[f[4] for f in found]])
+
+    def links_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(how many pairs each of the pieces has, the pairs, their links)."""
+        sizes = self.starts[numbers + 1] - self.starts[numbers]
+        at = _ranges(self.starts[numbers], sizes)
+        return sizes, self.pairs[at], self.links[at]
+
+    def _read(self, pieces: list[str]) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+        """(figures, written groups, number of pairs, pairs, links) of pieces."""
+        tok, n = self.tok, len(pieces)
+        a_ids, b_ids = tok.encode(pieces)
+        raw = [p.encode("utf-8") for p in pieces]
+        fits = np.ones(n, bool)
+        for ids, table, size in ((a_ids, tok.a_list, tok.a_size), (b_ids, tok.b_list, tok.b_size)):
+            flat = list(chain.from_iterable(ids))
+            ends = np.concatenate(([0], np.cumsum(size[flat] if flat else [], dtype=np.int64)))[np.cumsum([len(x) for x in ids])]
+            if b"".join([table[t] for t in flat]) != b"".join(raw) or (ends != np.cumsum([len(r) for r in raw])).any():
+                fits &= [b"".join([table[t] for t in x]) == r for x, r in zip(ids, raw)]
+        if not fits.all():
+            a_ids, b_ids, raw = ([x if fit else [] for x, fit in zip(each, fits)] for each in (a_ids, b_ids, raw))
+        n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (a_ids, b_ids))
+        a, b = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (a_ids, b_ids))
+        a_end, b_end = np.cumsum(tok.a_size[a]), np.cumsum(tok.b_size[b])
+        # a group ends where tokens of both end; all pieces lie one after another
+        ends = np.intersect1d(a_end, b_end, assume_unique=True)
+        a_first, b_first = (np.concatenate(([0], np.searchsorted(e, ends, side="right"))) for e in (a_end, b_end))
+        p, q = np.diff(a_first), np.diff(b_first)
+        piece_end = np.cumsum([len(r) for r in raw])
+        of = np.searchsorted(piece_end, ends)  # the piece of each group
+        n_groups, n_links = np.bincount(of, minlength=n), np.zeros(n, np.int64)
+        np.add.at(n_links, of, p * q)
+
+        few = p * q <= 64
+        sizes = np.where(few, p * q, 0)
+        inner = _ranges(np.zeros(len(p), np.int64), sizes)
+        width = np.repeat(q, sizes)
+        pairs = a[np.repeat(a_first[:-1], sizes) + inner // np.maximum(width, 1)] << _SHIFT | b[np.repeat(b_first[:-1], sizes) + inner % np.maximum(width, 1)]
+        keys, links = [np.repeat(of, sizes) << 32 | pairs], [np.ones(len(pairs), np.int64)]
+        for g in np.flatnonzero(~few).tolist():
+            many, times = group_links(a[a_first[g] : a_first[g + 1]], b[b_first[g] : b_first[g + 1]])
+            keys.append(of[g] << 32 | many)
+            links.append(times)
+        key, link = _added(np.concatenate(keys), np.concatenate(links))
+
+        # A's tokens, then B's, of one group after another, each with what follows it
+        n_tokens, last = len(a) + len(b), np.zeros(len(ends), bool)
+        last[np.flatnonzero(np.diff(of, append=n))] = True
+        a_group, b_group = np.repeat(np.arange(len(p)), p), np.repeat(np.arange(len(q)), q)
+        a_ends, b_ends = np.zeros(len(a), bool), np.zeros(len(b), bool)
+        a_ends[a_first[1:] - 1] = True
+        b_ends[b_first[1:] - 1] = True
+        codes = np.zeros(n_tokens, np.int64)
+        codes[np.arange(len(a)) + b_first[a_group]] = a + a_ends * tok.n_a
+        codes[np.arange(len(b)) + a_first[b_group + 1]] = b + 2 * tok.n_a + b_ends * (1 + last[b_group]) * len(tok.b_list)
+        lines = b"".join([tok.shown[c] for c in codes.tolist()]).split(b"\n")
+        written = [b""] * n
+        for i, line in zip(np.flatnonzero(n_groups).tolist(), lines):
+            written[i] = line
+        figures = np.stack([n_a, n_b, n_groups, n_links, fits], axis=1).astype(np.int64)
+        return figures, written, np.bincount(key >> 32, minlength=n), key & 0xFFFFFFFF, link
 
 
 def _added(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -286,30 +338,25 @@ class Block:
 def tokenized(texts: list[str], known: Pieces) -> tuple[list[tuple], np.ndarray, np.ndarray]:
     """(n_a, n_b, n_groups, n_links, groups_sha256) of each text, and their postings:
     packed (pair, text number), sorted, with link counts."""
-    own, types, at = [], [], [0]
     pieces = [_CUT.split(" " + t) if t else [] for t in texts]
     new = list(dict.fromkeys(p for ps in pieces for p in ps if p not in known.number))
-    for s in range(0, len(new), 4096):
-        known.add(new[s : s + 4096])
-    for ps in pieces:
-        mine = [known.number[p] for p in ps]
-        figures = [known.figures[i] for i in mine]
-        if not mine or not all(f[4] for f in figures):
-            own.append((0, 0, 0, 0, ""))
-        else:
-            digest = hashlib.sha256(b";".join([known.written[i] for i in mine])).hexdigest()
-            own.append((*np.array([f[:4] for f in figures], np.int64).sum(axis=0).tolist(), digest))
-            types += mine
-        at.append(len(types))
+    if new:
+        known.add(new)
+    number = known.number
+    types = np.array([number[p] for ps in pieces for p in ps], np.int64)
+    at = np.concatenate(([0], np.cumsum([len(ps) for ps in pieces])))
+    before = np.concatenate((np.zeros((1, 5), np.int64), np.cumsum(known.figures[types], axis=0)))
+    sums = before[at[1:]] - before[at[:-1]]
+    fits = (sums[:, 4] == np.diff(at)) & (np.diff(at) > 0)
+    sums[~fits] = 0
+    own, types_list = [], types.tolist()
+    for fit, a, b, figures in zip(fits.tolist(), at[:-1].tolist(), at[1:].tolist(), sums[:, :4].tolist()):
+        digest = hashlib.sha256(b";".join([known.written[i] for i in types_list[a:b]])).hexdigest() if fit else ""
+        own.append((*figures, digest))
     doc = np.repeat(np.arange(len(texts)), np.diff(at))
-    keys, times = _added(np.array(types, np.int64) << _SHIFT | doc, np.ones(len(types), np.int64))
-    of, doc = (keys >> _SHIFT).tolist(), keys & ((1 << _SHIFT) - 1)
-    if not of:
-        return own, np.zeros(0, np.int64), np.zeros(0, np.int64)
-    sizes = np.array([len(known.pairs[i]) for i in of])
-    pairs = np.concatenate([known.pairs[i] for i in of])
-    links = np.concatenate([known.links[i] for i in of]) * np.repeat(times, sizes)
-    return own, *_added(pairs << _SHIFT | np.repeat(doc, sizes), links)
+    keys, times = _added((types << _SHIFT | doc)[fits[doc]], np.ones(int(fits[doc].sum()), np.int64))
+    sizes, pairs, links = known.links_of(keys >> _SHIFT)
+    return own, *_added(pairs << _SHIFT | np.repeat(keys & ((1 << _SHIFT) - 1), sizes), links * np.repeat(times, sizes))
 
 
 def _blocks(folder: str):
@@ -331,7 +378,7 @@ def _blocks(folder: str):
                 block.n_bytes += part.nbytes
                 block.n_postings += len(keys)
                 start += len(part)
-                if len(known.number) > MAX_TYPES or known.n_links > MAX_LINKS:
+                if len(known.number) > MAX_TYPES or len(known.pairs) > MAX_LINKS:
                     known.clear()
         if block.ids:
             yield from block.pages(number)

@@ -1,6 +1,7 @@
 """Cross-tokenizer alignment against a plain version that tokenizes whole texts
 and walks their byte offsets one token at a time."""
 
+import functools
 import hashlib
 import unicodedata
 from collections import Counter
@@ -11,6 +12,7 @@ import pytest
 from brute import SF_CHECK
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from keelson.llm import token_alignment as align
 
@@ -34,6 +36,14 @@ TEXTS = [
 ]
 
 
+@functools.cache
+def a_tokenizer():
+    """Tokenizer A read by another library than the operator's, from its own merges."""
+    t = Tokenizer.from_file(f"{align.TOKENIZERS}/{align.A_FILE}")
+    t.encode_special_tokens = True
+    return t
+
+
 def decoded(tok, side, ids):
     table = tok.a_bytes if side == "a" else tok.b_bytes
     return [table[i] for i in ids]
@@ -43,7 +53,7 @@ def plain_groups(tok, text):
     """Token ids of the whole text by both, cut at common ends; None if it has no tokens."""
     if not text:
         return None
-    a = tok.a.encode(" " + text, add_special_tokens=False).ids
+    a = a_tokenizer().encode(" " + text, add_special_tokens=False).ids
     b = tok.b.encode(text)
     ab, bb = decoded(tok, "a", a), decoded(tok, "b", b)
     if not (b"".join(ab) == b"".join(bb) == (" " + text).encode()):
@@ -190,6 +200,16 @@ def test_cuts_hold_beside_every_kind_of_character(tok):
         assert own[0][2] == len(g or []), hex(ord(c))
 
 
+def test_every_token_and_code_point_reads_alike_in_both_libraries(tok):
+    """A's merges are applied by rank: all its tokens are reached, and words are cut alike around every character."""
+    words = [b.decode("utf-8", "ignore") for b in tok.a_bytes.values()]
+    around = [f" a{c} 1{c}  {c}{c}\n {c}" for c in map(chr, [*range(0xD800), *range(0xE000, 0x1FB00)])]
+    for texts in (words, around):
+        for s in range(0, len(texts), 20_000):
+            plain = [e.ids for e in a_tokenizer().encode_batch_fast(texts[s : s + 20_000], add_special_tokens=False)]
+            assert plain == [tok.a.encode_ordinary(t) for t in texts[s : s + 20_000]]
+
+
 def test_query_against_plain_version(spark, tok):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF_CHECK}/documents.parquet").select("doc_id", "text").collect()]
     expect, _, _ = plain_alignment(tok, [t for _, t in rows])
