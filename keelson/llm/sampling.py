@@ -8,7 +8,10 @@ proportion to the weights. k is a share of all rows, by default the share of
 good labels. Raw counts and the top-k threshold cover every row; the target
 model uses up to ``max_target`` good rows (those with the smallest hash of id).
 
-Rows that tie with the k-th are all kept. A null or empty text has weight 0.
+Exactly k rows are kept (all, if there are fewer). Noise is a function of id and text,
+so rows that repeat both tie; of the rows that tie with the k-th, those that stand first in the
+table as written are kept, as many as it takes. A null or empty text has weight 0; a null id
+is a value like any other. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -83,9 +86,9 @@ def log_weight(spark: SparkSession, ratios: np.ndarray, text: Column) -> Column:
     return udf(text.cast("string"))
 
 
-def gumbel(id_col: Column, seed: int) -> Column:
-    """Standard Gumbel noise as a function of id and seed."""
-    unit = (F.shiftrightunsigned(F.xxhash64(id_col, F.lit(seed)), 11).cast("double") + 0.5) / F.lit(float(1 << 53))
+def gumbel(seed: int, *of: Column) -> Column:
+    """Standard Gumbel noise as a function of the columns and the seed."""
+    unit = (F.shiftrightunsigned(F.xxhash64(*of, F.lit(seed)), 11).cast("double") + 0.5) / F.lit(float(1 << 53))
     return -F.log(-F.log(unit))
 
 
@@ -118,14 +121,21 @@ def kth_largest(rows: DataFrame, value: str, k: int, cells: int = 1024) -> float
 def resample(
     spark: SparkSession, docs: DataFrame, good_ids: DataFrame, share: float, id_col: str = "doc_id", text_col: str = "text", seed: int = 11,
 ) -> DataFrame:
-    """(id, log_weight, gumbel_score, selected) for every row of ``docs``."""
+    """(id, log_weight, gumbel_score, selected) for every row of ``docs``: ceil(share * rows) are selected."""
     ratios = log_ratios(docs, good_ids, id_col, text_col)
-    weighed = docs.select(F.col(id_col).alias("id"), log_weight(spark, ratios, F.col(text_col)).alias("log_weight"))
-    weighed = materialise(spark, weighed.withColumn("gumbel_score", F.col("log_weight") + gumbel(F.col("id"), seed)), "resample")
+    text = F.col(text_col).cast("string")
+    weighed = docs.select(F.col(id_col).alias("id"), log_weight(spark, ratios, F.col(text_col)).alias("log_weight"), gumbel(seed, F.col(id_col), text).alias("noise"))
+    weighed = weighed.select("id", "log_weight", (F.col("log_weight") + F.col("noise")).alias("gumbel_score"), (-F.monotonically_increasing_id().cast("double")).alias("place"))
+    weighed = materialise(spark, weighed, "resample")
     k = int(np.ceil(share * weighed.count()))
     cut = kth_largest(weighed, "gumbel_score", k)
-    chosen = F.lit(False) if cut is None else F.col("gumbel_score") >= F.lit(cut)
-    return weighed.withColumn("selected", chosen)
+    chosen = F.lit(False)
+    if cut is not None:
+        tied = weighed.filter(F.col("gumbel_score") == F.lit(cut))
+        room = k - weighed.filter(F.col("gumbel_score") > F.lit(cut)).count()
+        last = kth_largest(tied, "place", room)
+        chosen = (F.col("gumbel_score") > F.lit(cut)) | ((F.col("gumbel_score") == F.lit(cut)) & (F.col("place") >= F.lit(last)))
+    return weighed.withColumn("selected", chosen).drop("place")
 
 
 def good_rows(labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", max_target: int = 20_000) -> tuple[DataFrame, float]:
