@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keelson.llm.columns import own_columns
 from keelson.llm.text import buffers, shingle_hashes, shingle_sets, text_slices, word_hashes
 
 WIDTH = 5
@@ -325,7 +326,7 @@ def leaks(spark: SparkSession, index: ItemIndex, text: Column) -> Column:
 def clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that hold a benchmark item; no shuffle."""
     for index in item_blocks(benchmark, item_id_col, item_text_col):
-        docs = docs.select(*[docs[c] for c in docs.columns], leaks(spark, index, F.col(text_col)).alias("__leaks"))
+        docs = docs.select(*own_columns(docs), leaks(spark, index, F.col(text_col)).alias("__leaks"))
         docs = docs.filter("__leaks = 0").drop("__leaks")
     return docs
 

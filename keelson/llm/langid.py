@@ -26,6 +26,8 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from keelson.llm.columns import own_columns
+
 ORDERS = (4, 3, 2, 1)
 EVIDENCE_WORDS = 20.0
 MAX_CACHED = 150_000
@@ -200,7 +202,7 @@ def accepted(spark: SparkSession, model: WordModel, docs: DataFrame, min_score:
     no letter, or (with four languages or more) next to no evidence, are
     rejected."""
     verdict = predict(spark, model, F.col(text_col))
-    kept = docs.select(*[docs[c] for c in docs.columns], verdict.alias("__verdict"))
+    kept = docs.select(*own_columns(docs), verdict.alias("__verdict"))
     return kept.filter((F.col("__verdict.lang_pred") != "und") & (F.col("__verdict.score") >= min_score)).drop("__verdict")
 
 

@@ -20,8 +20,8 @@ means: after all rows of the sources with a weight, evenly among each other.
 Rows are numbered within a source by a hash of their id and text, counted in
 buckets of bounded size, so a hot source is never sorted whole. Weights: the given
 table (source, weight), else the sources' row counts to the power ``alpha``; a source
-that the table lacks has its smallest weight above 0, and a null source is a source. Repeated rows
-are interchangeable; an empty table gives no rows.
+that the table lacks has its smallest weight above 0, and a null source is a source. Rows of equal
+id and text go by a hash of all their columns, so a rerun places them alike; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from keelson.llm.columns import own_columns, row_hash
 from keelson.session import materialise
 
 SLOTS = 256
@@ -143,7 +144,7 @@ def mix(
     rounds = materialise(spark, _rounds(sources), "mix-rounds")
     schedule = materialise(spark, _schedule(rounds), "mix-schedule")
 
-    keyed = docs.select(source.alias("mix_source"), number_of.alias("h"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    keyed = docs.select(source.alias("mix_source"), number_of.alias("h"), row_hash(docs).alias("tie"), F.struct(*own_columns(docs)).alias("row"))
 
     def bucketed(df: DataFrame) -> DataFrame:
         known = sources.select(F.col("mix_source").alias("known_source"), "number", "buckets")
@@ -153,7 +154,7 @@ def mix(
     filled = bucketed(keyed.select("mix_source", "h")).groupBy("number", "bucket").agg(F.count(F.lit(1)).alias("n"))
     before = F.sum("n").over(Window.partitionBy("number").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
     offsets = materialise(spark, filled.select("number", "bucket", F.coalesce(before, F.lit(0)).alias("offset")), "mix-offsets")
-    place = F.row_number().over(Window.partitionBy("number", "bucket").orderBy("h"))
+    place = F.row_number().over(Window.partitionBy("number", "bucket").orderBy("h", "tie"))
     rows = bucketed(keyed).withColumn("place", place).join(offsets, ["number", "bucket"])
     at = F.col("place") - 1 + F.col("offset")
     rows = rows.select(

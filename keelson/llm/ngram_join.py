@@ -39,6 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keelson.llm.columns import own_columns, row_hash
 from keelson.llm.components import connected_components
 from keelson.llm.text import shingle_sets, slices
 from keelson.session import materialise
@@ -467,14 +468,14 @@ def jaccard_groups(
 def first_of_groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one row of each group: the one with the smallest id.
 
-    Rows with equal id and equal text count once; texts without words are
-    groups of their own."""
+    Of rows with equal id and equal text the one with the smallest hash of all its
+    columns stays, whatever is rerun; texts without words are groups of their own."""
     groups = jaccard_groups(spark, docs, id_col, text_col, width, percent)
     firsts = materialise(spark, groups.filter("first_of_group").select("id", "text_hash").distinct(), "ngram-firsts")
     key = F.struct(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("text_hash"))
-    named = docs.select(key.alias("__row"), *[docs[c] for c in docs.columns])
+    named = docs.select(key.alias("__row"), row_hash(docs).alias("__tie"), F.struct(*own_columns(docs)).alias("__own"))
     kept = named.join(firsts.select(F.struct("id", "text_hash").alias("__first")), F.col("__row").eqNullSafe(F.col("__first")), "left_semi")
-    return kept.dropDuplicates(["__row"]).drop("__row")
+    return kept.groupBy("__row").agg(F.min_by("__own", "__tie").alias("__own")).select("__own.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from keelson.llm.columns import own_columns, row_hash
 from keelson.session import materialise
 
 CELLS = 256
@@ -115,7 +116,8 @@ def shard_of(splitters: list[tuple[int, int | None]], h: Column, ident: Column)
 
 
 def _numbered(rows: DataFrame, keys: DataFrame, splitters: list, part_bytes: int) -> DataFrame:
-    """Adds shard and slot to ``rows`` (columns h, id, size and others); the
+    """Adds shard and slot to ``rows`` (columns h, id, size, tie and others); rows of equal
+    h and id go by ``tie``, so a rerun numbers them alike. The
     ranges and their counts come from ``keys``, whose rows are the same."""
     edges = [0, *[s[0] for s in splitters], _TOP]
     shards = keys.select(shard_of(splitters, F.col("h"), F.col("id")).alias("shard"), "size")
@@ -146,9 +148,9 @@ def _numbered(rows: DataFrame, keys: DataFrame, splitters: list, part_bytes: int
     before = F.sum("n").over(Window.partitionBy("shard").orderBy("cell", "piece").rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select("shard", "cell", "piece", F.coalesce(before, F.lit(0)).alias("offset"))
     offsets = materialise(keys.sparkSession, offsets, "shard-offsets")
-    place = F.row_number().over(Window.partitionBy("shard", "cell", "piece").orderBy("h", "id"))
+    place = F.row_number().over(Window.partitionBy("shard", "cell", "piece").orderBy("h", "id", "tie"))
     numbered = pieced(rows).withColumn("place", place).join(offsets, ["shard", "cell", "piece"])
-    return numbered.withColumn("slot", (F.col("place") - 1 + F.col("offset")).cast("long")).drop("place", "offset", "cell", "piece")
+    return numbered.withColumn("slot", (F.col("place") - 1 + F.col("offset")).cast("long")).drop("place", "offset", "cell", "piece", "tie")
 
 
 def histogram_sort(
@@ -164,7 +166,7 @@ def histogram_sort(
     size, shard and slot. An empty table gives no rows."""
     ident = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
     keyed = docs.select(
-        _text_hash(F.col(text_col)).alias("h"), ident.alias("id"), _size(F.col(text_col)).alias("size"), F.struct(*[docs[c] for c in docs.columns]).alias("row")
+        _text_hash(F.col(text_col)).alias("h"), ident.alias("id"), _size(F.col(text_col)).alias("size"), row_hash(docs).alias("tie"), F.struct(*own_columns(docs)).alias("row")
     )
     keys = materialise(spark, keyed.select("h", "id", "size"), "shard-keys")
     return _numbered(keyed, keys, find_splitters(keys, n_shards, tolerance), part_bytes)
@@ -175,7 +177,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text")
     crc = F.crc32(F.coalesce(text, F.lit("")).cast("binary"))
     keyed = docs.select(
-        _text_hash(text).alias("h"), F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("id"), "doc_id", _size(text).alias("size"), crc.alias("text_crc32")
+        _text_hash(text).alias("h"), F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("id"), "doc_id", _size(text).alias("size"), crc.alias("text_crc32"), F.lit(0).alias("tie")
     )
     keyed = materialise(spark, keyed, "shard-rows")
     keys = keyed.select("h", "id", "size")
