@@ -28,7 +28,7 @@ hides AS (
 d AS (SELECT row_number() OVER () AS row_id, doc_id, text FROM documents),
 marked AS (
   SELECT row_id, regexp_replace(regexp_replace(regexp_replace(
-           text, '\n[^A-Za-z0-9\n]*([0-9]{{1,2}}[.)]|\\([a-z0-9]{{1,2}}\\)|[a-z]\\))[ \t]', chr(1), 'g'), '[.!?]+(\s|$)', chr(1), 'g'), '\n[^A-Za-z0-9\n]*\n', chr(1), 'g') AS s,
+           text, '\n[^A-Za-z0-9\n]*([0-9]{{1,2}}[.)]|\\([a-z0-9]{{1,2}}\\)|[a-z]\\))[ \t]', chr(1), 'g'), '[.!?]+(\\s|$)', chr(1), 'g'), '\n[^A-Za-z0-9\n]*\n', chr(1), 'g') AS s,
          regexp_replace(text, '[\n\r]+', chr(1), 'g') AS l
   FROM d WHERE text IS NOT NULL),
 pieces AS (
