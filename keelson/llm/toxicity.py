@@ -5,7 +5,8 @@ first bytes, so that unseen words of a known stem count too; filters of several
 filter's largest response is kept (max pooling), and a logistic layer scores the
 text. Trained by Adagrad on a bounded sample of labelled rows (``max_docs``,
 those with the smallest hash of id, of at most ``max_text_bytes``). Words in
-fewer than ``MIN_DOCS`` rows of the sample have a zero embedding.
+fewer than ``MIN_DOCS`` rows of the sample have a zero embedding, as has what lies behind a
+text: its score depends on its own words alone, and equal texts have equal scores.
 
 Thresholds are calibrated by language on held-back rows of the sample: the
 language is guessed from the text's words alone, and each language's raw score
@@ -28,7 +29,7 @@ from keelson.llm.text import buffers, text_slices, word_hashes
 
 THRESHOLD = 0.3
 WIDTHS = (1, 2, 3)
-PAD = max(WIDTHS) - 1
+PAD = max(WIDTHS)  # a filter that starts in a text, or right behind it, ends before the next one
 BUCKETS = 1 << 20
 PREFIX_BYTES = 4
 MIN_DOCS = 3  # rarer words of the sample stay without an embedding
@@ -80,7 +81,7 @@ def _train(rows: list[np.ndarray], y: np.ndarray, n_rows: int, epochs: int, dim:
             pick = order[s : s + 32]
             at = np.concatenate(([0], np.cumsum([len(rows[i]) for i in pick])))
             flat, starts = _padded(np.concatenate([rows[i] for i in pick]), at)
-            ends = np.append(starts[1:], len(flat) - PAD)
+            ends = starts + np.diff(at) + 1
             x = emb[flat[:, 0]] + emb[flat[:, 1]]
             length = len(flat) - PAD
             pooled, where = [], []
@@ -190,7 +191,7 @@ def raw_scores(model: ConvModel, texts: pa.Array) -> tuple[np.ndarray, np.ndarra
             for j in range(1, len(table)):
                 z += table[j][flat[j : length + j, 0]]
                 z += table[j][flat[j : length + j, 1]]
-            pooled.append(np.maximum.reduceat(z, starts, axis=0))
+            pooled.append(np.maximum.reduceat(z, np.stack((starts, starts + np.diff(at) + 1), axis=1).ravel(), axis=0)[::2])
         h = np.maximum(np.concatenate(pooled, axis=1) + model.bias, 0)
         scores.append(1 / (1 + np.exp(-(h @ model.out + model.out_bias).astype(np.float64))))
     return np.concatenate(scores), np.concatenate(guesses)
@@ -206,14 +207,15 @@ def train(
     max_docs: int = 6000, max_text_bytes: int = 200_000,
 ) -> ConvModel:
     """Sample labelled rows and fit. Rows with a null id, label or text are
-    passed over; of rows with equal ids one is taken."""
+    passed over; of rows with equal ids the one with the smallest text is taken."""
     ids = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
     ids = ids.groupBy(F.col(id_col).alias("id")).agg(F.max((F.col(label_col) == 1).cast("int")).alias("label"))
     ids = ids.orderBy(F.xxhash64("id"), "id").limit(max_docs)
     lang = F.col(lang_col).cast("string") if lang_col in docs.columns else F.lit(None).cast("string")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), lang.alias("lang"))
     rows = rows.filter(F.col("text").isNotNull() & (F.octet_length("text") <= max_text_bytes))
-    sample = rows.join(F.broadcast(ids), "id").dropDuplicates(["id"]).orderBy(F.xxhash64("id"), "id").select("text", "label", "lang").toArrow()
+    sample = rows.join(F.broadcast(ids), "id").groupBy("id", "label").agg(F.min(F.struct("text", "lang")).alias("of"))
+    sample = sample.orderBy(F.xxhash64("id"), "id").select("of.text", "label", "of.lang").toArrow()
     sample = sample.combine_chunks()
     return fit(sample["text"].combine_chunks(), sample["label"].to_numpy(), sample["lang"].to_pylist())
 

@@ -1,0 +1,209 @@
+"""Language ID and toxicity against plain versions: a backoff scorer token by token, the
+network's forward pass position by position, its training step by numeric differences."""
+
+import math
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from brute import SF_CHECK
+
+from keelson.llm import langid, toxicity
+
+LONG = "alpha beta " * 3000
+
+
+# -- op 6 ------------------------------------------------------------------------------
+def hand_model():
+    rng = np.random.default_rng(1)
+    words = {w: rng.normal(-5, 1, 3).astype(np.float32) for w in ("the", "der", "le", "chat", "été")}
+    grams = {}
+    for w in ("there", "derby", "leçon", "katze", "straße"):
+        for k in langid.ORDERS:
+            s = f"^{w}$" if k > 1 else w
+            for i in range(len(s) - k + 1):
+                grams.setdefault(k, {}).setdefault(s[i : i + k], rng.normal(-6, 1, 3).astype(np.float32))
+    return langid.WordModel(["de", "en", "fr"], words, grams)
+
+
+def plain_language(model, text):
+    sums, n = np.zeros(len(model.languages)), 0
+    for token in (text or "").lower().split():
+        word = "".join(c for c in token if c.isalpha())
+        if not word:
+            continue
+        n += 1
+        if word in model.words:
+            sums += model.words[word]
+            continue
+        for k in langid.ORDERS:
+            s = f"^{word}$" if k > 1 else word
+            found = [model.grams[k][s[i : i + k]] for i in range(len(s) - k + 1) if s[i : i + k] in model.grams.get(k, {})]
+            if found:
+                sums += np.mean(found, axis=0)
+                break
+    if n == 0 or not model.languages:
+        return "und", 0.0
+    sums *= min(1.0, langid.EVIDENCE_WORDS / n)
+    best = int(np.argmax(sums))
+    return model.languages[best], 1 / sum(math.exp(s - sums[best]) for s in sums)
+
+
+TEXTS = [None, "", " \t", "123 !?", "the", "THE, the; der", "der Katzen-Chat", "straßen thereby zzz", "漢字 the", "xyzxyz", "l'été le", "the " * 50, LONG, "a b c1d2e"]
+
+
+def test_language_scores_against_a_plain_backoff(spark):
+    model = hand_model()
+    langs, scores, _ = langid.predict_batch(langid._Rows(model), pa.array(TEXTS), group=3)
+    for text, lang, score in zip(TEXTS, langs, scores):
+        want = plain_language(model, text)
+        assert lang == want[0] and abs(score - want[1]) < 1e-5, (text, lang, score, want)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: (r["v"]["lang_pred"], r["v"]["score"]) for r in df.select("doc_id", langid.predict(spark, model, df["text"]).alias("v")).collect()}
+    assert all(got[i][0] == langs[i] and abs(got[i][1] - scores[i]) < 1e-12 for i in range(len(TEXTS)))
+    assert langid.predict_batch(langid._Rows(langid.WordModel([])), pa.array(["the", None]))[0] == ["und", "und"]
+
+
+def test_language_query_against_a_plain_backoff(spark):
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet").select("doc_id", "text", "lang")
+    model = langid.train(docs.filter(~langid.in_fold()))
+    rows = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for r in langid.query(spark, SF_CHECK).collect():
+        want = plain_language(model, rows[r["doc_id"]])
+        assert r["lang_pred"] == want[0] and abs(r["score"] - want[1]) < 1e-4
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1)
+
+
+# -- op 4 ------------------------------------------------------------------------------
+def plain_forward(model, text):
+    """(raw score, guessed language) of one text, a position at a time."""
+    buckets, at = toxicity.word_buckets(pa.array([text]))
+    rows = [tuple(r) for r in model.row[buckets[: at[1]]]]
+    zero = [(0, 0)] * toxicity.PAD
+    pooled = []
+    for k, table in zip(toxicity.WIDTHS, model.tables):
+        place = [sum(table[j][a].astype(np.float64) + table[j][b] for j, (a, b) in enumerate((rows + zero + zero)[i : i + k])) for i in range(len(rows) + 1)]
+        pooled.append(np.max(place, axis=0))
+    h = np.maximum(np.concatenate(pooled) + model.bias, 0)
+    raw = 1 / (1 + math.exp(-float(h @ model.out + model.out_bias)))
+    guess = int(np.argmax(sum((model.languages[a].astype(np.float64) for a, _ in rows), np.zeros(model.languages.shape[1]))))
+    return raw, guess
+
+
+def plain_score(model, text):
+    raw, guess = plain_forward(model, text)
+    cut = model.cuts[guess]
+    return raw / cut * 0.3 if raw < cut else 0.3 + (raw - cut) / (1 - cut) * 0.7
+
+
+def two_languages(n=1500, seed=4):
+    """Texts of two languages with vocabularies and toxic stems of their own; the second's are rarer in a text."""
+    rng = np.random.default_rng(seed)
+    texts, labels, langs = [], [], []
+    for i in range(n):
+        lang = "aa" if i % 2 else "bb"
+        words = [f"{lang}{w}" for w in rng.integers(0, 60, 40)]
+        toxic = bool(rng.random() < 0.25)
+        if toxic:
+            for _ in range(6 if lang == "aa" else 2):
+                words[int(rng.integers(0, 40))] = f"{'vile' if lang == 'aa' else 'gross'}{rng.integers(0, 50)}"
+        texts.append(" ".join(words)), labels.append(int(toxic)), langs.append(lang)
+    return texts, np.array(labels), langs
+
+
+@pytest.fixture(scope="module")
+def two():
+    texts, labels, langs = two_languages()
+    return toxicity.fit(pa.array(texts, pa.large_string()), labels, langs), texts, labels, langs
+
+
+def test_forward_pass_against_a_plain_one(two):
+    model, texts, _, _ = two
+    some = [*texts[:40], None, "", "  ", "unseen words only", "vile1", LONG, "É 漢字 vile2 aa3"]
+    raw, guess = toxicity.raw_scores(model, pa.array(some, pa.large_string()))
+    for t, r, g in zip(some, raw, guess):
+        want = plain_forward(model, t)
+        assert abs(r - want[0]) < 1e-5 and g == want[1], t
+    scores = toxicity.calibrated(model, raw, guess)
+    assert all(abs(s - plain_score(model, t)) < 1e-4 for s, t in zip(scores, some)) and scores.min() >= 0 and scores.max() <= 1
+
+
+def test_scores_do_not_depend_on_the_texts_beside(two):
+    model, texts, _, _ = two
+    some = ["vile1 vile2", "aa1", "", "bb2 gross3", texts[3], None]
+    alone = [toxicity.raw_scores(model, pa.array([t], pa.large_string()))[0][0] for t in some]
+    for order in ([0, 1, 2, 3, 4, 5], [5, 4, 3, 2, 1, 0], [2, 0, 3, 1, 5, 4]):
+        together = toxicity.raw_scores(model, pa.array([some[i] for i in order], pa.large_string()))[0]
+        assert np.allclose(together, [alone[i] for i in order], rtol=0, atol=1e-7)
+
+
+def test_thresholds_are_calibrated_by_language(two):
+    model, _, _, _ = two
+    assert len(model.cuts) == 2
+    for n, cut in enumerate(model.cuts):
+        at = toxicity.calibrated(model, np.array([cut - 1e-9, cut, 1.0, 0.0]), np.full(4, n))
+        assert at[0] < toxicity.THRESHOLD <= at[1] + 1e-12 and at[2] == 1 and at[3] == 0
+    texts, labels, langs = two_languages(600, seed=8)
+    raw, guess = toxicity.raw_scores(model, pa.array(texts, pa.large_string()))
+    assert [["aa", "bb"][g] for g in guess] == langs  # the language is guessed from the words
+    flagged = toxicity.calibrated(model, raw, guess) >= toxicity.THRESHOLD
+    for lang in ("aa", "bb"):
+        mine = np.array([x == lang for x in langs])
+        hit = (flagged & (labels == 1) & mine).sum()
+        assert hit / (labels[mine] == 1).sum() > 0.9 and hit / (flagged & mine).sum() > 0.9
+
+
+def test_a_training_step_follows_the_numeric_gradient():
+    """One Adagrad step from the seeded start, parameter by parameter."""
+    rows = [np.array([[1, 2], [3, 4], [5, 6]]), np.array([[2, 1], [6, 6]]), np.array([[4, 3], [1, 5], [2, 2], [3, 1]])]
+    y, dim, filters, rate, seed, n_rows = np.array([1.0, 0.0, 0.0], np.float32), 3, 2, 0.1, 5, 7
+    rng = np.random.default_rng(seed)
+    start = [rng.normal(0, 0.1, (n_rows, dim)).astype(np.float32)]
+    start[0][0] = 0
+    start += [rng.normal(0, 0.3, (k, dim, filters)).astype(np.float32) for k in toxicity.WIDTHS]
+    start += [np.zeros(len(toxicity.WIDTHS) * filters, np.float32), rng.normal(0, 0.3, len(toxicity.WIDTHS) * filters).astype(np.float32), np.array([-1.0], np.float32)]
+    start = [p.astype(np.float64) for p in start]
+    weight = np.where(y == 1, min(10.0, max(1.0, 2 / 1 / 2)), 1.0)
+
+    def loss(params):
+        emb, *conv = params[:4]
+        bias, out, out_bias = params[4:]
+        total = 0.0
+        for r, label, w in zip(rows, y, weight):
+            x = np.concatenate([emb[r[:, 0]] + emb[r[:, 1]], np.zeros((2 * toxicity.PAD, dim))])
+            pooled = [np.max([sum(x[i + j] @ c[j] for j in range(k)) for i in range(len(r) + 1)], axis=0) for k, c in zip(toxicity.WIDTHS, conv)]
+            z = np.maximum(np.concatenate(pooled) + bias, 0) @ out + out_bias[0]
+            total += w * (math.log1p(math.exp(-z)) if label else math.log1p(math.exp(z)))
+        return total / len(rows)
+
+    emb, conv, bias, out, out_bias = toxicity._train(rows, y, n_rows, 1, dim, filters, rate, seed)
+    after = [emb, *conv, bias, out, np.array([out_bias])]
+    for which, (p, q) in enumerate(zip(start, after)):
+        for at in np.ndindex(p.shape):
+            if which == 0 and at[0] == 0:
+                assert q[at] == 0  # words without an embedding stay without
+                continue
+            step, ends = 1e-5, []
+            for sign in (1, -1):
+                moved = [x.copy() for x in start]
+                moved[which][at] += sign * step
+                ends.append(loss(moved))
+            g = (ends[0] - ends[1]) / (2 * step)
+            want = p[at] - rate * g / math.sqrt(1e-3 + g * g)
+            assert abs(q[at] - want) < 2e-3, (which, at, float(q[at]), want, g)
+
+
+def test_toxicity_query_scores_whole_texts_by_its_own_model(spark):
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet").select("doc_id", "text", "lang")
+    labels = spark.read.parquet(f"{SF_CHECK}/labels.parquet").select("doc_id", "toxic")
+    model = toxicity.train(docs, labels.filter(~toxicity.in_fold()))
+    rows = {r["doc_id"]: r["text"] for r in docs.collect()}
+    got = toxicity.query(spark, SF_CHECK).collect()
+    assert len(got) == len(rows) and set(got[0].asDict()) >= {"doc_id", "held_out", "score", "predicted"}
+    for n, r in enumerate(got):
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3)
+        if n % 5 == 0 and len(re.findall(r"\S+", rows[r["doc_id"]] or "")) < 2000:
+            assert abs(r["score"] - plain_score(model, rows[r["doc_id"]])) < 1e-3
