@@ -5,21 +5,22 @@ all items. Its 64-bit SimHash is compared with that of every document window
 of the item's length in words. Only windows that hold a shingle of an item of
 their size are fingerprinted: no other can verify. A multi-index finds the
 items within ``RADIUS`` of a window: the fingerprint is cut into blocks, and two
-fingerprints within the radius agree in some block up to ``RADIUS // BLOCKS`` bits,
-so each block value lists the items that near. Candidates are verified by the
+fingerprints within the radius agree in some block up to ``RADIUS // BLOCKS`` bits.
+An item stands once under its value of each block; a window looks up all values that
+near its own, or scans the values that there are if these are fewer. Candidates are verified by the
 exact weighted Jaccard similarity of the distinct shingles.
 
-Items are taken in blocks of bounded text and index size, one pass over the documents a
-block, so what is broadcast doesn't grow with the benchmark; rarity is counted
-over the whole benchmark beforehand, so results don't depend on the blocks. Null or empty texts
-match nothing; an item of fewer than five words matches only texts that
-consist of just these words. Case is folded in items and texts by Spark's Unicode
+An index takes about six bytes a byte of item text, and one holds ``MAX_ITEM_BYTES`` of
+it, some 70,000 items of the usual length; a larger benchmark takes a pass over the documents for each
+such part. Rarity is counted over the whole benchmark beforehand, so results don't depend
+on the parts. Null or empty texts match nothing; an item of fewer than five words matches only texts that
+consist of just these words. Of a document's windows that fit an item equally the first is reported;
+repeated items and rows are reported each; an empty table on either side gives no matches. Case is folded in items and texts by Spark's Unicode
 case mapping; the shingle hashes by themselves lower-case A-Z only.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -38,8 +39,7 @@ SIMILARITY = 0.8
 RADIUS = 19  # of 64 bits; a window with weighted Jaccard 0.8 differs in about 10 (sd 3)
 BLOCKS = 4
 BLOCK_BITS = 64 // BLOCKS
-MAX_ITEM_BYTES = 4 << 20  # item texts indexed at once
-MAX_INDEX_BYTES = 96 << 20  # of the lists of near items, broadcast at once
+MAX_ITEM_BYTES = 16 << 20  # item texts indexed at once
 WINDOWS_AT_ONCE = 1 << 14  # fingerprinted together, so a very long text needs no more memory
 _FILTER_BITS = 22
 
@@ -57,8 +57,9 @@ class LengthIndex:
 
     items: np.ndarray  # positions in the item list
     prints: np.ndarray
-    starts: list[np.ndarray]  # by block: value -> start in ``near``
-    near: list[np.ndarray]  # by block: items whose block is close to the value
+    values: list[np.ndarray]  # by block: the items' distinct values, sorted
+    starts: list[np.ndarray]  # by block: start of each value's items in ``owners``
+    owners: list[np.ndarray]
 
 
 @dataclass
@@ -68,7 +69,8 @@ class ItemIndex:
     weights: np.ndarray
     default_weight: float
     maybe: np.ndarray  # bitmap over the low bits of the shingles
-    lengths_of: list[np.ndarray]  # shingle -> item lengths (in shingles) that hold it
+    lengths_at: np.ndarray  # shingle -> start in ``lengths``
+    lengths: np.ndarray  # the lengths (in shingles) of the items that hold each shingle
     sets: list[np.ndarray]  # distinct sorted shingles of each item
     by_length: dict[int, LengthIndex]
 
@@ -101,16 +103,20 @@ def _near_values() -> np.ndarray:
     return np.array(flips, dtype=np.int64)
 
 
+def _block_values(prints: np.ndarray, block: int) -> np.ndarray:
+    return ((prints >> np.uint64(block * BLOCK_BITS)) & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.int64)
+
+
 def _length_index(items: np.ndarray, prints: np.ndarray) -> LengthIndex:
-    flips, starts, near = _near_values(), [], []
+    values, starts, owners = [], [], []
     for b in range(BLOCKS):
-        block = ((prints >> np.uint64(b * BLOCK_BITS)) & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.int64)
-        values = (block[:, None] ^ flips[None, :]).ravel()
-        owners = np.repeat(np.arange(len(items)), len(flips))
-        order = np.argsort(values, kind="stable")
-        starts.append(np.searchsorted(values[order], np.arange((1 << BLOCK_BITS) + 1)).astype(np.int32))
-        near.append(owners[order].astype(np.int32))
-    return LengthIndex(items, prints, starts, near)
+        own = _block_values(prints, b)
+        order = np.argsort(own, kind="stable")
+        distinct, first = np.unique(own[order], return_index=True)
+        values.append(distinct)
+        starts.append(np.append(first, len(own)).astype(np.int32))
+        owners.append(order.astype(np.int32))
+    return LengthIndex(items, prints, values, starts, owners)
 
 
 def build_index(ids: list, texts: list[str | None], n_items: int, repeated: dict[int, int]) -> ItemIndex:
@@ -127,12 +133,10 @@ def build_index(ids: list, texts: list[str | None], n_items: int, repeated: dict
     weights = (1 + np.log(n_items / df)) / (1 + np.log(n_items))
     maybe = np.zeros(1 << _FILTER_BITS, dtype=bool)
     maybe[(known & np.uint64((1 << _FILTER_BITS) - 1)).astype(np.int64)] = True
-    index = ItemIndex(ids, known, weights, 1.0, maybe, [], sets, {})
-    sizes: list[set] = [set() for _ in known]
-    for r, s in zip(runs, sets):
-        for i in np.searchsorted(known, s):
-            sizes[i].add(len(r))
-    index.lengths_of = [np.array(sorted(s)) for s in sizes]
+    # (shingle, length of an item that holds it), distinct
+    held = np.unique(np.searchsorted(known, np.concatenate(sets)) << 32 | np.repeat([len(r) for r in runs], [len(x) for x in sets])) if sets else np.zeros(0, np.int64)
+    lengths_at = np.searchsorted(held >> 32, np.arange(len(known) + 1))
+    index = ItemIndex(ids, known, weights, 1.0, maybe, lengths_at, held & 0xFFFFFFFF, sets, {})
     prints = [window_prints(r, index.weight(r), len(r))[0] if len(r) else np.uint64(0) for r in runs]
     for size in sorted({len(r) for r in runs} - {0}):
         mine = np.array([i for i, r in enumerate(runs) if len(r) == size])
@@ -140,15 +144,38 @@ def build_index(ids: list, texts: list[str | None], n_items: int, repeated: dict
     return index
 
 
+def _near(values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number in ``wanted``, number in the sorted ``values``) of all pairs of close block values."""
+    flips = _near_values()
+    at_once, out = max(1, (1 << 22) // min(len(flips), len(values))), []
+    for s in range(0, len(wanted), at_once):
+        own = wanted[s : s + at_once, None]
+        if len(values) <= len(flips):
+            w, v = np.nonzero(np.bitwise_count(own ^ values[None, :]) <= RADIUS // BLOCKS)
+        else:
+            probes = own ^ flips[None, :]
+            place = np.minimum(np.searchsorted(values, probes), len(values) - 1)
+            w, n = np.nonzero(values[place] == probes)
+            v = place[w, n]
+        out.append((w + s, v))
+    return np.concatenate([w for w, _ in out]), np.concatenate([v for _, v in out])
+
+
 def _candidates(index: LengthIndex, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (window, item) within the radius, by the multi-index."""
     windows, items = [], []
     for b in range(BLOCKS):
-        value = ((prints >> np.uint64(b * BLOCK_BITS)) & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.int64)
-        lo, n = index.starts[b][value].astype(np.int64), np.diff(index.starts[b])[value].astype(np.int64)
-        w = np.repeat(np.arange(len(prints)), n)
-        at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
-        i = index.near[b][at]
+        wanted, back = np.unique(_block_values(prints, b), return_inverse=True)
+        near, value = _near(index.values[b], wanted)
+        # windows by their block value, then the items of each value near it
+        order = np.argsort(back, kind="stable")
+        first = np.searchsorted(back[order], np.arange(len(wanted) + 1))
+        n = first[near + 1] - first[near]
+        w = order[np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[near], n)]
+        value = np.repeat(value, n)
+        lo, m = index.starts[b][value].astype(np.int64), np.diff(index.starts[b])[value].astype(np.int64)
+        i = index.owners[b][np.arange(int(m.sum())) - np.repeat(np.cumsum(m) - m, m) + np.repeat(lo, m)]
+        w = np.repeat(w, m)
         close = np.bitwise_count(prints[w] ^ index.prints[i]) <= RADIUS
         windows.append(w[close]), items.append(i[close])
     both = np.unique(np.concatenate(windows) * len(index.items) + np.concatenate(items))
@@ -171,7 +198,7 @@ def matches(index: ItemIndex, texts: pa.Array) -> Iterator[tuple[int, int, float
         first, n = int(at[doc]), int(at[doc + 1] - at[doc])
         starts_of: dict[int, list] = {}
         for p, g in zip((hit[s:e] - first).tolist(), place[s:e].tolist()):
-            for size in index.lengths_of[g].tolist():
+            for size in index.lengths[index.lengths_at[g] : index.lengths_at[g + 1]].tolist():
                 starts_of.setdefault(size, []).append(p)
         best: dict[int, tuple[float, int]] = {}
         for size, positions in starts_of.items():
@@ -249,27 +276,19 @@ def _with_repeated(items: DataFrame) -> DataFrame:
     return keyed.join(shared, "key", "left").drop("key")
 
 
-def _block_full(texts: int, size: int, lengths: set[int]) -> bool:
-    """Whether items of these lengths are too many for one index: an item is listed under
-    all near values of each block, a length has a start for each value."""
-    index = 4 * BLOCKS * (texts * len(_near_values()) + len(lengths) * (1 << BLOCK_BITS))
-    return size > MAX_ITEM_BYTES or index > MAX_INDEX_BYTES
-
-
 def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[ItemIndex]:
-    """Indexes of the items, ``MAX_ITEM_BYTES`` of text and ``MAX_INDEX_BYTES`` of index at a time."""
-    ids, texts, repeated, size, lengths = [], [], {}, 0, set()
+    """Indexes of the items, ``MAX_ITEM_BYTES`` of text at a time."""
+    ids, texts, repeated, size = [], [], {}, 0
     items = benchmark.select(F.col(id_col).alias("id"), folded(F.col(text_col)).alias("text"))
     n_items = items.count()
     for item, text, shared in _with_repeated(items).orderBy("id", "text").toLocalIterator():
-        n, length = len((text or "").encode()), max(WIDTH, len(re.findall(r"[^\x20\x09-\x0D]+", text or "")))
-        if texts and _block_full(len(texts) + 1, size + n, lengths | {length}):
+        n = len((text or "").encode())
+        if texts and size + n > MAX_ITEM_BYTES:
             yield build_index(ids, texts, n_items, repeated)
-            ids, texts, repeated, size, lengths = [], [], {}, 0, set()
+            ids, texts, repeated, size = [], [], {}, 0
         ids.append(item), texts.append(text)
         repeated.update(shared or [])
         size += n
-        lengths.add(length)
     if texts:
         yield build_index(ids, texts, n_items, repeated)
 

@@ -197,13 +197,15 @@ def in_fold(id_col: str = "doc_id", folds: int = 3, fold: int = 1) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(folds)) == fold
 
 
-def accepted(spark: SparkSession, model: WordModel, docs: DataFrame, min_score: float = 0.3, text_col: str = "text") -> DataFrame:
-    """Rows whose language is recognised, with their own columns. Rows with
-    no letter, or (with four languages or more) next to no evidence, are
-    rejected."""
+def accepted(spark: SparkSession, model: WordModel, docs: DataFrame, min_gain: float = 1.2, text_col: str = "text") -> DataFrame:
+    """Rows whose language is recognised, with their own columns, whatever these are
+    called. Rejected are rows with no letter, and rows with next to no evidence: their
+    score isn't ``min_gain`` times that of a guess among the learned languages (one
+    language alone is always recognised)."""
+    least = min_gain / len(model.languages) if len(model.languages) > 1 else 0.0
     verdict = predict(spark, model, F.col(text_col))
     kept = docs.select(*own_columns(docs), verdict.alias("__verdict"))
-    return kept.filter((F.col("__verdict.lang_pred") != "und") & (F.col("__verdict.score") >= min_score)).drop("__verdict")
+    return kept.filter((F.col("__verdict.lang_pred") != "und") & (F.col("__verdict.score") >= least)).drop("__verdict")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -76,6 +76,19 @@ def test_language_query_against_a_plain_backoff(spark):
         assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1)
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 40])
+def test_a_text_without_evidence_is_rejected_among_any_number_of_languages(spark, n):
+    names = [f"l{i:02d}" for i in range(n)]
+    words = {f"word{chr(97 + i % 26)}{chr(97 + i // 26)}": np.where(np.arange(n) == i, -2.0, -9.0).astype(np.float32) for i in range(n)}
+    model = langid.WordModel(names, words, {})
+    rows = [(i, w, "x") for i, w in enumerate(words)] + [(100, "??? unseen", "x"), (101, None, "x"), (102, "漢字", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `a.b` string")
+    kept = langid.accepted(spark, model, docs)
+    assert kept.columns == docs.columns
+    found = {r["doc_id"] for r in kept.collect()}
+    assert found == set(range(n)) | ({100, 102} if n == 1 else set())
+
+
 # -- op 4 ------------------------------------------------------------------------------
 def plain_forward(model, text):
     """(raw score, guessed language) of one text, a position at a time."""

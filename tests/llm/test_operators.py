@@ -588,12 +588,33 @@ def test_decontamination_of_edited_passages_and_odd_rows(spark, monkeypatch):
     assert decontaminate.find_leaks(spark, docs, bench.limit(0)).count() == 0 and decontaminate.find_leaks(spark, docs.limit(0), bench).count() == 0
 
 
-def test_item_blocks_are_bounded_by_their_index(spark, monkeypatch):
-    monkeypatch.setattr(decontaminate, "MAX_INDEX_BYTES", 5 << 20)
-    items = spark.range(120).selectExpr("id AS item_id", "concat('a b c d e f x', id, if(id % 2 = 0, ' y', '')) AS text")
-    blocks = list(decontaminate.item_blocks(items))
-    held = [sum(a.nbytes for x in b.by_length.values() for a in x.starts + x.near) for b in blocks]
-    assert len(blocks) > 1 and max(held) < (5 << 20) + 100 and sorted(i for b in blocks for i in b.ids) == list(range(120))
+def test_twenty_thousand_items_are_one_index_of_bounded_size(spark):
+    import pickle
+
+    rng = np.random.default_rng(2)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 30_000, int(rng.integers(8, 60)))) for _ in range(20_000)]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    (index,) = decontaminate.item_blocks(items)  # one pass over the documents
+    assert len(index.ids) == 20_000 and len(pickle.dumps(index)) < 8 * sum(map(len, texts))
+    picked = [17, 4_444, 19_999]
+    docs = [f"before it {texts[i]} and after" for i in picked] + ["nothing of the kind is in here at all", ""]
+    got = [(d, index.ids[i]) for d, i, _, _ in decontaminate.matches(index, pa.array(docs, pa.large_string()))]
+    assert got == list(enumerate(picked))
+
+
+@pytest.mark.parametrize("n_items", [1, 40, 6000])
+def test_multi_index_finds_all_fingerprints_within_the_radius(n_items):
+    """Both ways of looking a block value up, against a scan of all items."""
+    rng = np.random.default_rng(n_items)
+    prints = rng.integers(0, 2**63, n_items, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    index = decontaminate._length_index(np.arange(n_items), prints)
+    windows = prints[rng.integers(0, n_items, 300)].copy()
+    for w in range(len(windows)):
+        for bit in rng.choice(64, int(rng.integers(0, 26)), replace=False):
+            windows[w] ^= np.uint64(1) << np.uint64(bit)
+    got = set(zip(*(x.tolist() for x in decontaminate._candidates(index, windows))))
+    near = np.bitwise_count(windows[:, None] ^ prints[None, :]) <= decontaminate.RADIUS
+    assert got == set(zip(*(x.tolist() for x in np.nonzero(near)))) and len(got) > 100
 
 
 def test_decontamination_ignores_case_in_any_script(spark):
