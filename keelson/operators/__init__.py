@@ -1 +1 @@
-"""Relational building blocks: merge, enrichment join, key checks, summaries, skew-safe lookup joins."""
+"""Relational building blocks: merge, enrichment join, key checks, summaries."""
