@@ -19,7 +19,7 @@ from keelson.llm import decontaminate, fingerprints, langid, licenses, mixing, s
 from keelson.llm import text as T
 
 # extra columns named as the operators' own
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id string, h string, row string, size string, shard int, slot int, number int, a int, text_hash string"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id string, h string, row string, size string, shard int, slot int, number int, a int, text_hash string, `a.b` string"
 LONG = " ".join(f"w{i}" for i in range(20_000))
 ROWS = [
     (1, "the cat sat on the mat and looked at the dog", "en", "s1"),
@@ -37,7 +37,7 @@ ROWS = [
 
 
 def frame(spark, rows=ROWS):
-    return spark.createDataFrame([(*r, 0, "i", "h", "r", "s", 1, 1, 1, 1, "t") for r in rows], SCHEMA)
+    return spark.createDataFrame([(*r, 0, "i", "h", "r", "s", 1, 1, 1, 1, "t", "dot") for r in rows], SCHEMA)
 
 
 def docs_of(spark, cols=("doc_id", "text")):
