@@ -8,13 +8,14 @@ items within ``RADIUS`` of a window: the fingerprint is cut into blocks, and two
 fingerprints within the radius agree in some block up to ``RADIUS // BLOCKS`` bits.
 An item stands once under its value of each block; a window looks up all values that
 near its own, or scans the values that there are if these are fewer. Candidates are verified by the
-exact weighted Jaccard similarity of the distinct shingles.
+exact weighted Jaccard similarity of the distinct shingles. An item of fewer than five words has its whole
+word sequence as its one shingle; it is looked up among all windows of its own number of words.
 
 An index takes about six bytes a byte of item text, and one holds ``MAX_ITEM_BYTES`` of
 it, some 70,000 items of the usual length; a larger benchmark takes a pass over the documents for each
 such part. Rarity is counted over the whole benchmark beforehand, so results don't depend
-on the parts. Null or empty texts match nothing; an item of fewer than five words matches only texts that
-consist of just these words. Of a document's windows that fit an item equally the first is reported;
+on the parts. Null or empty texts match nothing; an item of fewer than five words matches wherever exactly these words
+stand in a row. Of a document's windows that fit an item equally the first is reported;
 repeated items and rows are reported each; an empty table on either side gives no matches. Case is folded in items and texts by Spark's Unicode
 case mapping; the shingle hashes by themselves lower-case A-Z only.
 """
@@ -73,6 +74,7 @@ class ItemIndex:
     lengths: np.ndarray  # the lengths (in shingles) of the items that hold each shingle
     sets: list[np.ndarray]  # distinct sorted shingles of each item
     by_length: dict[int, LengthIndex]
+    short: dict[int, tuple[np.ndarray, np.ndarray]]  # words, if fewer than WIDTH: sorted hashes of such items, the items
 
     def weight(self, shingles: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.shingles, shingles), max(0, len(self.shingles) - 1))
@@ -125,6 +127,7 @@ def build_index(ids: list, texts: list[str | None], n_items: int, repeated: dict
     words, word_at, _ = word_hashes(*buffers(pa.array(texts, pa.large_string())))
     hashes, at = shingle_hashes(words, word_at, WIDTH)
     runs = [hashes[a:b] for a, b in zip(at[:-1], at[1:])]
+    n_words = np.diff(word_at)
     sets = [np.unique(r) for r in runs]
     known = np.unique(np.concatenate(sets) if sets else hashes)
     df = np.ones(len(known))
@@ -133,13 +136,22 @@ def build_index(ids: list, texts: list[str | None], n_items: int, repeated: dict
     weights = (1 + np.log(n_items / df)) / (1 + np.log(n_items))
     maybe = np.zeros(1 << _FILTER_BITS, dtype=bool)
     maybe[(known & np.uint64((1 << _FILTER_BITS) - 1)).astype(np.int64)] = True
-    # (shingle, length of an item that holds it), distinct
-    held = np.unique(np.searchsorted(known, np.concatenate(sets)) << 32 | np.repeat([len(r) for r in runs], [len(x) for x in sets])) if sets else np.zeros(0, np.int64)
+    # (shingle, length of an item that holds it), distinct; short items are found by their own windows
+    whole = [i for i, n in enumerate(n_words.tolist()) if n >= WIDTH]
+    pairs = [np.searchsorted(known, sets[i]) << 32 | len(runs[i]) for i in whole]
+    held = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
+    short = {}
+    for size in range(1, WIDTH):
+        mine = np.flatnonzero(n_words == size)
+        own = np.array([runs[i][0] for i in mine.tolist()], np.uint64)
+        order = np.argsort(own, kind="stable")
+        if len(mine):
+            short[size] = own[order], mine[order]
     lengths_at = np.searchsorted(held >> 32, np.arange(len(known) + 1))
-    index = ItemIndex(ids, known, weights, 1.0, maybe, lengths_at, held & 0xFFFFFFFF, sets, {})
+    index = ItemIndex(ids, known, weights, 1.0, maybe, lengths_at, held & 0xFFFFFFFF, sets, {}, short)
     prints = [window_prints(r, index.weight(r), len(r))[0] if len(r) else np.uint64(0) for r in runs]
-    for size in sorted({len(r) for r in runs} - {0}):
-        mine = np.array([i for i, r in enumerate(runs) if len(r) == size])
+    for size in sorted({len(runs[i]) for i in whole}):
+        mine = np.array([i for i in whole if len(runs[i]) == size])
         index.by_length[size] = _length_index(mine, np.array([prints[i] for i in mine], np.uint64))
     return index
 
@@ -182,12 +194,25 @@ def _candidates(index: LengthIndex, prints: np.ndarray) -> tuple[np.ndarray, np.
     return both // len(index.items), both % len(index.items)
 
 
+def _short_matches(index: ItemIndex, words: np.ndarray, word_at: np.ndarray) -> Iterator[tuple[int, int, float, int]]:
+    for size, (prints, items) in index.short.items():
+        hashes, at = shingle_hashes(words, word_at, size)
+        lo = np.minimum(np.searchsorted(prints, hashes), len(prints) - 1)
+        hit = np.flatnonzero(prints[lo] == hashes)
+        doc = np.searchsorted(at, hit, side="right") - 1
+        _, first = np.unique(doc * len(prints) + lo[hit], return_index=True)
+        for d, p, a in zip(doc[first].tolist(), hit[first].tolist(), lo[hit[first]].tolist()):
+            for item in items[a : int(np.searchsorted(prints, prints[a], side="right"))].tolist():
+                yield d, item, 1.0, p - int(at[d])
+
+
 def matches(index: ItemIndex, texts: pa.Array) -> Iterator[tuple[int, int, float, int]]:
     """(text, item, best similarity, first word of that window) of each match of the folded texts."""
     words, word_at, _ = word_hashes(*buffers(texts))
-    hashes, at = shingle_hashes(words, word_at, WIDTH)
     if len(index.shingles) == 0:
         return
+    yield from _short_matches(index, words, word_at)
+    hashes, at = shingle_hashes(words, word_at, WIDTH)
     hit = np.flatnonzero(index.maybe[(hashes & np.uint64((1 << _FILTER_BITS) - 1)).astype(np.int64)])
     place = np.minimum(np.searchsorted(index.shingles, hashes[hit]), len(index.shingles) - 1)
     known = index.shingles[place] == hashes[hit]
