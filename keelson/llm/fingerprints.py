@@ -189,7 +189,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     own = F.struct(F.col("at.part").alias("part"), F.lit(False).alias("is_tail"))
     tail = F.struct(F.pmod(F.col("at.part") - 1, F.lit(m)).alias("part"), F.lit(True).alias("is_tail"))
     copies = dealt.withColumn("to", F.explode(F.when(F.col("at.first"), F.array(own, tail)).otherwise(F.array(own))))
-    spread = copies.select("to.part", "to.is_tail", "id", "tie", "text").repartition(m, "part")
+    spread = copies.select("to.part", "to.is_tail", "id", "tie", "text").repartitionById(m, F.col("part"))
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     return spread.sortWithinPartitions("part", "is_tail", *order).mapInArrow(_with_next, schema)
 
