@@ -15,7 +15,9 @@ and links with nothing).
    few shared shingles to reach the threshold drops out here; it can't link.
 4. Equal sets become one class. Classes that share a shingle within their
    prefixes (the first ``n - ceil(t n) + 1`` in the global order) may link; the
-   components of that relation are cut into blocks of bounded volume.
+   components of that relation are cut into blocks of bounded volume. A class
+   goes to the tile of its block and another one only if a class there shares a
+   shingle of its prefix; which blocks hold a shingle is kept as bits.
 5. ``_join_tiles`` joins pairs of blocks: one side's sets form a prefix tree,
    the other side's sets walk it together. Overlaps are counted once per shared
    path, and a subtree is left when its remaining length can't reach the
@@ -26,7 +28,8 @@ and links with nothing).
 No step meets a hot shingle, group or document in one task: slices
 pre-aggregate hot shingles, equal sets collapse map-side, a large group is cut
 into tiles. Links within a group of near copies are all verified, so that work
-grows with the square of the number of *different* texts in a group.
+grows with the square of the number of *different* texts that share prefix
+shingles, not of the component that chains of them form.
 """
 
 from __future__ import annotations
@@ -392,6 +395,16 @@ def shingle_classes(spark: SparkSession, docs: DataFrame, id_col: str, text_col:
     return materialise(spark, sets, "ngram-sets")
 
 
+def _met_blocks(held: DataFrame) -> DataFrame:
+    """(node, other): the blocks, its own among them, that hold a class which shares a prefix
+    shingle with the node. ``held``: (token, node, block) of the components of several blocks."""
+    held = held.select("token", "node", F.expr("block div 64").alias("word"), F.expr("shiftleft(1L, block % 64)").alias("bit"))
+    met = held.groupBy("token", "word").agg(F.bit_or("bit").alias("bits"))
+    seen = held.select("token", "node").join(met, "token").groupBy("node", "word").agg(F.bit_or("bits").alias("bits"))
+    set_bits = F.expr("explode(filter(sequence(0, 63), b -> (shiftright(bits, b) & 1L) = 1L))")
+    return seen.select("node", "word", set_bits.alias("bit")).select("node", (F.col("word") * 64 + F.col("bit")).cast("int").alias("other"))
+
+
 def jaccard_groups(
     spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80
 ) -> DataFrame:
@@ -418,11 +431,17 @@ def jaccard_groups(
     near = prefixes.join(shared, "token").filter("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct()
     blocks = connected_components(spark, materialise(spark, near, "ngram-near"))
 
-    member = sets.select(F.col("sig1").alias("node"), "n", "tokens").join(blocks, "node")
-    member = member.withColumn("volume", (F.octet_length("tokens") / 8).cast("long"))
-    cuts = member.groupBy("comp").agg(F.ceil(F.sum("volume") / F.lit(BLOCK_SHINGLES)).cast("int").alias("cuts"))
-    member = member.join(cuts, "comp").withColumn("block", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int"))
-    tiles = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))).select(
+    placed = sets.select(F.col("sig1").alias("node"), (F.octet_length("tokens") / 8).cast("long").alias("volume")).join(blocks, "node")
+    cuts = placed.groupBy("comp").agg(F.ceil(F.sum("volume") / F.lit(BLOCK_SHINGLES)).cast("int").alias("cuts"))
+    placed = placed.join(cuts, "comp").select("node", "comp", "cuts", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int").alias("block"))
+    placed = materialise(spark, placed, "ngram-blocks")
+    member = sets.select(F.col("sig1").alias("node"), "n", "tokens").join(placed, "node")
+    if (placed.agg(F.max("cuts")).first()[0] or 1) > 1:
+        others = _met_blocks(prefixes.join(placed.filter("cuts > 1"), "node"))
+        member = member.join(others, "node", "left").withColumn("other", F.coalesce("other", F.lit(0)))
+    else:
+        member = member.withColumn("other", F.lit(0))
+    tiles = member.select(
         "comp",
         F.least("block", "other").alias("i"),
         F.greatest("block", "other").alias("j"),

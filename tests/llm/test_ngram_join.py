@@ -65,6 +65,42 @@ def test_a_task_loads_one_tile_of_a_large_component_at_once(spark, monkeypatch):
     assert result(spark, rows) == sorted(brute.jaccard_groups(rows), key=repr)
 
 
+def chained(rng, n_docs):
+    """Texts of four passages, each passage in two texts: a text shares prefix shingles with
+    a few others, and chains of them join all into one component. Every tenth has a near copy."""
+    pool = [" ".join(f"p{i}x{j}" for j in range(30)) for i in range(2 * n_docs)]
+    again, rows = rng.sample(pool, len(pool)), []
+    for d in range(n_docs):
+        w = " ".join([*pool[2 * d : 2 * d + 2], *again[2 * d : 2 * d + 2]]).split()
+        rows.append((2 * d, " ".join(w)))
+        if d % 10 == 0:
+            w[rng.randrange(len(w))] = "edited"
+            rows.append((2 * d + 1, " ".join(w)))
+    return rows
+
+
+def test_a_chained_component_is_not_compared_with_all_of_itself(spark, monkeypatch):
+    rows, loads, real = chained(random.Random(5), 300), [], ngram_join._met_blocks
+    for volume in (4000, 500):
+        seen = []
+        monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", volume)
+        monkeypatch.setattr(ngram_join, "_met_blocks", lambda held: seen.append(real(held)) or seen[-1])
+        assert result(spark, rows) == sorted(brute.jaccard_groups(rows), key=repr)
+        (met,) = seen
+        loads.append((met.count(), met.select("other").distinct().count(), met.select("node").distinct().count()))
+    # a class goes to the few blocks of its partners, however many blocks there are
+    for sent, blocks, classes in loads:
+        assert classes > 250 and sent < 6 * classes
+    assert loads[0][1] > 6 and loads[1][1] > 50 and loads[1][0] < 1.6 * loads[0][0], loads
+
+
+def test_blocks_beyond_a_word_of_bits(spark):
+    held = [(1, 10, 0), (1, 11, 63), (1, 12, 64), (2, 12, 64), (2, 13, 200), (3, 14, 127)]
+    got = ngram_join._met_blocks(spark.createDataFrame(held, "token long, node long, block int")).collect()
+    want = {(n, c) for t, n, _ in held for u, _, c in held if t == u}
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_edge_cases(spark):
     long = " ".join(f"x{i}" for i in range(30_000))
     rows = [
