@@ -22,10 +22,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from keelson.llm.text import buffers, text_slices, word_hashes
+from keelson.session import materialise
 
 THRESHOLD = 0.3
 WIDTHS = (1, 2, 3)
@@ -204,10 +205,11 @@ def calibrated(model: ConvModel, raw: np.ndarray, guess: np.ndarray) -> np.ndarr
 
 def train(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", lang_col: str = "lang",
-    max_docs: int = 6000, max_text_bytes: int = 200_000,
+    max_docs: int = 6000, max_text_bytes: int = 200_000, max_bytes: int = 256 << 20,
 ) -> ConvModel:
     """Sample labelled rows and fit. Rows with a null id, label or text are
-    passed over; of rows with equal ids the one with the smallest text is taken."""
+    passed over; of rows with equal ids the one with the smallest text is taken.
+    The driver holds ``max_docs`` texts and ``max_bytes`` of them at most."""
     ids = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
     ids = ids.groupBy(F.col(id_col).alias("id")).agg(F.max((F.col(label_col) == 1).cast("int")).alias("label"))
     ids = ids.orderBy(F.xxhash64("id"), "id").limit(max_docs)
@@ -215,7 +217,12 @@ def train(
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), lang.alias("lang"))
     rows = rows.filter(F.col("text").isNotNull() & (F.octet_length("text") <= max_text_bytes))
     sample = rows.join(F.broadcast(ids), "id").groupBy("id", "label").agg(F.min(F.struct("text", "lang")).alias("of"))
-    sample = sample.orderBy(F.xxhash64("id"), "id").select("of.text", "label", "of.lang").toArrow()
+    sample = materialise(docs.sparkSession, sample.select(F.xxhash64("id").alias("h"), "id", "of.text", "label", "of.lang"), "toxicity-sample")
+    sofar = F.sum(F.octet_length("text")).over(Window.orderBy("h", "id").rowsBetween(Window.unboundedPreceding, 0))
+    fits = sample.select("h", "id", sofar.alias("sofar")).filter(F.col("sofar") <= max_bytes)  # ``max_docs`` narrow rows at most
+    last = fits.agg(F.max(F.struct("h", "id")).alias("last")).first()["last"]
+    within = F.lit(False) if last is None else F.struct("h", "id") <= F.struct(F.lit(last["h"]).alias("h"), F.lit(last["id"]).alias("id"))
+    sample = sample.filter(within).orderBy("h", "id").select("text", "label", "lang").toArrow()
     sample = sample.combine_chunks()
     return fit(sample["text"].combine_chunks(), sample["label"].to_numpy(), sample["lang"].to_pylist())
 

@@ -220,3 +220,18 @@ def test_toxicity_query_scores_whole_texts_by_its_own_model(spark):
         assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3)
         if n % 5 == 0 and len(re.findall(r"\S+", rows[r["doc_id"]] or "")) < 2000:
             assert abs(r["score"] - plain_score(model, rows[r["doc_id"]])) < 1e-3
+
+
+def test_the_toxicity_sample_is_bounded_in_bytes(spark, monkeypatch):
+    texts = {i: f"text{i} " * (1 + i % 7) for i in range(60)}
+    docs = spark.createDataFrame([(i, t, "en") for i, t in texts.items()], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in texts], "doc_id long, toxic int")
+    seen = {}
+    monkeypatch.setattr(toxicity, "fit", lambda t, label, lang: seen.setdefault("texts", t.to_pylist()))
+    whole = toxicity.train(docs, labels)
+    assert sorted(whole) == sorted(texts.values())
+    for most in (0, 7, 500, 10**6):
+        seen.clear()
+        got = toxicity.train(docs, labels, max_bytes=most)
+        fitting = list(np.cumsum([len(t) for t in whole]) <= most).count(True)
+        assert got == whole[:fitting]
