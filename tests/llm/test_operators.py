@@ -160,6 +160,32 @@ def test_long_paths_and_tokens_that_stand_together_stay_cheap(spark):
     assert len(rules) == 1 and len(rules[0]["tokens"]) >= 30 and abs(rules[0]["confidence"] - 0.9) < 1e-9
 
 
+def test_rules_of_the_commonest_of_many_items(spark):
+    """Each url holds up to 20 frequent tokens; the rule's are its most frequent ones."""
+    rng = np.random.default_rng(11)
+    rare, nested = [f"{chr(97 + k)}{chr(97 + k)}" for k in range(10)], ["top", "mid", "low"]
+    rows = []
+    for i in range(1200):
+        a, b, c = (rng.random(3) < 0.7).tolist()
+        words = ["red"] * a + ["blue"] * b + ["green"] * c + nested[: rng.integers(0, 4)]
+        # most of the others stand together, always so where the url is red
+        words += [w for w in rare if (i % 3 == 0 if a else rng.random() < 0.15)]
+        rows.append((f"http://h.net/{'/'.join(words)}", bool(rng.random() < (0.95 if a and b and c else 0.05))))
+    labelled = spark.createDataFrame(rows, "url string, bad boolean").repartition(4)
+    tokens = [r["t"] for r in spark.createDataFrame(rows, "url string, bad boolean").select(url_filter.url_tokens(F.col("url")).alias("t")).collect()]
+    got = {tuple(r["tokens"]): r["confidence"] for r in url_filter.mine_rules(labelled, min_rows=120).collect()}
+    assert max(len(t) for t in tokens) > 12
+    colours = [set(t) >= {"path:red", "path:blue", "path:green"} for t in tokens]
+    want = sum(b for (_, b), c in zip(rows, colours) if c) / sum(colours)
+    assert abs(got[("path:blue", "path:green", "path:red")] - want) < 1e-12
+    plain = [(t, b) for t, (_, b) in zip(tokens, rows)]
+    few = [([t for t in ts if t[5:] not in rare[2:]], b) for ts, b in plain]  # brute force can't take all
+    expected = plain_rules(few, 120, 0.5, 1.5, 4.0)
+    left = {k: c for k, c in got.items() if not any(t[5:] in rare[2:] for t in k)}
+    assert {k: round(c, 9) for k, c in left.items()} == {k: round(c, 9) for k, c in expected.items()}
+    assert any(len(k) > 3 for k in expected)
+
+
 def test_few_bad_rows_give_no_rules_at_any_table_size(spark):
     rows = [(f"http://h{i}.net/p", i < 19) for i in range(60)]
     assert url_filter.mine_rules(spark.createDataFrame(rows, "url string, bad boolean")).count() == 0
