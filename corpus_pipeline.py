@@ -11,8 +11,9 @@ stages but the last return the columns of ``docs``:
 * ``decontaminate`` drops the rows that hold a benchmark passage.
 * ``mix`` keeps every row and puts the rows in the order of the schedule: files in
   ``part-`` order, rows in file order.
-* ``shard`` adds size, shard and slot, by bytes; columns of the documents with these
-  names give way.
+* ``shard`` adds size, shard and slot; columns of the documents with these names give
+  way. It cuts the order of the files into stretches of nearly equal bytes, so by
+  shard and slot the rows stand in the order of the mix.
 
 A stage given an empty table returns an empty one.
 """
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 
 from keelson.llm import decontaminate as leaks
 from keelson.llm import langid, mixing, ngram_join, sharding
+from keelson.llm.columns import in_file_order
 from keelson.session import materialise
 
 
@@ -46,7 +48,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     added = ["size", "shard", "slot"]
     own = [F.col("row")[c].alias(c) for c in docs.columns if c.lower() not in added]
-    return sharding.histogram_sort(spark, docs).select(*own, *added)
+    return sharding.cut_in_order(spark, in_file_order(docs)).select(*own, *added)
 
 
 STAGES = [

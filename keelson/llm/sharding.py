@@ -12,6 +12,9 @@ A shard's ``slot`` numbers its rows from 0 without gaps, in ranges of about
 ``part_bytes``, counted separately. Size is the text's UTF-8 bytes (null: none)
 plus 1. Null ids come first. Rows with equal text and id share their place in the
 order, so they stay in one shard.
+
+``cut_in_order`` keeps a given order instead: by the same search, each shard is a stretch of it,
+and its slots follow it.
 """
 
 from __future__ import annotations
@@ -172,6 +175,18 @@ def histogram_sort(
     return _numbered(keyed, keys, find_splitters(keys, n_shards, tolerance), part_bytes)
 
 
+def cut_in_order(
+    spark: SparkSession, placed: DataFrame, n_shards: int = 8, text_col: str = "text", tolerance: float = TOLERANCE, part_bytes: int = PART_BYTES
+) -> DataFrame:
+    """A row per row of ``placed`` (a struct ``row`` and its ``position``, each from 0 up held once), with size, shard
+    and slot: by shard and slot, the rows go by position. An empty table gives no rows."""
+    last = placed.agg(F.max("position")).first()[0] or 0
+    spread = F.col("position") * ((_TOP - 1) // (last + 1))  # over the range of the hashes
+    keyed = placed.select(spread.alias("h"), F.col("position").alias("id"), _size(F.col("row")[text_col]).alias("size"), F.lit(0).alias("tie"), "row")
+    keys = materialise(spark, keyed.select("h", "id", "size"), "shard-keys")
+    return _numbered(keyed, keys, find_splitters(keys, n_shards, tolerance), part_bytes)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     text = F.col("text")

@@ -764,3 +764,35 @@ def test_pipeline_stages_on_odd_rows(spark, rows):
     assert dict(left.dtypes)["size"] == "bigint"
     texts = {r[1] for r in rows if any(c.isalpha() for c in r[1] or "")}
     assert left.count() == len(texts)
+
+
+def test_pipeline_shards_keep_the_order_of_the_mix(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, f"text {i} " + "x" * int(rng.integers(1, 2000)), "en", f"s{int(i ** 0.5) % 4}") for i in range(700)]
+    docs = frame(spark, rows).repartition(5)
+    order = mixing.mix(spark, docs).select("row.doc_id", "block_position", "row_in_block").orderBy("block_position", "row_in_block").collect()
+    stages = dict(corpus_pipeline.STAGES)
+    mixed = corpus_pipeline.materialise(spark, stages["mixing"](spark, docs, SF_CHECK), "test-stage")
+    out = stages["sharding"](spark, mixed, SF_CHECK).select("doc_id", "text", "size", "shard", "slot").collect()
+    sizes = check_shards([tuple(r) for r in out], 8)
+    assert max(sizes) - min(sizes) <= 2 * max(r["size"] for r in out)
+    assert [r["doc_id"] for r in sorted(out, key=lambda r: (r["shard"], r["slot"]))] == [r["doc_id"] for r in order]
+
+
+def test_rows_in_the_order_of_their_files_and_cut_in_it(spark, tmp_path):
+    from keelson.llm.columns import in_file_order
+
+    docs = frame(spark, [(1000 - i, "x" * (i % 50) + "y" * (5000 * (i == 77)), "en", "s") for i in range(300)])
+    ordered = docs.repartitionByRange(12, F.desc("doc_id")).sortWithinPartitions(F.desc("doc_id"))
+    ordered.write.option("maxRecordsPerFile", 7).parquet(str(tmp_path / "t"))
+    want = list(range(1000, 700, -1))
+    read = spark.read.parquet(str(tmp_path / "t"))
+    assert len(read.inputFiles()) > 30
+    for df in (read, ordered):  # rows that don't come from files are written first
+        got = {r["position"]: r["doc_id"] for r in in_file_order(df).select("row.doc_id", "position").collect()}
+        assert [got[i] for i in sorted(got)] == want and sorted(got) == list(range(300))
+    placed = in_file_order(read.withColumn("_metadata", F.lit(1)))
+    out = sharding.cut_in_order(spark, placed, 4, part_bytes=500).select("row.doc_id", "row.text", "size", "shard", "slot").collect()
+    check_shards([tuple(r) for r in out], 4)
+    assert [r["doc_id"] for r in sorted(out, key=lambda r: (r["shard"], r["slot"]))] == want
+    assert sharding.cut_in_order(spark, in_file_order(docs.limit(0))).count() == 0
