@@ -25,3 +25,13 @@ def spark():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="keelson-test-ckpt-"))
     yield s
     s.stop()
+
+
+@pytest.fixture(autouse=True)
+def own_temp_views(spark):
+    """Drops the temporary views that a test made: SHOW TABLES lists them in every database."""
+    views = lambda: {t.name for t in spark.catalog.listTables() if t.isTemporary}
+    before = views()
+    yield
+    for name in views() - before:
+        spark.catalog.dropTempView(name)
